@@ -5,16 +5,15 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ("log_queries",)
+from tidewater.plans.registry import ORACLES, QUERIES
+
+_MODULES = ("log_queries", "text_queries")
 
 
 def _load():
-    qs, os_ = {}, {}
     for m in _MODULES:
-        mod = importlib.import_module(f"tidewater.plans.{m}")
-        qs.update(mod.QUERIES)
-        os_.update(mod.ORACLES)
-    return qs, os_
+        importlib.import_module(f"tidewater.plans.{m}")
+    return QUERIES, ORACLES
 
 
 def all_queries():

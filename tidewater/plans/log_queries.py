@@ -4,15 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidewater.functions import logparse as lp
 from tidewater.operators import weblog as W
 from tidewater.operators.windows import (
     sliding_change_points,
     sliding_counts,
     top_k_per_window,
-    tumbling_counts,
 )
 from tidewater.plans import duck as D
+from tidewater.plans.registry import query
 from tidewater.sources.tables import weblog, weblog_dense
 
 # Query parameters: the reference's 300 s window; the correctness queries
@@ -22,19 +21,6 @@ SLIDE_S = 60
 BATCH_S = 3600
 TOP_K = 10
 
-QUERIES = {}
-ORACLES = {}
-
-
-def query(name, sql=None):
-    def deco(fn):
-        QUERIES[name] = fn
-        if sql is not None:
-            ORACLES[name] = sql
-        return fn
-    return deco
-
-
 # -- PRJ1 / PRJ7 / SCL1 ------------------------------------------------------
 @query("parse_log", D.with_(D.WEBLOG) + f"""
 select event_id, nullif({D.grp(1)}, '') as ip, {D.grp(2)} as client, {D.grp(3)} as "user",
