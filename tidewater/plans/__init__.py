@@ -7,7 +7,8 @@ import importlib
 
 from tidewater.plans.registry import ORACLES, QUERIES
 
-_MODULES = ("log_queries", "text_queries", "scalar_queries", "session_queries", "learning_queries")
+_MODULES = ("log_queries", "text_queries", "scalar_queries", "session_queries", "learning_queries",
+            "stream_queries")
 
 
 def _load():
