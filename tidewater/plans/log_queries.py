@@ -191,3 +191,20 @@ select ip, ts, event_id, url, status, agent from (
 def q_requests_by_ip_latest(spark, sf):
     recs = W.requests_by_ip(weblog(spark, sf), keep=("event_id", "ts"))
     return W.latest_by_key(recs, "ip", ["ts", "event_id"], ["url", "status", "agent"])
+
+
+# -- SRC4 / SRC5: message payloads to lines ------------------------------------------------------------
+@query("decode_kafka_records", D.with_(D.WEBLOG) + """
+select 'weblog' as topic, cast(event_id % 4 as integer) as "partition", event_id as "offset", line from weblog""")
+def q_decode_kafka_records(spark, sf):
+    from tidewater.sources.streams import as_kafka_records, kafka_lines
+    return kafka_lines(as_kafka_records(weblog(spark, sf))).select("topic", "partition", "offset", "line")
+
+
+@query("decode_bytes", D.with_(D.WEBLOG) + """
+select event_id, line, cast(strlen(line) as bigint) as n_bytes from weblog""")
+def q_decode_bytes(spark, sf):
+    from tidewater.sources.streams import decode_bytes
+    b = weblog(spark, sf).select("event_id", F.encode("line", "UTF-8").alias("value"))
+    return b.select("event_id", decode_bytes("value").alias("line"),
+                    F.octet_length("value").cast("bigint").alias("n_bytes"))
