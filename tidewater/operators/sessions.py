@@ -25,6 +25,14 @@ SESSION_TIMEOUT_S = 30 * 60   # idle time after which a key's state expires
 CLICKSTREAM_MAX = 10          # URLs kept per session
 
 
+def append_keep_first(xs, x, keep_max: int = CLICKSTREAM_MAX) -> F.Column:
+    """State update of a clickstream: append ``x`` and keep the first
+    ``keep_max`` elements (once full, later URLs are not kept)."""
+    xs = F.col(xs) if isinstance(xs, str) else xs
+    x = F.col(x) if isinstance(x, str) else x
+    return F.slice(F.concat(xs, F.array(x)), 1, keep_max)
+
+
 def _null_safe_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
     r = right.select(*[F.col(c).alias("_r_" + c) for c in on],
                      *[c for c in right.columns if c not in on])

@@ -60,3 +60,18 @@ def q_session_snapshot(spark, sf):
     s = S.session_snapshot(_requests(spark, sf))
     return s.select("ip", "session_start", "session_end", "session_length",
                     _join("clickstream").alias("clickstream"))
+
+
+# -- SCL9: the state update of one request (append the URL, keep the first ten) --------
+@query("session_clickstream", D.with_(D.WEBLOG, _SESS) + f"""
+, b as (select n.ip, n.event_id, n.url, f.urls[1:least(n.session_length - 1, {K})] as before
+        from n join f on n.ip is not distinct from f.ip and n.sid = f.sid)
+select ip, event_id, array_to_string(before, ',') as clickstream_before,
+       array_to_string(list_concat(before, [url])[1:{K}], ',') as clickstream
+from b""")
+def q_session_clickstream(spark, sf):
+    r = S.running_sessions(_requests(spark, sf))
+    before = F.slice("clickstream", 1, F.least(F.col("session_length") - 1, F.lit(K)).cast("int"))
+    r = r.select("ip", "event_id", "url", before.alias("before"))
+    return r.select("ip", "event_id", _join("before").alias("clickstream_before"),
+                    _join(S.append_keep_first("before", "url", K)).alias("clickstream"))

@@ -167,6 +167,26 @@ def q_stream_log_agents_sql(spark, sf):
     return spark.read.parquet(out)
 
 
+# -- STM9 / FLT3: a per-batch action that knows its batch ---------------------------------------------
+@query("stream_foreach_batch", D.with_(D.WEBLOG) + f"""
+, b as (select min(event_id) as lo, (max(event_id) - min(event_id)) // {PARTS} + 1 as width from weblog)
+select cast((event_id - lo) // width as bigint) as batch_id,
+       {D.status_class(f"case when {D.matched()} then {D.grp(6)} else '[error]' end")} as status_class,
+       count(*) as n
+from weblog, b group by all""")
+def q_stream_foreach_batch(spark, sf):
+    """Status-class counts of every micro-batch, tagged with its batch id
+    (the staged parts are event-id ranges, one part per batch)."""
+    cls = W.status_classes(weblog(spark, sf), keep=("event_id",))
+    s = _staged(spark, cls, "event_id", "status_classes")
+    out = fresh_dir(spark, "out/foreach_batch")
+    body = per_batch(out, lambda df, bid: df.groupBy("status_class").agg(F.count(F.lit(1)).alias("n"))
+                     .withColumn("batch_id", F.lit(bid).cast("bigint")))
+    run_available(s.writeStream.foreachBatch(body)
+                  .option("checkpointLocation", checkpoint_for(spark, "foreach_batch")))
+    return spark.read.parquet(out).select("batch_id", "status_class", "n")
+
+
 # -- APP8 / APP9 / STM13: running totals across batches ------------------------------------------------
 @query("stream_post_length")
 def q_stream_post_length(spark, sf):
