@@ -4,16 +4,25 @@ The reference's state function (count of requests and the first ten URLs
 per ip, expired after 30 idle minutes) as ``applyInPandasWithState``.
 Spark shuffles rows by key into the state store; per key and batch the
 rows arrive as Arrow batches, are put in (ts, event_id) order and folded
-into the state.  The timeout is on event time: when the watermark passes
-``last request + timeout`` the state is dropped, and a later request of
-the key opens a new session (as the batch form does for gaps above the
-timeout).
+into the state.  A request more than ``timeout`` after the key's last
+one opens a new session (the gap rule of the batch form).  State expiry
+is on processing time by default, as in the reference: a key idle for the
+timeout is dropped.  It is built on Spark's event-time timeout over an
+arrival stamp (the batch time, ``current_timestamp()``) carrying the
+watermark: arrival stamps are never behind it, so Spark's filter of late
+input drops nothing, and a query with an ``availableNow`` trigger still
+ends (a processing-time timeout would ask for batches forever).  With
+``expiry="event"`` the clock is the request time itself: the state is
+dropped when the watermark passes ``last request + timeout``, and Spark
+filters input rows behind the watermark before they reach the function,
+so the watermark delay must cover the lateness of the input.
 """
 
 from __future__ import annotations
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from tidewater.operators.sessions import CLICKSTREAM_MAX, SESSION_TIMEOUT_S
@@ -23,7 +32,10 @@ OUTPUT_SCHEMA = ("ip string, event_id long, ts timestamp, session_start timestam
 STATE_SCHEMA = "n long, start_us long, last_us long, clicks array<string>"
 
 
-def _session_fn(timeout_s: int, keep_max: int):
+ARRIVAL = "_arrival"
+
+
+def _session_fn(timeout_s: int, keep_max: int, clock: str):
     T = timeout_s * 1_000_000
 
     def fn(key, pdfs, state):
@@ -47,12 +59,14 @@ def _session_fn(timeout_s: int, keep_max: int):
             n += 1
             if len(clicks) < keep_max:
                 clicks.append(url)
-            last = u
+            last = u if last is None else max(last, u)
             out_start.append(start)
             out_n.append(n)
             out_clicks.append(list(clicks))
         state.update((n, start, last, clicks))
-        state.setTimeoutTimestamp(last // 1000 + timeout_s * 1000)
+        seen_ms = last // 1000 if clock == "ts" else \
+            int(rows[clock].astype("datetime64[ms]").astype("int64").max())
+        state.setTimeoutTimestamp(max(seen_ms + timeout_s * 1000, state.getCurrentWatermarkMs() + 1))
         yield pd.DataFrame({
             "ip": rows["ip"].values,
             "event_id": rows["event_id"].values,
@@ -65,11 +79,19 @@ def _session_fn(timeout_s: int, keep_max: int):
     return fn
 
 
-def stream_sessions(requests: DataFrame, watermark: str = "0 seconds",
+def stream_sessions(requests: DataFrame, expiry: str = "processing", watermark: str = "0 seconds",
                     timeout_s: int = SESSION_TIMEOUT_S, keep_max: int = CLICKSTREAM_MAX) -> DataFrame:
     """Per request: running session state of its ip.  ``requests`` is a
-    streaming DataFrame with ip, event_id, ts (timestamp), url."""
-    return (requests.withWatermark("ts", watermark)
-            .groupBy("ip")
-            .applyInPandasWithState(_session_fn(timeout_s, keep_max), OUTPUT_SCHEMA, STATE_SCHEMA,
+    streaming DataFrame with ip, event_id, ts (timestamp), url.
+    ``expiry``: ``"processing"`` (no request is dropped) or ``"event"``
+    (uses ``watermark``; rows behind it are filtered by Spark)."""
+    if expiry not in ("processing", "event"):
+        raise ValueError(expiry)
+    if expiry == "event":
+        src, clock = requests.withWatermark("ts", watermark), "ts"
+    else:
+        src = requests.withColumn(ARRIVAL, F.current_timestamp()).withWatermark(ARRIVAL, "0 seconds")
+        clock = ARRIVAL
+    return (src.groupBy("ip")
+            .applyInPandasWithState(_session_fn(timeout_s, keep_max, clock), OUTPUT_SCHEMA, STATE_SCHEMA,
                                     "append", GroupStateTimeout.EventTimeTimeout))
