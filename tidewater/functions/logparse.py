@@ -71,13 +71,25 @@ def request_or_unit(line: Column | str) -> Column:
 
 def url_strict(request: Column | str) -> Column:
     """Second token when the request has exactly three tokens, else '[error]'."""
-    toks = jvm_split(_c(request))
-    return F.when(F.size(toks) == 3, F.get(toks, 1)).otherwise(F.lit(URL_ERROR))
+    return url_strict_of_tokens(jvm_split(_c(request)))
 
 
 def url_lenient(request: Column | str) -> Column:
     """Second token when present, else '[error]'."""
-    return F.coalesce(F.get(jvm_split(_c(request)), 1), F.lit(URL_ERROR))
+    return url_lenient_of_tokens(jvm_split(_c(request)))
+
+
+# The rules on an already split request.  Operators split in a projection
+# of its own, so the tokens (and the regex under them) are computed once
+# per row: Catalyst does not merge a projection whose costly output is
+# used more than once into the next one.
+def url_strict_of_tokens(toks: Column | str) -> Column:
+    toks = _c(toks)
+    return F.when(F.size(toks) == 3, F.get(toks, 1)).otherwise(F.lit(URL_ERROR))
+
+
+def url_lenient_of_tokens(toks: Column | str) -> Column:
+    return F.coalesce(F.get(_c(toks), 1), F.lit(URL_ERROR))
 
 
 def status_or_error(line: Column | str) -> Column:

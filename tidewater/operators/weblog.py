@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.functions import logparse as lp
+from tidewater.functions.text import jvm_split
 from tidewater.operators.windows import sliding_counts, tumbling_counts
 
 # Fixed values of the alarm (reference settings).
@@ -30,27 +31,34 @@ def extract_request(df: DataFrame, line: str = "line", keep=("event_id",)) -> Da
 
 
 def strict_urls(df: DataFrame, line: str = "line", keep=("event_id", "ts")) -> DataFrame:
-    """URL per line by the strict rule; unmatched lines give '[error]'."""
+    """URL per line by the strict rule; unmatched lines give '[error]'.
+
+    Three projections: request, tokens, URL, so that the line's regex and
+    the split run once per row (see ``logparse.url_strict_of_tokens``)."""
     keep = [c for c in keep if c in df.columns]
-    return df.select(*keep, lp.url_strict(lp.request_or_unit(line)).alias("url"))
+    r = df.select(*keep, lp.request_or_unit(line).alias("_req"))
+    t = r.select(*keep, jvm_split("_req").alias("_toks"))
+    return t.select(*keep, lp.url_strict_of_tokens("_toks").alias("url"))
 
 
 def request_records(df: DataFrame, line: str = "line", keep=("event_id", "ts"),
                     with_ip: bool = False) -> DataFrame:
     """(ip,) url, status int, agent per line; unmatched lines give the
-    default row ('error', 0, 'error')."""
+    default row ('error', 0, 'error').  The match test is a projection of
+    its own, so the regex runs once for it and once per extracted field."""
     keep = [c for c in keep if c in df.columns]
-    m = lp.matches(line)
+    m = F.col("_m")
     err = F.lit(lp.RECORD_ERROR)
-    cols = []
+    staged = df.select(*keep, F.col(line).alias("_line"), lp.matches(line).alias("_m"))
+    fields = [F.when(m, lp.group("_line", "request")).alias("_req"),
+              F.when(m, lp.group("_line", "status").try_cast("int")).otherwise(F.lit(0)).alias("status"),
+              F.when(m, lp.group("_line", "agent")).otherwise(err).alias("agent")]
     if with_ip:
-        cols.append(F.when(m, lp.group(line, "ip")).otherwise(err).alias("ip"))
-    cols += [
-        F.when(m, lp.url_lenient(lp.group(line, "request"))).otherwise(err).alias("url"),
-        F.when(m, lp.group(line, "status").try_cast("int")).otherwise(F.lit(0)).alias("status"),
-        F.when(m, lp.group(line, "agent")).otherwise(err).alias("agent"),
-    ]
-    return df.select(*keep, *cols)
+        fields.insert(0, F.when(m, lp.group("_line", "ip")).otherwise(err).alias("ip"))
+    g = staged.select(*keep, "_m", *fields)
+    url = F.when(m, lp.url_lenient_of_tokens(jvm_split("_req"))).otherwise(err).alias("url")
+    out = (["ip"] if with_ip else []) + [url, "status", "agent"]
+    return g.select(*keep, *out)
 
 
 def lenient_urls(df: DataFrame, line: str = "line", keep=("event_id",)) -> DataFrame:

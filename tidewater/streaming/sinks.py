@@ -36,10 +36,13 @@ def write_batch(df: DataFrame, out: str, batch_id: int, fmt: str = "parquet",
 
 
 def per_batch(out: str, fn: Callable[[DataFrame, int], DataFrame], fmt: str = "parquet",
-              skip_empty: bool = True, cache: bool = False):
+              skip_empty: bool = True, cache: bool | None = None):
     """``foreachBatch`` body: ``fn(batch_df, batch_id)`` then an idempotent
-    write of its result.  ``cache`` keeps the batch for bodies that read it
-    twice."""
+    write of its result.  Skipping empty batches takes a second action on
+    the batch, so by default the batch is then persisted: its plan (a
+    stateful operator included) runs once, not once per action."""
+    cache = skip_empty if cache is None else cache
+
     def body(df: DataFrame, batch_id: int) -> None:
         if cache:
             df = df.persist()

@@ -20,6 +20,7 @@ so the watermark delay must cover the lateness of the input.
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -45,33 +46,39 @@ def _session_fn(timeout_s: int, keep_max: int, clock: str):
         frames = [p for p in pdfs if len(p)]
         if not frames:
             return
-        rows = pd.concat(frames).sort_values(["ts", "event_id"], kind="stable")
+        rows = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
+        us = rows["ts"].to_numpy().astype("datetime64[us]").astype(np.int64)
+        eid = rows["event_id"].to_numpy()
+        order = np.lexsort((eid, us))               # (ts, event_id) order
+        us, eid = us[order], eid[order]
+        urls = rows["url"].to_numpy()[order].tolist()
         if state.exists:
             n, start, last, clicks = state.get
             clicks = list(clicks)
         else:
             n, start, last, clicks = 0, None, None, []
-        us = (rows["ts"].astype("datetime64[us]").astype("int64")).tolist()
-        out_start, out_n, out_clicks = [], [], []
-        for u, url in zip(us, rows["url"].tolist()):
+        m = len(us)
+        out_start = np.empty(m, dtype=np.int64)
+        out_n = np.empty(m, dtype=np.int64)
+        out_clicks = [None] * m
+        for i, u in enumerate(us.tolist()):
             if last is None or u - last > T:
                 n, start, clicks = 0, u, []
             n += 1
             if len(clicks) < keep_max:
-                clicks.append(url)
-            last = u if last is None else max(last, u)
-            out_start.append(start)
-            out_n.append(n)
-            out_clicks.append(list(clicks))
+                clicks = clicks + [urls[i]]
+            if last is None or u > last:
+                last = u
+            out_start[i], out_n[i], out_clicks[i] = start, n, clicks
         state.update((n, start, last, clicks))
         seen_ms = last // 1000 if clock == "ts" else \
-            int(rows[clock].astype("datetime64[ms]").astype("int64").max())
+            int(rows[clock].to_numpy().astype("datetime64[ms]").astype(np.int64).max())
         state.setTimeoutTimestamp(max(seen_ms + timeout_s * 1000, state.getCurrentWatermarkMs() + 1))
         yield pd.DataFrame({
-            "ip": rows["ip"].values,
-            "event_id": rows["event_id"].values,
-            "ts": rows["ts"].values,
-            "session_start": pd.to_datetime(pd.Series(out_start, dtype="int64"), unit="us").values,
+            "ip": np.full(m, key[0], dtype=object),
+            "event_id": eid,
+            "ts": us.astype("datetime64[us]"),
+            "session_start": out_start.astype("datetime64[us]"),
             "session_length": out_n,
             "clickstream": out_clicks,
         })
