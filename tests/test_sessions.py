@@ -3,6 +3,8 @@ spanning several time blocks, a null key, a gap of exactly 30 minutes,
 and sessions longer than the ten URLs kept."""
 import datetime as dt
 
+import pytest
+
 from tidewater.operators import sessions as S
 
 T0 = dt.datetime(2024, 1, 1)
@@ -42,17 +44,21 @@ def _brute(rows, timeout_s=S.SESSION_TIMEOUT_S, keep=S.CLICKSTREAM_MAX):
     return out
 
 
-def test_running_sessions_equal_brute_force(spark):
+@pytest.mark.parametrize("block_s", [86_400, 3_600, 600, 60])
+def test_running_sessions_equal_brute_force(spark, block_s):
+    """Small blocks put session starts, first-ten lists and long sessions
+    across many block edges (the carried state between blocks)."""
     rows = _fixture()
     df = spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, ip string, url string")
-    got = S.running_sessions(df).collect()
+    got = S.running_sessions(df, block_s=block_s).collect()
     want = _brute(rows)
     assert len(got) == len(want)
     for r in got:
         assert (r.ip, r.session_start, r.session_length, ",".join(r.clickstream)) == want[r.event_id], r
 
 
-def test_sessions_and_snapshot(spark):
+@pytest.mark.parametrize("block_s", [86_400, 600])
+def test_sessions_and_snapshot(spark, block_s):
     rows = _fixture()
     df = spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, ip string, url string")
     want = _brute(rows)
@@ -62,7 +68,7 @@ def test_sessions_and_snapshot(spark):
         if cur is None or n > cur[0]:
             per_session[(key, start)] = (n, urls)
     got = {(r.ip, r.session_start): (r.session_length, ",".join(r.clickstream))
-           for r in S.sessions(df).collect()}
+           for r in S.sessions(df, block_s=block_s).collect()}
     assert got == per_session
     e = sorted(k for k in per_session if k[0] == "2.2.2.2")
     assert len(e) == 2 and per_session[e[0]][0] == 4

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.operators.windows import US, to_micros
+from tidewater.operators.windows import US, from_micros, to_micros
 
 # Fixed values (reference settings).
 SESSION_TIMEOUT_S = 30 * 60   # idle time after which a key's state expires
@@ -40,70 +40,121 @@ def _null_safe_join(left: DataFrame, right: DataFrame, on: list[str], how: str =
     return left.join(r, cond, how).drop(*["_r_" + c for c in on])
 
 
-def assign_sessions(df: DataFrame, key: str = "ip", ts: str = "ts", tie: str = "event_id",
-                    timeout_s: int = SESSION_TIMEOUT_S, block_s: int = 86_400) -> DataFrame:
-    """Add ``sid`` (session number within the key, from 1), ``g`` (row
-    number within the key, from 1) and ``new`` (row opens a session)."""
-    T = timeout_s * US
-    d = (df.where(F.col(ts).isNotNull())
-         .withColumn("_us", to_micros(ts))
-         .withColumn("_blk", F.floor(F.col("_us") / F.lit(block_s * US))))
-    w_in = Window.partitionBy(key, "_blk").orderBy("_us", tie)
-    d = (d.withColumn("_lag", F.lag("_us").over(w_in))
-          .withColumn("_lrn", F.row_number().over(w_in)))
-    inner_new = (F.col("_lag").isNotNull() & (F.col("_us") - F.col("_lag") > T)).cast("int")
-    summary = d.groupBy(key, "_blk").agg(
-        F.min("_us").alias("_first"), F.max("_us").alias("_last"),
-        F.count(F.lit(1)).alias("_cnt"), F.sum(inner_new).alias("_inner"))
-    w_blk = Window.partitionBy(key).orderBy("_blk")
-    prev = Window.partitionBy(key).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    s = (summary.withColumn("_prev_last", F.lag("_last").over(w_blk))
-         .withColumn("_first_new", (F.col("_prev_last").isNull()
-                                    | (F.col("_first") - F.col("_prev_last") > T)).cast("int"))
-         .withColumn("_flags", F.col("_inner") + F.col("_first_new")))
-    s = s.select(key, "_blk", "_prev_last",
-                 F.coalesce(F.sum("_cnt").over(prev), F.lit(0)).alias("_row_off"),
-                 F.coalesce(F.sum("_flags").over(prev), F.lit(0)).alias("_flag_off"))
-    j = _null_safe_join(d, s, [key, "_blk"])
-    prior = F.coalesce(F.col("_lag"), F.col("_prev_last"))
-    j = j.withColumn("new", prior.isNull() | (F.col("_us") - prior > T))
-    w_run = w_in.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    j = (j.withColumn("sid", (F.col("_flag_off") + F.sum(F.col("new").cast("int")).over(w_run)).cast("bigint"))
-          .withColumn("g", (F.col("_row_off") + F.col("_lrn")).cast("bigint")))
-    return j.drop("_lag", "_lrn", "_prev_last", "_row_off", "_flag_off", "_blk")
+def _session_rows(df: DataFrame, key: str, ts: str, tie: str, url: str, timeout_s: int,
+                  keep_max: int, block_s: int) -> DataFrame:
+    """Per request: ``sid``, ``session_start``, ``session_length`` and the
+    first ``keep_max`` URLs of its session so far (``clickstream``).
+
+    One shuffle of the rows, by (key, time block).  A window per block
+    gives each row its gap flag, its row number and running counts; what a
+    block needs from the earlier blocks of its key (rows before it, session
+    starts before it, the start and first URLs of a session still open at
+    its first row) comes from the block summaries (one row per key and
+    block), folded per key by windows and joined back on the same
+    (key, block) columns the rows are already partitioned by.  The rows
+    feed both the summary and the join with the same columns, so Spark
+    reuses the one exchange instead of reading the input twice.  Lists are
+    bounded: a running ``collect_list`` sees only the first ``keep_max``
+    rows of a session, and a carried prefix at most ``keep_max`` blocks.
+    """
+    T, K = timeout_s * US, keep_max
+    kn, kv = F.col(key).isNull().alias("_kn"), F.coalesce(F.col(key).cast("string"), F.lit("")).alias("_kv")
+    base = (df.where(F.col(ts).isNotNull())
+            .select(key, ts, tie, url, kn, kv, to_micros(ts).alias("_us"))
+            # never null here; declared so, no null test is inferred from
+            # the join into one branch only (which would stop exchange reuse)
+            .withColumn("_blk", F.coalesce(F.floor(F.col("_us") / F.lit(block_s * US)), F.lit(0))))
+    part = ["_kn", "_kv", "_blk"]
+    w_in = Window.partitionBy(*part).orderBy("_us", tie)
+    run = w_in.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    d = (base.withColumn("_lrn", F.row_number().over(w_in))
+         .withColumn("_lag", F.lag("_us").over(w_in)))
+    d = d.withColumn("_inew", (F.col("_lag").isNotNull() & (F.col("_us") - F.col("_lag") > T)).cast("int"))
+    is_start = F.col("_inew") == 1
+    d = (d.withColumn("_irun", F.sum("_inew").over(run))
+         .withColumn("_istart_us", F.last(F.when(is_start, F.col("_us")), ignorenulls=True).over(run))
+         .withColumn("_istart_lrn", F.last(F.when(is_start, F.col("_lrn")), ignorenulls=True).over(run))
+         .withColumn("_btot", F.sum("_inew").over(Window.partitionBy(*part))))
+
+    # Block summaries.  _contrib: first URLs of the session open at the
+    # block's end, as far as they lie in this block.
+    local_pos = F.col("_lrn") - F.coalesce(F.col("_istart_lrn"), F.lit(1)) + 1
+    contrib = F.when((F.col("_irun") == F.col("_btot")) & (local_pos <= K), F.struct("_lrn", url))
+    # Grouping by the key column too (it is fixed by _kn, _kv) and taking
+    # the block end from ``ts`` keep this branch's columns equal to the
+    # rows' own, which is what lets Spark reuse their exchange.
+    summ = d.groupBy(*part, key).agg(
+        F.min("_us").alias("_first"), to_micros(F.max(ts)).alias("_last"), F.count(F.lit(1)).alias("_cnt"),
+        F.max("_btot").alias("_inner"),
+        F.max(F.when(is_start, F.col("_us"))).alias("_bstart_us"),
+        F.max(F.when(is_start, F.col("_lrn"))).alias("_bstart_lrn"),
+        F.transform(F.sort_array(F.collect_list(contrib)), lambda x: x[url]).alias("_contrib"))
+    wb = Window.partitionBy("_kn", "_kv").orderBy("_blk")
+    before = wb.rowsBetween(Window.unboundedPreceding, -1)
+    upto = wb.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    prev_last = F.lag("_last").over(wb)
+    first_new = (prev_last.isNull() | (F.col("_first") - prev_last > T)).cast("int")
+    s = (summ.withColumn("_first_new", first_new)
+         .withColumn("_row_off", F.coalesce(F.sum("_cnt").over(before), F.lit(0)))
+         .withColumn("_flag_off", F.coalesce(F.sum(F.col("_inner") + F.col("_first_new")).over(before), F.lit(0))))
+    fn1 = F.col("_first_new") == 1
+    s = (s.withColumn("_end_start_us", F.coalesce("_bstart_us", F.when(fn1, F.col("_first"))))
+         .withColumn("_end_start_g", F.coalesce(F.col("_row_off") + F.col("_bstart_lrn"),
+                                                F.when(fn1, F.col("_row_off") + 1)))
+         .withColumn("_seg", F.sum(((F.col("_inner") > 0) | fn1).cast("int")).over(upto)))
+    wseg = Window.partitionBy("_kn", "_kv", "_seg").orderBy("_blk")
+    seg_before = wseg.rowsBetween(Window.unboundedPreceding, -1)
+    acc_before = F.coalesce(F.sum(F.size("_contrib")).over(seg_before), F.lit(0))
+    s = s.withColumn("_need", F.when(acc_before < K, F.col("_contrib")))
+    carried = F.slice(F.flatten(F.collect_list("_need").over(seg_before)), 1, K)
+    s = s.withColumn("_carry_out", F.slice(F.concat(carried, F.col("_contrib")), 1, K))
+    s = s.select(*part, "_first", "_first_new", "_row_off", "_flag_off",
+                 F.last("_end_start_us", ignorenulls=True).over(before).alias("_carry_start_us"),
+                 F.last("_end_start_g", ignorenulls=True).over(before).alias("_carry_start_g"),
+                 F.lag("_carry_out").over(wb).alias("_carry_in"))
+
+    j = d.join(s, part)
+    fnr = F.col("_first_new") == 1
+    cont = (F.col("_irun") == 0) & ~fnr          # the row continues a session of an earlier block
+    g = F.col("_row_off") + F.col("_lrn")
+    g0 = F.coalesce(F.col("_row_off") + F.col("_istart_lrn"), F.when(fnr, F.col("_row_off") + 1),
+                    F.col("_carry_start_g"))
+    start_us = F.coalesce("_istart_us", F.when(fnr, F.col("_first")), "_carry_start_us")
+    j = j.select(key, ts, tie, url, *part, "_us", F.col("_carry_in"), cont.alias("_cont"),
+                 (F.col("_flag_off") + F.col("_first_new") + F.col("_irun")).cast("bigint").alias("sid"),
+                 from_micros(start_us).alias("_start"),
+                 (g - g0 + 1).cast("bigint").alias("session_length"))
+    w_s = Window.partitionBy(*part, "sid").orderBy("_us", tie).rowsBetween(Window.unboundedPreceding,
+                                                                           Window.currentRow)
+    local = F.collect_list(F.when(F.col("session_length") <= K, F.col(url))).over(w_s)
+    prefix = F.when(F.col("_cont"), F.coalesce("_carry_in", F.array().cast("array<string>"))) \
+        .otherwise(F.array().cast("array<string>"))
+    clicks = F.slice(F.concat(prefix, local), 1, F.least(F.col("session_length"), F.lit(K)).cast("int"))
+    return j.select(key, ts, tie, url, "sid", F.col("_start").cast(df.schema[ts].dataType).alias("session_start"),
+                    "session_length", clicks.alias("clickstream"))
 
 
 def running_sessions(df: DataFrame, key: str = "ip", ts: str = "ts", url: str = "url",
                      tie: str = "event_id", timeout_s: int = SESSION_TIMEOUT_S,
-                     keep_max: int = CLICKSTREAM_MAX) -> DataFrame:
+                     keep_max: int = CLICKSTREAM_MAX, block_s: int = 86_400) -> DataFrame:
     """Per request: ``session_start``, ``session_length`` (requests so far in
     the session) and ``clickstream`` (its first ``keep_max`` URLs so far)."""
-    a = assign_sessions(df, key, ts, tie, timeout_s)
-    starts = a.where("new").select(key, "sid", F.col("g").alias("_g0"), F.col(ts).alias("session_start"))
-    r = _null_safe_join(a, starts, [key, "sid"])
-    r = r.withColumn("session_length", F.col("g") - F.col("_g0") + 1)
-    first = (r.where(F.col("session_length") <= keep_max)
-             .groupBy(key, "sid")
-             .agg(F.sort_array(F.collect_list(F.struct("session_length", url))).alias("_f")))
-    first = first.select(key, "sid", F.transform("_f", lambda x: x[url]).alias("_urls"))
-    out = _null_safe_join(r, first, [key, "sid"])
-    out = out.withColumn("clickstream",
-                         F.slice("_urls", 1, F.least(F.col("session_length"), F.lit(keep_max)).cast("int")))
-    return out.drop("_g0", "_urls", "_us", "g", "new")
+    return _session_rows(df, key, ts, tie, url, timeout_s, keep_max, block_s).drop("sid")
 
 
 def sessions(df: DataFrame, key: str = "ip", ts: str = "ts", url: str = "url", tie: str = "event_id",
-             timeout_s: int = SESSION_TIMEOUT_S, keep_max: int = CLICKSTREAM_MAX) -> DataFrame:
-    """One row per session: start, end, number of requests, first URLs."""
-    a = assign_sessions(df, key, ts, tie, timeout_s)
-    stats = a.groupBy(key, "sid").agg(F.min(ts).alias("session_start"), F.max(ts).alias("session_end"),
-                                      F.min("g").alias("_g0"), F.count(F.lit(1)).alias("session_length"))
-    r = _null_safe_join(a.select(key, "sid", "g", url), stats.select(key, "sid", "_g0"), [key, "sid"])
-    first = (r.where(F.col("g") - F.col("_g0") < keep_max)
-             .groupBy(key, "sid")
-             .agg(F.sort_array(F.collect_list(F.struct("g", url))).alias("_f")))
-    first = first.select(key, "sid", F.transform("_f", lambda x: x[url]).alias("clickstream"))
-    return _null_safe_join(stats.drop("_g0"), first, [key, "sid"])
+             timeout_s: int = SESSION_TIMEOUT_S, keep_max: int = CLICKSTREAM_MAX,
+             block_s: int = 86_400) -> DataFrame:
+    """One row per session: start, end, number of requests, first URLs.
+    One aggregate over the per-request rows (partial per task, so a huge
+    session is one row per task before the shuffle; the URL list holds at
+    most ``keep_max`` entries)."""
+    r = _session_rows(df, key, ts, tie, url, timeout_s, keep_max, block_s)
+    first = F.when(F.col("session_length") <= keep_max, F.struct("session_length", url))
+    return r.groupBy(key, "sid").agg(
+        F.min(ts).alias("session_start"), F.max(ts).alias("session_end"),
+        F.count(F.lit(1)).alias("session_length"),
+        F.transform(F.sort_array(F.collect_list(first)), lambda x: x[url]).alias("clickstream"))
 
 
 def session_snapshot(df: DataFrame, key: str = "ip", ts: str = "ts", url: str = "url",
