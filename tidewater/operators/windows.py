@@ -94,21 +94,32 @@ def keyed_running_sum(df: DataFrame, keys, order_col: str, value_col: str, out_c
     task; a key holding a third of the rows would then run alone.  The
     running sum is computed instead per (key, block of ``order_col``), and
     each block is shifted by the total of the earlier blocks of its key,
-    read from a table of block totals (one row per key and block).
+    read from a table of block totals (one row per key and block).  The
+    join is on the non-null columns the rows are partitioned by, so the
+    rows are not shuffled again for it.
     ``order_col`` must be unique within a key.
     """
     ks = _keys(keys)
-    d = df.withColumn("_blk", F.floor(F.col(order_col) / F.lit(block)))
-    w_local = (Window.partitionBy(*ks, "_blk").orderBy(order_col)
+    kcols = []
+    for i, k in enumerate(ks):
+        kcols += [F.col(k).isNull().alias(f"_kn{i}"),
+                  F.coalesce(F.col(k).cast("string"), F.lit("")).alias(f"_kv{i}")]
+    part = [c for i in range(len(ks)) for c in (f"_kn{i}", f"_kv{i}")] + ["_blk"]
+    d = df.select("*", *kcols,
+                  F.coalesce(F.floor(F.col(order_col) / F.lit(block)), F.lit(0)).alias("_blk"))
+    w_local = (Window.partitionBy(*part).orderBy(order_col)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = d.withColumn("_local", F.sum(value_col).over(w_local))
-    totals = d.groupBy(*ks, "_blk").agg(F.sum(value_col).alias("_bt"))
-    w_blocks = (Window.partitionBy(*ks).orderBy("_blk")
+    # Block totals are summed partially in each task before their own
+    # (small) shuffle; the rows under both branches are the same plan, so
+    # Spark reuses its exchange and the input is read once.
+    totals = d.groupBy(*part).agg(F.sum(value_col).alias("_bt"))
+    w_blocks = (Window.partitionBy(*part[:-1]).orderBy("_blk")
                 .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = totals.select(*ks, "_blk",
-                            F.coalesce(F.sum("_bt").over(w_blocks), F.lit(0)).alias("_off"))
-    j = _null_safe_join(local, offsets, ks + ["_blk"])
-    return j.withColumn(out_col, F.col("_local") + F.col("_off")).drop("_local", "_off", "_blk")
+    offsets = totals.select(*part, F.coalesce(F.sum("_bt").over(w_blocks), F.lit(0)).alias("_off"))
+    j = local.join(offsets, part)
+    return (j.withColumn(out_col, F.col("_local") + F.col("_off"))
+            .select(*df.columns, out_col))
 
 
 def sliding_change_points(df: DataFrame, ts: str, keys, length_s: int, slide_s: int,
