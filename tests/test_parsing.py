@@ -92,3 +92,23 @@ def test_alarm_thresholds(spark, ok, err, verdict):
     got = spark.createDataFrame([(ok, err)], "ok long, err long").select(
         W.alarm_verdict("ok", "err").alias("v")).first().v
     assert got == verdict
+
+
+def test_lines_equal_regex_rule_on_random_texts(spark):
+    """Literal CR/LF rewriting equals the CRLF|CR|LF rule with one final
+    break dropped, on texts dense in breaks."""
+    import random
+    import re
+    rng = random.Random(7)
+    texts = ["".join(rng.choice("ab \r\n") for _ in range(rng.randint(0, 12))) for _ in range(400)]
+    texts += ["\r", "\n", "\r\n", "\r\r\n", "\n\r", "x\r\r\n", "\r\n\n"]
+
+    def rule(t):
+        if t == "":
+            return []
+        return re.split(r"\r\n|\r|\n", re.sub(r"(\r\n|\r|\n)\Z", "", t, count=1))
+
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = {r.i: r.l for r in df.select("i", lines("t").alias("l")).collect()}
+    for i, t in enumerate(texts):
+        assert got[i] == rule(t), repr(t)

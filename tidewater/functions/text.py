@@ -31,18 +31,19 @@ def _quote(sep: str) -> str:
     return "\\" + sep if sep in ".$|()[]{}^?*+\\" else sep
 
 
-LINE_BREAK = r"\r\n|\r|\n"
-
-
 def lines(text: Column | str) -> Column:
     """Lines of a text as a text-file reader gives them.
 
     Breaks are LF, CR or CRLF; one final break does not open an empty line
-    and an empty text has no lines.
+    and an empty text has no lines.  CRLF and then lone CR are rewritten to
+    LF with literal replaces (the same breaks a left-to-right ``CRLF|CR|LF``
+    match finds), so the split is on one plain character, which the JVM
+    does without a regex engine.
     """
     t = _c(text)
-    body = F.regexp_replace(t, "(" + LINE_BREAK + r")\z", "")
-    return F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(body, LINE_BREAK))
+    norm = F.replace(F.replace(t, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
+    body = F.when(norm.endswith("\n"), norm.substr(F.lit(1), F.length(norm) - 1)).otherwise(norm)
+    return F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(body, "\n"))
 
 
 def utf16_length(s: Column | str) -> Column:
