@@ -66,3 +66,15 @@ def test_keyed_running_sum_across_blocks(spark):
         for kk, o, v in sorted((r for r in rows if r[0] == k), key=lambda r: r[1]):
             run += v
             assert got[(k, o)] == run
+
+
+def test_running_sum_and_max_without_key_across_blocks(spark):
+    rows = [(o, (o * 37) % 11, (o * 53) % 17) for o in range(0, 300, 3)]
+    df = spark.createDataFrame(rows, "o long, a long, b long")
+    got = {r.o: (r.s, r.m) for r in Wn.keyed_running(df, [], "o", {"s": ("sum", "a"), "m": ("max", "b")},
+                                                      block=20).collect()}
+    s = m = None
+    for o, a, b in rows:
+        s = a if s is None else s + a
+        m = b if m is None else max(m, b)
+        assert got[o] == (s, m), o

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.functions.text import is_hashtag, jvm_split, lines, utf16_length
+from tidewater.operators.windows import US, keyed_running, to_micros
 from tidewater.streaming.batches import batch_start
 
 
@@ -50,19 +51,21 @@ def running_length_totals(df: DataFrame, ts: str, batch_s: int, text: str = "tex
     integer average (as the reference prints it) and the exact average;
     plus the longest text so far.
 
-    The per-batch aggregate is distributed; the running sum then runs over
-    one row per batch, a table bounded by the time span, not the data.
+    The per-batch aggregate is distributed (one row per batch); the running
+    totals over the batches are then computed per day of batches and
+    carried across days (``keyed_running``), so no single task holds them
+    all, however long the stream.
     """
     per = (df.where(F.col(ts).isNotNull())
            .groupBy(batch_start(ts, batch_s).alias("batch_start"))
            .agg(F.count(F.lit(1)).alias("_n"),
                 F.sum(utf16_length(text)).alias("_c"),
-                F.max(utf16_length(text)).alias("_m")))
-    w = Window.orderBy("batch_start").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = per.select("batch_start",
-                     F.sum("_n").over(w).cast("bigint").alias("n_posts"),
-                     F.sum("_c").over(w).cast("bigint").alias("total_chars"),
-                     F.max("_m").over(w).cast("bigint").alias("max_len"))
+                F.max(utf16_length(text)).alias("_m"))
+           .withColumn("_bus", to_micros("batch_start")))
+    run = keyed_running(per, [], "_bus", {"n_posts": ("sum", "_n"), "total_chars": ("sum", "_c"),
+                                          "max_len": ("max", "_m")}, 86_400 * US)
+    out = run.select("batch_start", *[F.col(c).cast("bigint").alias(c)
+                                      for c in ("n_posts", "total_chars", "max_len")])
     return (out.withColumn("avg_len", F.expr("total_chars div n_posts"))
             .withColumn("avg_len_exact", F.col("total_chars") / F.col("n_posts")))
 

@@ -86,18 +86,18 @@ def _null_safe_join(left: DataFrame, right: DataFrame, on: list[str], how: str =
     return j.drop(*["_r_" + c for c in on])
 
 
-def keyed_running_sum(df: DataFrame, keys, order_col: str, value_col: str, out_col: str,
-                      block: int) -> DataFrame:
-    """Running sum of ``value_col`` per key in ``order_col`` order.
+def keyed_running(df: DataFrame, keys, order_col: str, aggs: dict, block: int) -> DataFrame:
+    """Running sums and maxima per key in ``order_col`` order.
 
+    ``aggs`` maps an output column to ``("sum" | "max", input column)``.
     A plain ``sum() over (partition by key)`` puts a whole key into one
-    task; a key holding a third of the rows would then run alone.  The
-    running sum is computed instead per (key, block of ``order_col``), and
-    each block is shifted by the total of the earlier blocks of its key,
-    read from a table of block totals (one row per key and block).  The
-    join is on the non-null columns the rows are partitioned by, so the
-    rows are not shuffled again for it.
-    ``order_col`` must be unique within a key.
+    task (and with no key, the whole table); a key holding a third of the
+    rows would then run alone.  The running values are computed instead
+    per (key, block of ``order_col``), and each block is combined with the
+    totals of the earlier blocks of its key, read from a table of block
+    totals (one row per key and block).  The join is on the non-null
+    columns the rows are partitioned by, so the rows are not shuffled again
+    for it.  ``order_col`` must be unique within a key.
     """
     ks = _keys(keys)
     kcols = []
@@ -107,19 +107,31 @@ def keyed_running_sum(df: DataFrame, keys, order_col: str, value_col: str, out_c
     part = [c for i in range(len(ks)) for c in (f"_kn{i}", f"_kv{i}")] + ["_blk"]
     d = df.select("*", *kcols,
                   F.coalesce(F.floor(F.col(order_col) / F.lit(block)), F.lit(0)).alias("_blk"))
+    fns = {"sum": F.sum, "max": F.max}
     w_local = (Window.partitionBy(*part).orderBy(order_col)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = d.withColumn("_local", F.sum(value_col).over(w_local))
-    # Block totals are summed partially in each task before their own
+    local = d.select("*", *[fns[kind](c).over(w_local).alias(f"_l_{o}") for o, (kind, c) in aggs.items()])
+    # Block totals are aggregated partially in each task before their own
     # (small) shuffle; the rows under both branches are the same plan, so
     # Spark reuses its exchange and the input is read once.
-    totals = d.groupBy(*part).agg(F.sum(value_col).alias("_bt"))
+    totals = d.groupBy(*part).agg(*[fns[kind](c).alias(f"_t_{o}") for o, (kind, c) in aggs.items()])
     w_blocks = (Window.partitionBy(*part[:-1]).orderBy("_blk")
                 .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = totals.select(*part, F.coalesce(F.sum("_bt").over(w_blocks), F.lit(0)).alias("_off"))
+    offsets = totals.select(*part, *[fns[kind](f"_t_{o}").over(w_blocks).alias(f"_o_{o}")
+                                     for o, (kind, _) in aggs.items()])
     j = local.join(offsets, part)
-    return (j.withColumn(out_col, F.col("_local") + F.col("_off"))
-            .select(*df.columns, out_col))
+    outs = []
+    for o, (kind, _) in aggs.items():
+        lo, off = F.col(f"_l_{o}"), F.col(f"_o_{o}")
+        outs.append((lo + F.coalesce(off, F.lit(0)) if kind == "sum" else F.greatest(lo, off)).alias(o))
+    return j.select(*df.columns, *outs)
+
+
+def keyed_running_sum(df: DataFrame, keys, order_col: str, value_col: str, out_col: str,
+                      block: int) -> DataFrame:
+    """Running sum of ``value_col`` per key in ``order_col`` order (see
+    ``keyed_running``)."""
+    return keyed_running(df, keys, order_col, {out_col: ("sum", value_col)}, block)
 
 
 def sliding_change_points(df: DataFrame, ts: str, keys, length_s: int, slide_s: int,
