@@ -24,6 +24,11 @@ from tidewater.operators.windows import US, from_micros, to_micros
 SESSION_TIMEOUT_S = 30 * 60   # idle time after which a key's state expires
 CLICKSTREAM_MAX = 10          # URLs kept per session
 
+# Time block of the skew-safe plan: the most one task holds for one key is
+# one hour of that key's requests; the block summaries have at most one row
+# per request (and a busy key one row per hour).
+SESSION_BLOCK_S = 3_600
+
 
 def append_keep_first(xs, x, keep_max: int = CLICKSTREAM_MAX) -> F.Column:
     """State update of a clickstream: append ``x`` and keep the first
@@ -136,7 +141,7 @@ def _session_rows(df: DataFrame, key: str, ts: str, tie: str, url: str, timeout_
 
 def running_sessions(df: DataFrame, key: str = "ip", ts: str = "ts", url: str = "url",
                      tie: str = "event_id", timeout_s: int = SESSION_TIMEOUT_S,
-                     keep_max: int = CLICKSTREAM_MAX, block_s: int = 86_400) -> DataFrame:
+                     keep_max: int = CLICKSTREAM_MAX, block_s: int = SESSION_BLOCK_S) -> DataFrame:
     """Per request: ``session_start``, ``session_length`` (requests so far in
     the session) and ``clickstream`` (its first ``keep_max`` URLs so far)."""
     return _session_rows(df, key, ts, tie, url, timeout_s, keep_max, block_s).drop("sid")
@@ -144,7 +149,7 @@ def running_sessions(df: DataFrame, key: str = "ip", ts: str = "ts", url: str =
 
 def sessions(df: DataFrame, key: str = "ip", ts: str = "ts", url: str = "url", tie: str = "event_id",
              timeout_s: int = SESSION_TIMEOUT_S, keep_max: int = CLICKSTREAM_MAX,
-             block_s: int = 86_400) -> DataFrame:
+             block_s: int = SESSION_BLOCK_S) -> DataFrame:
     """One row per session: start, end, number of requests, first URLs.
     One aggregate over the per-request rows (partial per task, so a huge
     session is one row per task before the shuffle; the URL list holds at
