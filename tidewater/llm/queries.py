@@ -8,10 +8,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import exact_dedup, mixing, secrets, shards
+from tidewater.llm import exact_dedup, mixing, secrets, shards, substring_dedup
 from tidewater.llm.common import table
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = shards.shard_by_bytes(table(spark, sf_dir, "documents"))
     return out.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
@@ -40,4 +45,4 @@ def op10_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op6_histogram_shards, op7_secret_scan, op8_exact_dedup, op10_entropy_mix)}
+    f.__name__: f for f in (op4_substring_dedup, op6_histogram_shards, op7_secret_scan, op8_exact_dedup, op10_entropy_mix)}
