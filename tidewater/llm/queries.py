@@ -8,8 +8,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import exact_dedup, mixing, secrets, shards, substring_dedup
-from tidewater.llm.common import table
+from tidewater.llm import exact_dedup, mixing, packing, secrets, shards, substring_dedup
+from tidewater.llm.common import saved, table
+
+
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents"))
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    pieces = packing.tokenized(docs).select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return packing.pack(saved(pieces, "pieces"))
 
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,4 +54,4 @@ def op10_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_substring_dedup, op6_histogram_shards, op7_secret_scan, op8_exact_dedup, op10_entropy_mix)}
+    f.__name__: f for f in (op3_best_fit_packing, op4_substring_dedup, op6_histogram_shards, op7_secret_scan, op8_exact_dedup, op10_entropy_mix)}
