@@ -43,4 +43,19 @@ from a
 """
 
 
-ORACLES: dict[str, str] = {"op8_exact_dedup": OP8, "op7_secret_scan": _op7()}
+# SHA-1 to base32: eight groups of 20 bits, each four signs of five.
+OP1 = """
+with p as (
+  select page_id, octet_length(encode(coalesce(html, ''))) as payload_bytes, sha1(coalesce(html, '')) as h from pages
+), d as (
+  select page_id, payload_bytes, array_to_string(list_transform(range(0, 32), lambda i:
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[1 + ((('0x' || h[5 * (i // 4) + 1:5 * (i // 4) + 5])::bigint >> (15 - 5 * (i % 4))) & 31)]), '')
+    as payload_digest from p
+), g as (select payload_digest, max(page_id) as answer from d group by 1)
+select page_id, payload_bytes, payload_digest,
+       case when page_id = answer then 'response' else 'revisit' end as record_type,
+       case when page_id <> answer then answer end as refers_to
+from d join g using (payload_digest)
+"""
+
+ORACLES: dict[str, str] = {"op1_warc_revisits": OP1, "op8_exact_dedup": OP8, "op7_secret_scan": _op7()}
