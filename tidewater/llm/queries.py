@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import exact_dedup, mixing, packing, secrets, shards, substring_dedup, warc
+from tidewater.llm import ann, exact_dedup, mixing, packing, secrets, shards, substring_dedup, warc
 from tidewater.llm.common import saved, table
 
 
@@ -55,10 +55,14 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op9_tree_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op10_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.mix(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_warc_revisits, op3_best_fit_packing, op4_substring_dedup, op6_histogram_shards, op7_secret_scan, op8_exact_dedup, op10_entropy_mix)}
+    f.__name__: f for f in (op1_warc_revisits, op3_best_fit_packing, op4_substring_dedup, op6_histogram_shards, op7_secret_scan, op8_exact_dedup, op9_tree_neighbours, op10_entropy_mix)}
