@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import ann, exact_dedup, mixing, packing, secrets, shards, substring_dedup, warc
+from tidewater.llm import ann, exact_dedup, mixing, packing, quality, secrets, shards, substring_dedup, warc
 from tidewater.llm.common import saved, table
 
 
@@ -33,6 +33,13 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score",
+                         (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op6_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = shards.shard_by_bytes(table(spark, sf_dir, "documents"))
     return out.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
@@ -65,4 +72,4 @@ def op10_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_warc_revisits, op3_best_fit_packing, op4_substring_dedup, op6_histogram_shards, op7_secret_scan, op8_exact_dedup, op9_tree_neighbours, op10_entropy_mix)}
+    f.__name__: f for f in (op1_warc_revisits, op3_best_fit_packing, op4_substring_dedup, op5_quality, op6_histogram_shards, op7_secret_scan, op8_exact_dedup, op9_tree_neighbours, op10_entropy_mix)}
