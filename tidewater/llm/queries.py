@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import ann, exact_dedup, mixing, packing, quality, secrets, shards, substring_dedup, warc
+from tidewater.llm import ann, exact_dedup, jaccard_join, mixing, packing, quality, secrets, shards, substring_dedup, warc
 from tidewater.llm.common import saved, table
 
 
@@ -19,6 +19,11 @@ def op1_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "payload_bytes", F.col("digest").alias("payload_digest"), "record_type", "refers_to")
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_shingles", "component_id")
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"))
 
@@ -72,4 +77,4 @@ def op10_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_warc_revisits, op3_best_fit_packing, op4_substring_dedup, op5_quality, op6_histogram_shards, op7_secret_scan, op8_exact_dedup, op9_tree_neighbours, op10_entropy_mix)}
+    f.__name__: f for f in (op1_warc_revisits, op2_jaccard_join, op3_best_fit_packing, op4_substring_dedup, op5_quality, op6_histogram_shards, op7_secret_scan, op8_exact_dedup, op9_tree_neighbours, op10_entropy_mix)}
