@@ -43,6 +43,12 @@ def own_columns(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{n}`") for n in names])
 
 
+def as_rows(df: DataFrame, **keys: Column) -> DataFrame:
+    """Every row of ``df`` as one struct ``_doc`` beside the given keys, so
+    its columns cannot clash with what is joined to it."""
+    return df.select(F.struct("*").alias("_doc"), *[c.alias(k) for k, c in keys.items()])
+
+
 def partitions_for(rows: int, per_partition: int, least: int = 1) -> int:
     """How many parts hold ``rows`` at ``per_partition`` each."""
     return max(least, -(-int(rows) // per_partition))

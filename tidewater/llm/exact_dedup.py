@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import ascii_lower, own_columns, saved
+from tidewater.llm.common import as_rows, ascii_lower, own_columns, saved
 
 COUNTERS = 1024
 
@@ -86,12 +86,11 @@ def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
                           counters: int = COUNTERS) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
     stay = (exact_dedup(docs, id_col, text_col, counters).filter("kept")
-            .select(F.col("doc_id").alias("_stay_id"), F.col("digest").alias("_stay_digest")))
-    text = ascii_lower(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
-    keyed = docs.withColumn("_digest", F.unhex(F.sha2(text, 256)))
-    twin = Window.partitionBy(f"`{id_col}`", "_digest").orderBy(f"`{text_col}`")
+            .select(F.col("doc_id").alias("stay_id"), F.col("digest").alias("stay_digest")))
+    text = F.col(f"`{text_col}`")
+    keyed = as_rows(docs, id=F.col(f"`{id_col}`"), t=text,
+                    digest=F.unhex(F.sha2(ascii_lower(F.coalesce(text, F.lit(""))), 256)))
+    twin = Window.partitionBy("id", "digest").orderBy("t")
     # rows alike in id and text: the join keeps them all, the row number one
-    return (keyed.join(stay, F.col(f"`{id_col}`").eqNullSafe(F.col("_stay_id"))
-                       & (F.col("_digest") == F.col("_stay_digest")), "left_semi")
-            .withColumn("_twin", F.row_number().over(twin)).filter("_twin = 1")
-            .drop("_twin", "_digest"))
+    return (keyed.join(stay, F.col("id").eqNullSafe(F.col("stay_id")) & (F.col("digest") == F.col("stay_digest")), "left_semi")
+            .withColumn("twin", F.row_number().over(twin)).filter("twin = 1").select("_doc.*"))

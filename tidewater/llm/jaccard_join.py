@@ -47,7 +47,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import own_columns, saved
+from tidewater.llm.common import as_rows, own_columns, saved
 from tidewater.llm.substring_dedup import pack_hashes, unpack_hashes
 from tidewater.llm.words import mix, pieces, whole_rows, windows
 
@@ -456,6 +456,7 @@ def _plausible(pairs: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs``, of each component only those of its smallest id."""
     stay = (near_duplicates(docs, id_col, text_col, **options).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .select(F.col("doc_id").alias("_stay_id"), F.col("fp").alias("_stay_fp")))
-    return docs.join(stay, F.col(f"`{id_col}`").eqNullSafe(F.col("_stay_id"))
-                     & (F.xxhash64(f"`{text_col}`") == F.col("_stay_fp")), "left_semi")
+            .select(F.col("doc_id").alias("stay_id"), F.col("fp").alias("stay_fp")))
+    keyed = as_rows(docs, id=F.col(f"`{id_col}`"), fp=F.xxhash64(f"`{text_col}`"))
+    return keyed.join(stay, F.col("id").eqNullSafe(F.col("stay_id")) & (F.col("fp") == F.col("stay_fp")),
+                      "left_semi").select("_doc.*")

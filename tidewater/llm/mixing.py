@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import own_columns, saved, word_count
+from tidewater.llm.common import as_rows, own_columns, saved, word_count
 
 WEIGHTS = (5.0, 2.0, 1.0)   # repeated over the sources in order
 SHARE = 1.5                 # budget as a multiple of all words
@@ -181,18 +181,13 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     source_col: str = "source", **options) -> DataFrame:
     """The documents of the mix, each repeated by its copies, with the
     columns of ``docs``."""
-    plan = mix(docs, id_col, text_col, source_col, **options)
-    twin = Window.partitionBy("_id", "_fp", "_source").orderBy(F.lit(1))
-    plan = (plan.select(F.col("doc_id").alias("_id"), F.col("fp").alias("_fp"), F.col("source").alias("_source"),
-                        F.col("copies").alias("_copies"))
-            .withColumn("_twin", F.row_number().over(twin)).filter("_copies > 0"))
-    names = docs.columns
-    keyed = docs.withColumns({"_k_id": F.col(f"`{id_col}`"), "_k_fp": F.xxhash64(f"`{text_col}`"),
-                              "_k_source": F.col(f"`{source_col}`")})
-    keyed = keyed.withColumn("_k_twin", F.row_number().over(
-        Window.partitionBy("_k_id", "_k_fp", "_k_source").orderBy(F.lit(1))))
-    on = (F.col("_k_id").eqNullSafe(F.col("_id")) & F.col("_k_fp").eqNullSafe(F.col("_fp"))
-          & F.col("_k_source").eqNullSafe(F.col("_source")) & (F.col("_k_twin") == F.col("_twin")))
-    return (keyed.join(plan, on)
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
-            .select(*[F.col(f"`{n}`") for n in names]))
+    twin = Window.partitionBy("id", "fp", "source").orderBy(F.lit(1))  # rows alike in all three, one by one
+    plan = (mix(docs, id_col, text_col, source_col, **options).withColumnRenamed("doc_id", "id")
+            .withColumn("twin", F.row_number().over(twin)).filter("copies > 0")
+            .select(*[F.col(c).alias(f"p_{c}") for c in ("id", "fp", "source", "twin", "copies")]))
+    keyed = as_rows(docs, id=F.col(f"`{id_col}`"), fp=F.xxhash64(f"`{text_col}`"), source=F.col(f"`{source_col}`"))
+    keyed = keyed.withColumn("twin", F.row_number().over(twin))
+    on = (F.col("id").eqNullSafe(F.col("p_id")) & (F.col("fp") == F.col("p_fp"))
+          & F.col("source").eqNullSafe(F.col("p_source")) & (F.col("twin") == F.col("p_twin")))
+    return (keyed.join(plan, on).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("p_copies").cast("int"))))
+            .select("_doc.*"))
