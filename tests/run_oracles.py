@@ -14,7 +14,7 @@ from tidewater.session import get_session  # noqa: E402
 
 sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
 names = sys.argv[2:] or sorted(all_queries())
-spark = get_session(shuffle_partitions=8)
+spark = get_session(master="local[8]", shuffle_partitions=8)
 con = duck_connection(sf)
 bad = 0
 for n in names:

@@ -60,7 +60,7 @@ def test_top_k_ties_broken_by_key(spark):
 def test_keyed_running_sum_across_blocks(spark):
     rows = [("x", i, 1) for i in range(50)] + [("y", i, 2) for i in range(0, 50, 5)] + [(None, 3, 4), (None, 9, 1)]
     df = spark.createDataFrame(rows, "k string, o long, v long")
-    got = {(r.k, r.o): r.s for r in Wn.keyed_running_sum(df, ["k"], "o", "v", "s", block=7).collect()}
+    got = {(r.k, r.o): r.s for r in Wn.keyed_running(df, ["k"], "o", {"s": ("sum", "v")}, block=7).collect()}
     for k in ("x", "y", None):
         run = 0
         for kk, o, v in sorted((r for r in rows if r[0] == k), key=lambda r: r[1]):

@@ -1,18 +1,19 @@
-"""User-function hooks: vectorised (Arrow) pandas UDFs and a Python UDTF.
+"""User-function hooks: vectorised (Arrow) functions over columns, groups
+and tables.
 
 Built-in column expressions come first everywhere in this library; these
 are the open hooks for logic that has no built-in form.  Each works on
-whole Arrow batches, never row by row (the UDTF is the exception Spark's
-API imposes for table functions and is kept off the hot paths).
+whole Arrow batches, never row by row.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import DataType
@@ -23,11 +24,6 @@ def vectorized_map(fn: Callable[[pd.Series], pd.Series], return_type: DataType |
     return pandas_udf(fn, return_type)
 
 
-def vectorized_reduce(fn: Callable[[pd.Series], object], return_type: DataType | str) -> Callable[..., Column]:
-    """Wrap a Series -> scalar function as a grouped-aggregate pandas UDF."""
-    return pandas_udf(fn, return_type)
-
-
 def _status_class(s: pd.Series) -> pd.Series:
     code = pd.to_numeric(s, errors="coerce").fillna(0).astype("int64")
     out = np.where((code >= 200) & (code < 300), "Success",
@@ -35,35 +31,41 @@ def _status_class(s: pd.Series) -> pd.Series:
     return pd.Series(out, index=s.index)
 
 
-def _sum_long(s: pd.Series) -> int:
-    return int(s.astype("int64").sum())
-
-
 def status_class_udf(col) -> Column:
     """Status class of a status text, computed in pandas (the UDF1 hook)."""
     return vectorized_map(_status_class, "string")(col)
 
 
-def sum_long_udf(col) -> Column:
-    """Sum as a grouped-aggregate pandas UDF (the UDF2 hook)."""
-    return vectorized_reduce(_sum_long, "bigint")(col)
+def partial_sums(df: DataFrame, key: str, value: str) -> DataFrame:
+    """Sum per key as a user aggregate with a partial step (the UDF2 hook):
+    a Python function folds each Arrow batch to one row per key, and a
+    built-in sum adds those up, so no group is gathered in Python."""
+    schema = f"{key} {df.schema[key].dataType.simpleString()}, part long"
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            t = pa.Table.from_batches([batch]).group_by(key).aggregate([(value, "sum")])
+            yield from t.select([key, f"{value}_sum"]).rename_columns([key, "part"]).to_batches()
+    parts = df.select(key, F.col(value).cast("long").alias(value)).mapInArrow(fold, schema)
+    return parts.groupBy(key).agg(F.sum("part").alias("total"))
 
 
 def make_word_udtf():
-    """Python UDTF: one row per space-separated word (JVM split rule)."""
-    from pyspark.sql.functions import udtf
+    """Arrow table function over a table of (id, text): one row per
+    space-separated word (JVM split rule), a batch at a time."""
+    from pyspark.sql.functions import arrow_udtf
 
-    @udtf(returnType="pos int, word string")
+    @arrow_udtf(returnType="id long, pos int, word string")
     class SplitWords:
-        def eval(self, text: str):
-            if text is None:
-                return
-            parts = text.split(" ")
-            while parts and parts[-1] == "" and len(parts) > 1:
-                parts.pop()
-            if text and all(p == "" for p in parts):
-                return
-            for i, w in enumerate(parts):
-                yield i, w
+        def eval(self, rows: pa.RecordBatch) -> Iterator[pa.Table]:
+            ids, words, pos = [], [], []
+            for i, text in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist()):
+                if text is None:
+                    continue
+                own = text.rstrip(" ").split(" ") if text.strip(" ") else ([""] if text == "" else [])
+                ids += [i] * len(own)
+                words += own
+                pos += range(len(own))
+            yield pa.table({"id": pa.array(ids, pa.int64()), "pos": pa.array(pos, pa.int32()), "word": pa.array(words, pa.string())})
 
     return SplitWords

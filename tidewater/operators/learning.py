@@ -40,11 +40,6 @@ def standardize(df: DataFrame, cols: list[str], stats=None, suffix: str = "_std"
     return out
 
 
-def unscale(col: Column | str, mean: float, std: float) -> Column:
-    col = F.col(col) if isinstance(col, str) else col
-    return col * F.lit(std) + F.lit(mean)
-
-
 # ---------------------------------------------------------------------------
 # k-means
 

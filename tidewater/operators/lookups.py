@@ -1,34 +1,28 @@
-"""Keyed lookups against a dimension table, with a default."""
+"""Keyed lookups against a dimension table, with a default.
+
+No join here is hinted: Spark broadcasts a dimension by its measured bytes
+(``spark.sql.autoBroadcastJoinThreshold``, again at run time under AQE) and
+shuffles it otherwise. A dimension is a map: of several rows of a key the
+one with the smallest value counts (nulls last), so a lookup never
+multiplies rows.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest dimension (in rows) that is shipped whole to every task.
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-def bounded_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Mark ``dim`` for broadcast only after proving it has at most
-    ``max_rows`` rows (a bounded ``limit(max_rows + 1).count()``, which stops
-    reading once the bound is passed).  Larger sides are left to a shuffled
-    join, which adaptive execution may still turn into a broadcast when the
-    runtime size allows."""
-    n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
-
 
 def lookup_with_default(df: DataFrame, dim: DataFrame, key: str, dim_key: str, value: str,
                         default, out: str | None = None) -> DataFrame:
     """``Try(map(k)) getOrElse default`` at table scale: a left join on the
     key; keys missing from ``dim`` get ``default``."""
-    d = bounded_broadcast(dim.select(F.col(dim_key).alias("_k"), F.col(value).alias("_v")))
+    d = dim.groupBy(F.col(dim_key).alias("_k")).agg(F.min(value).alias("_v"))
     j = df.join(d, df[key] == d["_k"], "left")
     return j.withColumn(out or value, F.coalesce(F.col("_v"), F.lit(default))).drop("_k", "_v")
 
 
 def key_present(df: DataFrame, dim: DataFrame, key: str, dim_key: str, present: bool = True) -> DataFrame:
     """Rows whose key is in ``dim`` (``present``) or is not (left anti)."""
-    d = bounded_broadcast(dim.select(F.col(dim_key).alias("_k")))
+    d = dim.select(F.col(dim_key).alias("_k"))
     return df.join(d, df[key] == d["_k"], "left_semi" if present else "left_anti")

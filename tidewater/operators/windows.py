@@ -47,22 +47,16 @@ def bucket_counts(df: DataFrame, ts: str, keys, slide_s: int, count_col: str = "
             .agg(F.count(F.lit(1)).alias(count_col)))
 
 
-def sliding_counts(df: DataFrame, ts: str, keys, length_s: int, slide_s: int,
-                   count_col: str = "n") -> DataFrame:
-    """Rows per (window, keys) for windows of ``length_s`` every ``slide_s``.
-
-    Windows are ``[start, start + length)`` on the slide grid, as Spark's
-    ``window(ts, length, slide)``; only windows holding rows appear.
-    Output: ``window_start, window_end, *keys, n`` (``n`` bigint).
-    """
+def windows_of_buckets(per_bucket: DataFrame, keys, length_s: int, slide_s: int,
+                       count_col: str = "n") -> DataFrame:
+    """Sliding-window counts from counts per (keys, slide bucket ``_b``):
+    only those counts are copied into the ``length/slide`` windows."""
     if length_s % slide_s:
         raise ValueError("window length must be a multiple of the slide")
     ks = _keys(keys)
-    per_bucket = bucket_counts(df, ts, ks, slide_s, count_col)
     ratio = length_s // slide_s
     if ratio == 1:
-        fanned = per_bucket.withColumn("_w", F.col("_b"))
-        out = fanned
+        out = per_bucket.withColumn("_w", F.col("_b"))
     else:
         fanned = (per_bucket
                   .withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(ratio - 1))))
@@ -73,17 +67,19 @@ def sliding_counts(df: DataFrame, ts: str, keys, length_s: int, slide_s: int,
                       *ks, F.col(count_col).cast("bigint").alias(count_col))
 
 
-def tumbling_counts(df: DataFrame, ts: str, keys, length_s: int, count_col: str = "n") -> DataFrame:
-    return sliding_counts(df, ts, keys, length_s, length_s, count_col)
+def sliding_counts(df: DataFrame, ts: str, keys, length_s: int, slide_s: int,
+                   count_col: str = "n") -> DataFrame:
+    """Rows per (window, keys) for windows of ``length_s`` every ``slide_s``.
+
+    Windows are ``[start, start + length)`` on the slide grid, as Spark's
+    ``window(ts, length, slide)``; only windows holding rows appear.
+    Output: ``window_start, window_end, *keys, n`` (``n`` bigint).
+    """
+    return windows_of_buckets(bucket_counts(df, ts, keys, slide_s, count_col), keys, length_s, slide_s, count_col)
 
 
-def _null_safe_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
-    """Equi-join on ``on`` where null keys match each other."""
-    r = right.select(*[F.col(c).alias("_r_" + c) for c in on],
-                     *[c for c in right.columns if c not in on])
-    cond = [left[c].eqNullSafe(r["_r_" + c]) for c in on]
-    j = left.join(r, cond, how)
-    return j.drop(*["_r_" + c for c in on])
+def tumbling_counts(df: DataFrame, ts: str, keys, length_s: int, count_col: str = "n") -> DataFrame:
+    return sliding_counts(df, ts, keys, length_s, length_s, count_col)
 
 
 def keyed_running(df: DataFrame, keys, order_col: str, aggs: dict, block: int) -> DataFrame:
@@ -127,43 +123,77 @@ def keyed_running(df: DataFrame, keys, order_col: str, aggs: dict, block: int) -
     return j.select(*df.columns, *outs)
 
 
-def keyed_running_sum(df: DataFrame, keys, order_col: str, value_col: str, out_col: str,
-                      block: int) -> DataFrame:
-    """Running sum of ``value_col`` per key in ``order_col`` order (see
-    ``keyed_running``)."""
-    return keyed_running(df, keys, order_col, {out_col: ("sum", value_col)}, block)
-
-
-def sliding_change_points(df: DataFrame, ts: str, keys, length_s: int, slide_s: int,
-                          count_col: str = "n", block_s: int = 86_400) -> DataFrame:
-    """Sliding-window counts as change points (the add/subtract form).
+def running_deltas(per_bucket: DataFrame, keys, cols: list[str], length_s: int, slide_s: int,
+                   block_s: int = 86_400, keep_zero: bool = False) -> DataFrame:
+    """Counts per (keys, bucket ``_b``) as running totals ``cols`` at every
+    time ``_t`` where one changes (the add/subtract form).
 
     Each bucket count enters the windows ending at ``bucket + slide`` and
     leaves at ``bucket + slide + length``.  Summing the signed deltas per
     (key, end) and running them per key gives the count of every window
-    ending at a change point; a count holds until the key's next change.
-    Zero rows mark where a key leaves the window.  Rows: ``2 x`` the
-    number of (key, bucket) pairs at most, however small the slide.
-    Output: ``window_end, *keys, n``.
+    ending at a change point.  Rows: ``2 x`` the number of (key, bucket)
+    pairs at most, however small the slide.  Times whose deltas cancel are
+    left out unless ``keep_zero``.  Output: ``*keys, _t, *cols`` and the
+    deltas ``_d_<col>``.
     """
     if length_s % slide_s:
         raise ValueError("window length must be a multiple of the slide")
     ks = _keys(keys)
-    per_bucket = bucket_counts(df, ts, ks, slide_s, "_c")
     enter = F.col("_b") + F.lit(slide_s * US)
     deltas = per_bucket.select(
         *ks, F.explode(F.array(
-            F.struct(enter.alias("t"), F.col("_c").alias("d")),
-            F.struct((enter + F.lit(length_s * US)).alias("t"), (-F.col("_c")).alias("d")),
+            F.struct(enter.alias("t"), *[F.col(c).alias(c) for c in cols]),
+            F.struct((enter + F.lit(length_s * US)).alias("t"), *[(-F.col(c)).alias(c) for c in cols]),
         )).alias("e"))
+    changed = None
+    for c in cols:
+        changed = (F.col(c) != 0) if changed is None else changed | (F.col(c) != 0)
     summed = (deltas.groupBy(*ks, F.col("e.t").alias("_t"))
-              .agg(F.sum("e.d").alias("_d"))
-              .where(F.col("_d") != 0))
-    run = keyed_running_sum(summed, ks, "_t", "_d", count_col, block_s * US)
-    return run.select(from_micros("_t").alias("window_end"), *ks,
+              .agg(*[F.sum(f"e.{c}").alias(c) for c in cols]))
+    summed = summed if keep_zero else summed.where(changed)
+    named = summed.select(*ks, "_t", *[F.col(c).alias(f"_d_{c}") for c in cols])
+    run = keyed_running(named, ks, "_t", {c: ("sum", f"_d_{c}") for c in cols}, block_s * US)
+    return run.select(*ks, "_t", *cols, *[f"_d_{c}" for c in cols])
+
+
+def sliding_change_points(df: DataFrame, ts: str, keys, length_s: int, slide_s: int,
+                          count_col: str = "n", block_s: int = 86_400) -> DataFrame:
+    """Sliding-window counts as change points (see ``running_deltas``): a
+    count holds until the key's next change, zero rows mark where a key
+    leaves the window.  Output: ``window_end, *keys, n``."""
+    run = running_deltas(bucket_counts(df, ts, keys, slide_s, count_col), keys, [count_col], length_s, slide_s, block_s)
+    return run.select(from_micros("_t").alias("window_end"), *_keys(keys),
                       F.col(count_col).cast("bigint").alias(count_col))
 
 
+def top_k_change_points(per_bucket: DataFrame, key: str, length_s: int, slide_s: int, k: int = 10,
+                        count_col: str = "n") -> DataFrame:
+    """The ``k`` largest counts of the window at every time one changes.
+
+    A key's count holds from one of its changes to its next, which comes
+    within the window's length while the count is above zero (changes that
+    cancel out included); so an interval
+    meets at most two blocks of that length, and the times of change are
+    looked up by block.  Nothing is copied for seconds without a change.
+    Output: ``window_end, key, n, rank``.
+    """
+    run = running_deltas(per_bucket, [key], [count_col], length_s, slide_s, keep_zero=True)
+    kn, kv = F.col(key).isNull(), F.coalesce(F.col(key).cast("string"), F.lit(""))
+    # the next change of a key: within its block, or the first of its next block
+    block = F.floor(F.col("_t") / F.lit(length_s * US))
+    r = run.select(key, "_t", count_col, (F.col(f"_d_{count_col}") != 0).alias("_moves"), kn.alias("_kn"), kv.alias("_kv"), block.alias("_blk"))
+    inside = F.lead("_t").over(Window.partitionBy("_kn", "_kv", "_blk").orderBy("_t"))
+    firsts = r.groupBy("_kn", "_kv", "_blk").agg(F.min("_t").alias("_after")).withColumn("_blk", F.col("_blk") - 1)
+    held = (r.withColumn("_in", inside).join(firsts, ["_kn", "_kv", "_blk"], "left")
+            .where(F.col(count_col) > 0).withColumn("_next", F.coalesce("_in", "_after")))
+    span = held.select(key, count_col, F.col("_t").alias("_from"), "_next", F.explode(F.sequence(
+        F.col("_blk"), F.floor((F.col("_next") - 1) / F.lit(length_s * US)))).alias("_blk"))
+    times = r.where("_moves").select("_t", "_blk").distinct()
+    at = span.join(times, "_blk").where((F.col("_t") >= F.col("_from")) & (F.col("_t") < F.col("_next")))
+    counts = at.select(from_micros("_t").alias("window_end"), key, F.col(count_col).cast("bigint").alias(count_col))
+    return top_k_per_window(counts, key, k, count_col, ("window_end",))
+
+
 def top_k_per_window(counts: DataFrame, key: str, k: int = 10, count_col: str = "n",
                      window_cols=("window_start", "window_end")) -> DataFrame:
     """The ``k`` largest counts of every window, ties broken by key.

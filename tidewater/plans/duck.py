@@ -122,3 +122,25 @@ def sliding(src: str, ts: str, keys: list[str], length_s: int, slide_s: int) ->
                   from {src} where {ts} is not null group by all) bb,
                range({r}) rr(kk)) ww
  group by all)"""
+
+
+def top_change_points(src: str, key: str, length_s: int, k: int) -> str:
+    """CTEs and SQL: the ``k`` largest counts of the last ``length_s`` seconds
+    at every second where a count changes."""
+    return f"""
+, b as (select {key}, epoch_us(ts) - epoch_us(ts) % 1000000 as b, count(*) as c from {src} group by all),
+d as (select {key}, b + 1000000 as t, c as d from b
+      union all select {key}, b + 1000000 + {length_s * 1_000_000}, -c from b),
+s as (select {key}, t, sum(d) as d from d group by all having sum(d) <> 0),
+r as (select {key}, t, sum(d) over w as n, lead(t) over (partition by {key} order by t) as nxt
+      from s window w as (partition by {key} order by t rows between unbounded preceding and current row)),
+x as (select q.t, r.{key}, r.n from (select distinct t from s) q join r on q.t >= r.t and q.t < r.nxt where r.n > 0)
+select make_timestamp(t) as window_end, {key}, cast(n as bigint) as n, rank from (
+  select *, cast(row_number() over (partition by t order by n desc, {key} asc nulls first) as integer) as rank from x)
+where rank <= {k}"""
+
+
+def parts(src: str, order: str, n: int) -> str:
+    """CTE: ``src`` with the part number that staging gives each row."""
+    return f"""parts as (select *, cast(({order} - (select min({order}) from {src}))
+   // ((select max({order}) - min({order}) from {src}) // {n} + 1) as bigint) as batch_id from {src})"""

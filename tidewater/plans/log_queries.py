@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from tidewater.operators import weblog as W
 from tidewater.operators.windows import (
+    bucket_counts,
     sliding_change_points,
     sliding_counts,
+    top_k_change_points,
     top_k_per_window,
 )
 from tidewater.plans import duck as D
@@ -153,6 +155,34 @@ def q_error_alarm(spark, sf):
     return W.error_alarm(weblog_dense(spark, sf), WINDOW_S, SLIDE_S)
 
 
+# -- AGG10 / APP2 at the reference's 1 s slide: totals and verdict at every change ---------------
+ALARM_1S = D.with_(D.WEBLOG_DENSE, _CLASSES) + f"""
+, b as (select epoch_us(ts) - epoch_us(ts) % 1000000 as b, count(*) filter (status_class = 'Success') as s,
+               count(*) filter (status_class = 'Failure') as f from c group by all),
+d as (select b + 1000000 as t, s, f from b union all select b + 1000000 + {WINDOW_S * 1_000_000}, -s, -f from b),
+g as (select t, sum(s) as s, sum(f) as f from d group by t having sum(s) <> 0 or sum(f) <> 0),
+r as (select make_timestamp(t) as window_end, cast(sum(s) over w as bigint) as n_success,
+             cast(sum(f) over w as bigint) as n_failure
+      from g window w as (order by t rows between unbounded preceding and current row))
+select *, case when n_success + n_failure <= {W.ALARM_FLOOR} then 'insufficient'
+               when n_failure > {W.ALARM_RATIO} * n_success then 'alarm' else 'ok' end as verdict from r"""
+
+
+@query("error_alarm_1s", ALARM_1S)
+def q_error_alarm_1s(spark, sf):
+    return W.error_alarm_compact(weblog_dense(spark, sf), WINDOW_S, 1)
+
+
+# -- APP1 at the reference's 1 s slide: top URLs at every change ------------------------------------
+TOP_URLS_1S = D.with_(D.WEBLOG, _URLS) + D.top_change_points("u", "url", WINDOW_S, TOP_K)
+
+
+@query("top_urls_1s", TOP_URLS_1S)
+def q_top_urls_1s(spark, sf):
+    urls = W.strict_urls(weblog(spark, sf))
+    return top_k_change_points(bucket_counts(urls, "ts", ["url"], 1), "url", WINDOW_S, 1, TOP_K)
+
+
 # -- AGG4 / SNK9 / PRJ8 / APP3: SQL on each batch ----------------------------------------------
 @query("log_agents_sql", D.with_(D.WEBLOG) + f"""
 select make_timestamp(epoch_us(ts) - epoch_us(ts) % {BATCH_S * 1_000_000}) as batch_start,

@@ -49,10 +49,9 @@ select 'not divisible', l_returnflag, count(*) from lineitem
 def q_mod_filter(spark, sf):
     li = table(spark, sf, "lineitem")
     div = F.col("l_quantity").cast("int") % 3 == 0
-    a = li.where(div).groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"))
-    b = li.where(~div).groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"))
-    return (a.select(F.lit("divisible").alias("kind"), "l_returnflag", "n")
-            .unionByName(b.select(F.lit("not divisible").alias("kind"), "l_returnflag", "n")))
+    kind = F.when(div, "divisible").when(~div, "not divisible")
+    return (li.groupBy(kind.alias("kind"), "l_returnflag").agg(F.count(F.lit(1)).alias("n"))
+            .where(F.col("kind").isNotNull()))
 
 
 # -- FLT6 --------------------------------------------------------------------------------
@@ -72,13 +71,13 @@ def q_case_match(spark, sf):
 
 # -- SCL10 / SCL14 ---------------------------------------------------------------------------
 @query("str_concat", """
-select c_custkey, c_name || ' There!' as greeting,
-       'Here is a mess: ' || cast(c_custkey as varchar) || cast(c_nationkey as varchar) || c_mktsegment as mess
+select c_custkey, c_name || ', good day.' as greeting,
+       'Joined up: ' || cast(c_custkey as varchar) || cast(c_nationkey as varchar) || c_mktsegment as mess
 from customer""")
 def q_str_concat(spark, sf):
     c = table(spark, sf, "customer")
-    return c.select("c_custkey", F.concat("c_name", F.lit(" There!")).alias("greeting"),
-                    F.concat(F.lit("Here is a mess: "), F.col("c_custkey").cast("string"),
+    return c.select("c_custkey", F.concat("c_name", F.lit(", good day.")).alias("greeting"),
+                    F.concat(F.lit("Joined up: "), F.col("c_custkey").cast("string"),
                              F.col("c_nationkey").cast("string"), "c_mktsegment").alias("mess"))
 
 
@@ -248,7 +247,7 @@ def q_udf_map(spark, sf):
 select l_returnflag, cast(sum(cast(l_quantity as bigint)) as bigint) as total from lineitem group by all""")
 def q_udaf_sum(spark, sf):
     li = table(spark, sf, "lineitem")
-    return li.groupBy("l_returnflag").agg(udfs.sum_long_udf(F.col("l_quantity").cast("bigint")).alias("total"))
+    return udfs.partial_sums(li, "l_returnflag", "l_quantity")
 
 
 @query("udtf_words", D.with_(D.POSTS) + f"""
@@ -256,7 +255,6 @@ select post_id, count(*) as n_words, cast(sum(length(word)) as bigint) as total_
 from (select post_id, unnest({D.tok('text')}) as word from posts) group by post_id""")
 def q_udtf_words(spark, sf):
     split_words = udfs.make_word_udtf()
-    p = posts(spark, sf)
-    w = p.select("post_id", "text").lateralJoin(split_words(F.col("text").outer()))
-    return w.groupBy("post_id").agg(F.count(F.lit(1)).alias("n_words"),
+    w = split_words(posts(spark, sf).select("post_id", "text").asTable())
+    return w.groupBy(F.col("id").alias("post_id")).agg(F.count(F.lit(1)).alias("n_words"),
                                     F.sum(F.length("word")).cast("bigint").alias("total_word_len"))

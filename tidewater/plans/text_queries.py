@@ -6,7 +6,12 @@ from pyspark.sql import functions as F
 
 from tidewater.functions.text import jvm_split
 from tidewater.operators import text as T
-from tidewater.operators.windows import sliding_counts, top_k_per_window
+from tidewater.operators.windows import (
+    bucket_counts,
+    sliding_counts,
+    top_k_change_points,
+    top_k_per_window,
+)
 from tidewater.plans import duck as D
 from tidewater.plans.registry import query
 from tidewater.sources.tables import posts, table
@@ -78,6 +83,16 @@ def q_top_hashtags(spark, sf):
     return top_k_per_window(sliding_counts(tags, "ts", ["hashtag"], WINDOW_S, SLIDE_S), "hashtag", TOP_K)
 
 
+# -- APP7 at the reference's 1 s slide --------------------------------------------------------
+TOP_HASHTAGS_1S = D.with_(D.POSTS, _TAGS) + D.top_change_points("h", "hashtag", WINDOW_S, TOP_K)
+
+
+@query("top_hashtags_1s", TOP_HASHTAGS_1S)
+def q_top_hashtags_1s(spark, sf):
+    tags = T.hashtags(posts(spark, sf), keep=("post_id", "ts"))
+    return top_k_change_points(bucket_counts(tags, "ts", ["hashtag"], 1), "hashtag", WINDOW_S, 1, TOP_K)
+
+
 # -- SRC1 / SCL3 / AGG3 / APP12 ----------------------------------------------------------
 _WC = f"""wc as (select lower(w) as word, count(*) as n from (
   select unnest({D.tok('line')}) as w from (select unnest({D.lines('text')}) as line from documents))

@@ -114,22 +114,3 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def nation_partial(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "nation").where(F.col("n_regionkey") != 2)
-
-
-VIEWS = {
-    "weblog": weblog,
-    "weblog_dense": weblog_dense,
-    "posts": posts,
-    "points": points,
-    "blobs": blobs,
-    "order_items": order_items,
-    "nation_partial": nation_partial,
-}
-
-
-def register_views(spark: SparkSession, sf_dir: str) -> None:
-    """Register the driver tables and the derived views as temp views."""
-    for name in ("events", "documents", "lineitem", "customer", "nation", "orders"):
-        table(spark, sf_dir, name).createOrReplaceTempView(name)
-    for name, fn in VIEWS.items():
-        fn(spark, sf_dir).createOrReplaceTempView(name)
