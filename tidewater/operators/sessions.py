@@ -4,13 +4,17 @@ A session of a key (an ip) is a run of its requests, in (ts, event_id)
 order, with no gap above the timeout.  Per request the reference emits the
 running state: number of requests so far and the first ten URLs.
 
-Skew: one key may hold a third of all rows, so nothing here partitions by
-the key alone.  Rows are cut into (key, time block) pieces; what a piece
-needs from the earlier pieces of its key (last timestamp, number of rows,
-number of session starts) comes from a table of piece summaries, which has
-one row per key and block and is small next to the data.  Session-level
-joins are on (key, session), which adaptive execution splits when one
-session is huge.
+Skew: one key may hold a third of all rows, so no step partitions rows by
+the key alone.  Rows are shuffled once, by (key, time block).  Inside a
+block the gaps cut them into pieces of sessions; a block of an hour holds at
+most three pieces of a key at a timeout of half an hour, so the table of
+pieces (first and last time, count, first URLs) is small next to the data.
+Windows over a key's pieces, in order, join them to sessions.  Sessions are
+aggregates of pieces and never come back to the rows; the running form joins
+each row to its piece on the columns the rows are already partitioned by.
+
+A stream carries the open session of each key between batches as one more
+piece ahead of all others (``carry``).
 """
 
 from __future__ import annotations
@@ -38,31 +42,13 @@ def append_keep_first(xs, x, keep_max: int = CLICKSTREAM_MAX) -> F.Column:
     return F.slice(F.concat(xs, F.array(x)), 1, keep_max)
 
 
-def _null_safe_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
-    r = right.select(*[F.col(c).alias("_r_" + c) for c in on],
-                     *[c for c in right.columns if c not in on])
-    cond = [left[c].eqNullSafe(r["_r_" + c]) for c in on]
-    return left.join(r, cond, how).drop(*["_r_" + c for c in on])
-
-
-def _session_rows(df: DataFrame, key: str, ts: str, tie: str, url: str, timeout_s: int,
-                  keep_max: int, block_s: int) -> DataFrame:
-    """Per request: ``sid``, ``session_start``, ``session_length`` and the
-    first ``keep_max`` URLs of its session so far (``clickstream``).
-
-    One shuffle of the rows, by (key, time block).  A window per block
-    gives each row its gap flag, its row number and running counts; what a
-    block needs from the earlier blocks of its key (rows before it, session
-    starts before it, the start and first URLs of a session still open at
-    its first row) comes from the block summaries (one row per key and
-    block), folded per key by windows and joined back on the same
-    (key, block) columns the rows are already partitioned by.  The rows
-    feed both the summary and the join with the same columns, so Spark
-    reuses the one exchange instead of reading the input twice.  Lists are
-    bounded: a running ``collect_list`` sees only the first ``keep_max``
-    rows of a session, and a carried prefix at most ``keep_max`` blocks.
-    """
-    T, K = timeout_s * US, keep_max
+#: Block number of the carried pieces, ahead of every block of rows.
+_CARRIED = -(1 << 62)
+
+
+def _block_rows(df: DataFrame, key: str, ts: str, tie: str, url: str, timeout_s: int, block_s: int) -> DataFrame:
+    """Rows with their block, the number of the piece in it (``_irun``) and
+    their place in the piece (``_rn``)."""
     kn, kv = F.col(key).isNull().alias("_kn"), F.coalesce(F.col(key).cast("string"), F.lit("")).alias("_kv")
     base = (df.where(F.col(ts).isNotNull())
             .select(key, ts, tie, url, kn, kv, to_micros(ts).alias("_us"))
@@ -70,103 +56,90 @@ def _session_rows(df: DataFrame, key: str, ts: str, tie: str, url: str, timeout_
             # the join into one branch only (which would stop exchange reuse)
             .withColumn("_blk", F.coalesce(F.floor(F.col("_us") / F.lit(block_s * US)), F.lit(0))))
     part = ["_kn", "_kv", "_blk"]
-    w_in = Window.partitionBy(*part).orderBy("_us", tie)
-    run = w_in.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    d = (base.withColumn("_lrn", F.row_number().over(w_in))
-         .withColumn("_lag", F.lag("_us").over(w_in)))
-    d = d.withColumn("_inew", (F.col("_lag").isNotNull() & (F.col("_us") - F.col("_lag") > T)).cast("int"))
-    is_start = F.col("_inew") == 1
-    d = (d.withColumn("_irun", F.sum("_inew").over(run))
-         .withColumn("_istart_us", F.last(F.when(is_start, F.col("_us")), ignorenulls=True).over(run))
-         .withColumn("_istart_lrn", F.last(F.when(is_start, F.col("_lrn")), ignorenulls=True).over(run))
-         .withColumn("_btot", F.sum("_inew").over(Window.partitionBy(*part))))
-
-    # Block summaries.  _contrib: first URLs of the session open at the
-    # block's end, as far as they lie in this block.
-    local_pos = F.col("_lrn") - F.coalesce(F.col("_istart_lrn"), F.lit(1)) + 1
-    contrib = F.when((F.col("_irun") == F.col("_btot")) & (local_pos <= K), F.struct("_lrn", url))
-    # Grouping by the key column too (it is fixed by _kn, _kv) and taking
-    # the block end from ``ts`` keep this branch's columns equal to the
-    # rows' own, which is what lets Spark reuse their exchange.
-    summ = d.groupBy(*part, key).agg(
+    w = Window.partitionBy(*part).orderBy("_us", tie)
+    gap = F.coalesce((F.col("_us") - F.col("_lag") > timeout_s * US).cast("int"), F.lit(0))
+    return (base.withColumn("_lag", F.lag("_us").over(w))
+            .withColumn("_irun", F.sum(gap).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+            .withColumn("_rn", F.row_number().over(Window.partitionBy(*part, "_irun").orderBy("_us", tie))))
+
+
+def _pieces(rows: DataFrame, key: str, ts: str, url: str, timeout_s: int, keep_max: int,
+            carry: DataFrame | None) -> DataFrame:
+    """Pieces of sessions with their session: ``sid``, rows of the session
+    before the piece, its start and its first URLs so far."""
+    # taking the end from ``ts`` and grouping by the key keep this branch's
+    # columns equal to the rows' own, which lets Spark reuse their exchange
+    p = rows.groupBy("_kn", "_kv", "_blk", "_irun", key).agg(
         F.min("_us").alias("_first"), to_micros(F.max(ts)).alias("_last"), F.count(F.lit(1)).alias("_cnt"),
-        F.max("_btot").alias("_inner"),
-        F.max(F.when(is_start, F.col("_us"))).alias("_bstart_us"),
-        F.max(F.when(is_start, F.col("_lrn"))).alias("_bstart_lrn"),
-        F.transform(F.sort_array(F.collect_list(contrib)), lambda x: x[url]).alias("_contrib"))
-    wb = Window.partitionBy("_kn", "_kv").orderBy("_blk")
-    before = wb.rowsBetween(Window.unboundedPreceding, -1)
-    upto = wb.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    prev_last = F.lag("_last").over(wb)
-    first_new = (prev_last.isNull() | (F.col("_first") - prev_last > T)).cast("int")
-    s = (summ.withColumn("_first_new", first_new)
-         .withColumn("_row_off", F.coalesce(F.sum("_cnt").over(before), F.lit(0)))
-         .withColumn("_flag_off", F.coalesce(F.sum(F.col("_inner") + F.col("_first_new")).over(before), F.lit(0))))
-    fn1 = F.col("_first_new") == 1
-    s = (s.withColumn("_end_start_us", F.coalesce("_bstart_us", F.when(fn1, F.col("_first"))))
-         .withColumn("_end_start_g", F.coalesce(F.col("_row_off") + F.col("_bstart_lrn"),
-                                                F.when(fn1, F.col("_row_off") + 1)))
-         .withColumn("_seg", F.sum(((F.col("_inner") > 0) | fn1).cast("int")).over(upto)))
-    wseg = Window.partitionBy("_kn", "_kv", "_seg").orderBy("_blk")
-    seg_before = wseg.rowsBetween(Window.unboundedPreceding, -1)
-    acc_before = F.coalesce(F.sum(F.size("_contrib")).over(seg_before), F.lit(0))
-    s = s.withColumn("_need", F.when(acc_before < K, F.col("_contrib")))
-    carried = F.slice(F.flatten(F.collect_list("_need").over(seg_before)), 1, K)
-    s = s.withColumn("_carry_out", F.slice(F.concat(carried, F.col("_contrib")), 1, K))
-    s = s.select(*part, "_first", "_first_new", "_row_off", "_flag_off",
-                 F.last("_end_start_us", ignorenulls=True).over(before).alias("_carry_start_us"),
-                 F.last("_end_start_g", ignorenulls=True).over(before).alias("_carry_start_g"),
-                 F.lag("_carry_out").over(wb).alias("_carry_in"))
-
-    j = d.join(s, part)
-    fnr = F.col("_first_new") == 1
-    cont = (F.col("_irun") == 0) & ~fnr          # the row continues a session of an earlier block
-    g = F.col("_row_off") + F.col("_lrn")
-    g0 = F.coalesce(F.col("_row_off") + F.col("_istart_lrn"), F.when(fnr, F.col("_row_off") + 1),
-                    F.col("_carry_start_g"))
-    start_us = F.coalesce("_istart_us", F.when(fnr, F.col("_first")), "_carry_start_us")
-    j = j.select(key, ts, tie, url, *part, "_us", F.col("_carry_in"), cont.alias("_cont"),
-                 (F.col("_flag_off") + F.col("_first_new") + F.col("_irun")).cast("bigint").alias("sid"),
-                 from_micros(start_us).alias("_start"),
-                 (g - g0 + 1).cast("bigint").alias("session_length"))
-    w_s = Window.partitionBy(*part, "sid").orderBy("_us", tie).rowsBetween(Window.unboundedPreceding,
-                                                                           Window.currentRow)
-    local = F.collect_list(F.when(F.col("session_length") <= K, F.col(url))).over(w_s)
-    prefix = F.when(F.col("_cont"), F.coalesce("_carry_in", F.array().cast("array<string>"))) \
-        .otherwise(F.array().cast("array<string>"))
-    clicks = F.slice(F.concat(prefix, local), 1, F.least(F.col("session_length"), F.lit(K)).cast("int"))
-    return j.select(key, ts, tie, url, "sid", F.col("_start").cast(df.schema[ts].dataType).alias("session_start"),
-                    "session_length", clicks.alias("clickstream"))
+        F.transform(F.sort_array(F.collect_list(F.when(F.col("_rn") <= keep_max, F.struct("_rn", url)))),
+                    lambda x: x[url]).alias("_urls")).withColumn("_start", F.col("_first"))
+    if carry is not None:
+        p = p.unionByName(carry.select(
+            F.col(key).isNull().alias("_kn"), F.coalesce(F.col(key).cast("string"), F.lit("")).alias("_kv"),
+            F.lit(_CARRIED).cast("long").alias("_blk"), F.lit(0).cast("long").alias("_irun"), key,
+            to_micros("session_end").alias("_first"), to_micros("session_end").alias("_last"),
+            F.col("session_length").alias("_cnt"), F.col("clickstream").alias("_urls"),
+            to_micros("session_start").alias("_start")))
+    w = Window.partitionBy("_kn", "_kv").orderBy("_blk", "_irun")
+    before = F.max("_last").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    new = F.coalesce((F.col("_first") - F.col("_prev") > timeout_s * US).cast("int"), F.lit(1))
+    p = (p.withColumn("_prev", before)
+         .withColumn("sid", F.sum(new).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
+    ws = Window.partitionBy("_kn", "_kv", "sid").orderBy("_blk", "_irun")
+    earlier = ws.rowsBetween(Window.unboundedPreceding, -1)
+    return (p.withColumn("_before", F.coalesce(F.sum("_cnt").over(earlier), F.lit(0)))
+            .withColumn("_session_start", F.first("_start").over(ws.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+            .withColumn("_ahead", F.when(F.col("_before") < keep_max, F.col("_urls"))))
 
 
 def running_sessions(df: DataFrame, key: str = "ip", ts: str = "ts", url: str = "url",
                      tie: str = "event_id", timeout_s: int = SESSION_TIMEOUT_S,
-                     keep_max: int = CLICKSTREAM_MAX, block_s: int = SESSION_BLOCK_S) -> DataFrame:
+                     keep_max: int = CLICKSTREAM_MAX, block_s: int = SESSION_BLOCK_S,
+                     carry: DataFrame | None = None) -> DataFrame:
     """Per request: ``session_start``, ``session_length`` (requests so far in
-    the session) and ``clickstream`` (its first ``keep_max`` URLs so far)."""
-    return _session_rows(df, key, ts, tie, url, timeout_s, keep_max, block_s).drop("sid")
+    the session) and ``clickstream`` (its first ``keep_max`` URLs so far).
+    ``carry`` has the keys' open sessions before these rows (the columns of
+    ``session_snapshot``); a request older than its key's open session's end
+    joins that session."""
+    rows = _block_rows(df, key, ts, tie, url, timeout_s, block_s)
+    ws = Window.partitionBy("_kn", "_kv", "sid").orderBy("_blk", "_irun").rowsBetween(Window.unboundedPreceding, -1)
+    p = (_pieces(rows, key, ts, url, timeout_s, keep_max, carry)
+         .withColumn("_carried", F.slice(F.flatten(F.collect_list("_ahead").over(ws)), 1, keep_max))
+         .select("_kn", "_kv", "_blk", F.col("_irun").alias("_piece"), "_before", "_session_start", "_carried"))
+    part = ["_kn", "_kv", "_blk"]
+    # the piece is compared beside the join's keys, so that the rows stay as they are partitioned;
+    # no row lies in the carried pieces' block
+    j = rows.join(p, part).where(F.col("_irun") - F.col("_piece") == 0)
+    j = j.withColumn("session_length", (F.col("_before") + F.col("_rn")).cast("bigint"))
+    upto = (Window.partitionBy(*part, "_irun").orderBy("_us", tie)
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    local = F.collect_list(F.when(F.col("session_length") <= keep_max, F.col(url))).over(upto)
+    clicks = F.slice(F.concat("_carried", local), 1, F.least(F.col("session_length"), F.lit(keep_max)).cast("int"))
+    return j.select(key, ts, tie, url, from_micros("_session_start").cast(df.schema[ts].dataType).alias("session_start"),
+                    "session_length", clicks.alias("clickstream"))
 
 
 def sessions(df: DataFrame, key: str = "ip", ts: str = "ts", url: str = "url", tie: str = "event_id",
              timeout_s: int = SESSION_TIMEOUT_S, keep_max: int = CLICKSTREAM_MAX,
-             block_s: int = SESSION_BLOCK_S) -> DataFrame:
-    """One row per session: start, end, number of requests, first URLs.
-    One aggregate over the per-request rows (partial per task, so a huge
-    session is one row per task before the shuffle; the URL list holds at
-    most ``keep_max`` entries)."""
-    r = _session_rows(df, key, ts, tie, url, timeout_s, keep_max, block_s)
-    first = F.when(F.col("session_length") <= keep_max, F.struct("session_length", url))
-    return r.groupBy(key, "sid").agg(
-        F.min(ts).alias("session_start"), F.max(ts).alias("session_end"),
-        F.count(F.lit(1)).alias("session_length"),
-        F.transform(F.sort_array(F.collect_list(first)), lambda x: x[url]).alias("clickstream"))
+             block_s: int = SESSION_BLOCK_S, carry: DataFrame | None = None) -> DataFrame:
+    """One row per session: start, end, number of requests, first URLs; an
+    aggregate of its pieces (the URL list takes at most ``keep_max`` of them)."""
+    p = _pieces(_block_rows(df, key, ts, tie, url, timeout_s, block_s), key, ts, url, timeout_s, keep_max, carry)
+    kind = df.schema[ts].dataType
+    ahead = F.sort_array(F.collect_list(F.when(F.col("_ahead").isNotNull(), F.struct("_blk", "_irun", "_ahead"))))
+    return p.groupBy(key, "sid").agg(
+        F.min("_session_start").alias("_s"), F.max("_last").alias("_e"), F.sum("_cnt").alias("session_length"),
+        F.slice(F.flatten(F.transform(ahead, lambda x: x["_ahead"])), 1, keep_max).alias("clickstream")).select(
+        key, "sid", from_micros("_s").cast(kind).alias("session_start"), from_micros("_e").cast(kind).alias("session_end"),
+        "session_length", "clickstream")
 
 
 def session_snapshot(df: DataFrame, key: str = "ip", ts: str = "ts", url: str = "url",
                      tie: str = "event_id", timeout_s: int = SESSION_TIMEOUT_S,
-                     keep_max: int = CLICKSTREAM_MAX) -> DataFrame:
-    """State of every key after the last request: its latest session."""
-    s = sessions(df, key, ts, url, tie, timeout_s, keep_max)
+                     keep_max: int = CLICKSTREAM_MAX, carry: DataFrame | None = None) -> DataFrame:
+    """State of every key after the last request: its latest session (with
+    ``carry``, also of the keys that have no request here)."""
+    s = sessions(df, key, ts, url, tie, timeout_s, keep_max, carry=carry)
     packed = F.struct("sid", "session_start", "session_end", "session_length", "clickstream")
     latest = s.groupBy(key).agg(F.max(packed).alias("_m"))
     return latest.select(key, "_m.session_start", "_m.session_end", "_m.session_length", "_m.clickstream")
