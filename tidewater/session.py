@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -22,8 +21,12 @@ DEFAULT_CONF = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+}
+# Only for a session of one machine, asked for by a local master.
+LOCAL_CONF = {
     "spark.driver.host": "127.0.0.1",
     "spark.driver.bindAddress": "127.0.0.1",
+    "spark.driver.memory": "8g",
 }
 
 
@@ -31,26 +34,31 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
                 app_name: str = "tidewater", extra: dict | None = None) -> SparkSession:
     """Build (or return) a session with the library defaults.
 
-    ``master`` defaults to ``local[$TIDEWATER_CPUS or 8]``; on a cluster the
-    master comes from spark-submit and should be left as ``None``.
+    On a cluster call it without ``master``: master, addresses, memory and
+    the number of shuffle partitions then stay those of spark-submit. A local
+    ``master`` also gets the settings of a session of one machine.
     """
     builder = SparkSession.builder.appName(app_name)
-    if master is None and not os.environ.get("SPARK_MASTER"):
-        master = f"local[{os.environ.get('TIDEWATER_CPUS', '8')}]"
-    if master:
-        builder = builder.master(master)
-    conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or 8)
-    conf.setdefault("spark.driver.memory", "8g")
-    if extra:
-        conf.update(extra)
-    for k, v in conf.items():
+    for k, v in session_conf(master, shuffle_partitions, extra).items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
+def session_conf(master: str | None = None, shuffle_partitions: int | None = None, extra: dict | None = None) -> dict:
+    """The settings ``get_session`` applies."""
+    conf = dict(DEFAULT_CONF)
+    if master:
+        conf["spark.master"] = master
+        if master.startswith("local"):
+            conf.update(LOCAL_CONF)
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    conf.update(extra or {})
+    return conf
+
+
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A folder under the cluster's shared checkpoint directory.
 
@@ -61,6 +69,9 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.sparkContext.getCheckpointDir()
+    master = spark.sparkContext.master
+    if not base and not (master == "local" or master.startswith("local[")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     if not base:
         base = tempfile.mkdtemp(prefix="tidewater-ckpt-")
         spark.conf.set("spark.checkpoint.dir", base)

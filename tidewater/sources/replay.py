@@ -4,8 +4,8 @@ A user-written source (the reference's custom receiver) re-aimed as a
 replayable Structured Streaming source: the offset is a position on an
 ordered integer column.  A micro-batch covers the ids from the last
 committed offset up to ``stop_at`` (default: the largest id) and is read by
-``partitions`` parallel tasks, each scanning its own id range with the
-filter pushed into the parquet reader.  Because the offsets are plain
+a task per ``ids_per_partition`` ids, each scanning its own id range, a
+record batch at a time.  Because the offsets are plain
 numbers the query restarts exactly from its checkpoint.
 
 Usage::
@@ -13,19 +13,24 @@ Usage::
     register(spark)
     df = (spark.readStream.format("tidewater_replay")
           .option("path", ".../events.parquet").option("order", "event_id")
-          .option("partitions", 4)
+          .option("start", 0).option("stop_at", 10_000).option("ids_per_partition", 5_000)
           .schema(schema).load())
 """
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import (
     DataSource,
     DataSourceStreamReader,
     InputPartition,
 )
 
+from tidewater.streaming.runner import run_available
+
 FORMAT = "tidewater_replay"
+IDS_PER_PARTITION = 250_000
 
 
 class _Range(InputPartition):
@@ -33,42 +38,13 @@ class _Range(InputPartition):
         self.lo, self.hi = lo, hi
 
 
-def _bounds(path: str, order: str) -> tuple[int, int]:
-    """Min and max of the id column from the parquet footers (no scan)."""
-    import pyarrow.dataset as ds
-    import pyarrow.parquet as pq
-
-    lo, hi = None, None
-    dataset = ds.dataset(path, format="parquet")
-    for frag in dataset.get_fragments():
-        md = pq.ParquetFile(frag.path, filesystem=dataset.filesystem).metadata
-        idx = md.schema.to_arrow_schema().get_field_index(order)
-        for g in range(md.num_row_groups):
-            st = md.row_group(g).column(idx).statistics
-            if st is None or not st.has_min_max:
-                # no statistics: fall back to reading the one column
-                col = frag.to_table(columns=[order]).column(0)
-                import pyarrow.compute as pc
-                mm = pc.min_max(col).as_py()
-                st_min, st_max = mm["min"], mm["max"]
-            else:
-                st_min, st_max = st.min, st.max
-            lo = st_min if lo is None else min(lo, st_min)
-            hi = st_max if hi is None else max(hi, st_max)
-    if lo is None:
-        return 0, -1
-    return int(lo), int(hi)
-
-
 class ReplayStreamReader(DataSourceStreamReader):
     def __init__(self, schema, options):
         self.schema = schema
         self.path = options["path"]
         self.order = options["order"]
-        self.parts = int(options.get("partitions", 4))
-        lo, hi = _bounds(self.path, self.order)
-        self.first = int(options.get("start", lo))
-        self.end = min(int(options.get("stop_at", hi + 1)), hi + 1)
+        self.ids = int(options["ids_per_partition"])
+        self.first, self.end = int(options["start"]), int(options["stop_at"])
 
     def initialOffset(self):
         return {"pos": self.first}
@@ -81,10 +57,7 @@ class ReplayStreamReader(DataSourceStreamReader):
 
     def partitions(self, start, end):
         lo, hi = int(start["pos"]), int(end["pos"])
-        if hi <= lo:
-            return []
-        step = max(1, -(-(hi - lo) // self.parts))
-        return [_Range(a, min(a + step, hi)) for a in range(lo, hi, step)]
+        return [_Range(a, min(a + self.ids, hi)) for a in range(lo, hi, self.ids)]
 
     def commit(self, end):
         pass
@@ -93,10 +66,11 @@ class ReplayStreamReader(DataSourceStreamReader):
         import pyarrow.dataset as ds
 
         names = [f.name for f in self.schema.fields]
-        dataset = ds.dataset(self.path, format="parquet")
-        flt = (ds.field(self.order) >= partition.lo) & (ds.field(self.order) < partition.hi)
-        table = dataset.to_table(columns=names, filter=flt).sort_by(self.order)
-        yield from table.to_batches()
+        inside = (ds.field(self.order) >= partition.lo) & (ds.field(self.order) < partition.hi)
+        # a batch at a time, the filter pushed into the parquet reader
+        for batch in ds.dataset(self.path, format="parquet").to_batches(columns=names, filter=inside):
+            if batch.num_rows:
+                yield batch
 
 
 class ReplayDataSource(DataSource):
@@ -115,13 +89,33 @@ def register(spark) -> None:
     spark.dataSource.register(ReplayDataSource)
 
 
-def replay_stream(spark, path: str, order: str, schema, partitions: int = 4,
-                  stop_at: int | None = None):
-    """Streaming DataFrame replaying ``path`` in ``order`` order."""
+def order_bounds(table: DataFrame, order: str) -> tuple[int, int]:
+    """(first id, last id + 1), by one Spark aggregate; rows without an id
+    have no place in the order and are an error."""
+    lo, hi, null = table.agg(F.min(order), F.max(order), F.count(F.when(F.col(order).isNull(), 1))).first()
+    if null:
+        raise ValueError(f"{null} rows have no {order}")
+    return (0, 0) if lo is None else (int(lo), int(hi) + 1)
+
+
+def replay_stream(spark, path: str, order: str, schema, stop_at: int | None = None,
+                  ids_per_partition: int = IDS_PER_PARTITION):
+    """Streaming DataFrame replaying ``path`` up to id ``stop_at``."""
     register(spark)
-    r = (spark.readStream.format(FORMAT).schema(schema)
-         .option("path", path).option("order", order)
-         .option("partitions", partitions))
-    if stop_at is not None:
-        r = r.option("stop_at", stop_at)
-    return r.load()
+    first, end = order_bounds(spark.read.parquet(path), order)
+    return (spark.readStream.format(FORMAT).schema(schema)
+            .option("path", path).option("order", order).option("ids_per_partition", ids_per_partition)
+            .option("start", first).option("stop_at", end if stop_at is None else min(stop_at, end)).load())
+
+
+def replay_in_batches(spark, path: str, order: str, schema, ids_per_batch: int, write,
+                      ids_per_partition: int = IDS_PER_PARTITION) -> int:
+    """Replay in micro-batches of ``ids_per_batch`` ids: this Spark's Python
+    sources have no admission limit of their own, so each batch is a run from
+    the checkpoint with a further ``stop_at``. ``write(stream)`` gives the
+    writer. Returns the number of batches."""
+    first, end = order_bounds(spark.read.parquet(path), order)
+    stops = [*range(first + ids_per_batch, end, ids_per_batch), end] if end > first else []
+    for stop in stops:
+        run_available(write(replay_stream(spark, path, order, schema, stop, ids_per_partition)))
+    return len(stops)

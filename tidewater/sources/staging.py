@@ -1,36 +1,55 @@
 """Write a derived table as ordered parts, to be replayed as a file stream.
 
-The parts are written one after the other (each write is an ordinary
-distributed job), so file modification times follow the order column and
-a file-stream source with ``maxFilesPerTrigger`` admits them in order.
+One distributed write makes all parts, each of the same number of files; the
+files' modification times then follow the parts, so a file stream with
+``maxFilesPerTrigger`` set to that number admits a part per batch. The input
+is read twice: for the bounds and count of the order column, and to write.
 """
 
 from __future__ import annotations
 
+import re
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.session import fresh_dir
 
+ROWS_PER_FILE = 250_000
+
+
+@dataclass
+class Staged:
+    """Folder of the parts, and the number of files of each."""
+    path: str
+    files: int = 1
+
 
 def stage_parts(spark: SparkSession, df: DataFrame, order_col: str, n_parts: int, kind: str,
-                fmt: str = "parquet", files_per_part: int = 1, permute: bool = False,
-                columns: list[str] | None = None) -> str:
+                fmt: str = "parquet", rows_per_file: int = ROWS_PER_FILE, permute: bool = False,
+                columns: list[str] | None = None) -> Staged:
     """Write ``df`` into ``n_parts`` folders by ranges of ``order_col``
     (or, with ``permute``, by ``(order_col * 7) % n_parts`` so each part
-    spans the whole range: out-of-order arrival).  Returns the folder."""
-    out = fresh_dir(spark, kind)
-    lo, hi = df.agg(F.min(order_col), F.max(order_col)).first()
+    spans the whole range: out-of-order arrival).  Rows without an order
+    value cannot be placed and are an error.  Returns the folder
+    with its files per part."""
+    from tidewater.streaming.store import set_times
+    out = Staged(fresh_dir(spark, kind))
+    o = F.col(order_col)
+    lo, hi, n, null = df.agg(F.min(o), F.max(o), F.count(F.lit(1)), F.count(F.when(o.isNull(), 1))).first()
+    if null:
+        raise ValueError(f"{null} rows have no {order_col}")
     if lo is None:
         return out
-    width = (hi - lo) // n_parts + 1
-    for k in range(n_parts):
-        if permute:
-            part = df.where((F.col(order_col) * 7) % n_parts == k)
-        else:
-            part = df.where((F.col(order_col) >= lo + k * width) & (F.col(order_col) < lo + (k + 1) * width))
-        if columns:
-            part = part.select(*columns)
-        w = part.repartition(files_per_part).write.mode("overwrite")
-        getattr(w, fmt)(f"{out}/part-{k:05d}")
+    part = F.pmod(o * 7, F.lit(n_parts)) if permute else F.floor((o - lo) / F.lit((hi - lo) // n_parts + 1))
+    # every (part, file) must get rows, so that each part has as many files: only well-filled parts have several
+    out.files = max(1, n // (n_parts * rows_per_file))
+    rows = df.withColumns({"_part": part, "_file": F.pmod(o, F.lit(out.files))})
+    names = columns or df.columns
+    w = (rows.repartition(n_parts * out.files, "_part", "_file").sortWithinPartitions("_part", "_file", order_col)
+         .select(*names, "_part", "_file").write.partitionBy("_part", "_file"))
+    getattr(w, fmt)(out.path)
+    begin = 1_600_000_000_000
+    set_times(spark, out.path, lambda f: begin + 1000 * int(re.search(r"_part=(\d+)", f)[1]))
     return out

@@ -7,12 +7,12 @@ the same operators serve the bounded tables in ``tidewater.plans``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.functions import logparse as lp
 from tidewater.operators import weblog as W
-from tidewater.operators.windows import top_k_per_window
+from tidewater.operators.windows import to_micros, windows_of_buckets
+from tidewater.streaming.sinks import KeyedStore
 
 
 def event_time(df: DataFrame, ts: str = "ts") -> DataFrame:
@@ -26,55 +26,54 @@ def _flatten(df: DataFrame, window: str = "window") -> DataFrame:
                      F.col(f"{window}.end").cast("timestamp_ntz").alias("window_end"), *rest)
 
 
-def sliding_counts_stream(df: DataFrame, ts: str, keys, length_s: int, slide_s: int,
-                          watermark: str = "10 minutes", chained: bool | None = None) -> DataFrame:
-    """Windowed counts of a stream (append mode emits a window once the
-    watermark passes its end).
+class SlidingCounts:
+    """Sliding-window counts of a stream by key.
 
-    With a long window and a short slide (the reference's 300 s / 1 s),
-    each row would be copied into 300 windows; ``chained`` counts per slide
-    first (a tumbling window) and slides only those counts, so the copies
-    are per (key, slide) instead of per row.
+    The stream counts rows per slide bucket and key (a tumbling window in
+    update mode); a keyed store holds the newest count of each. Windows are
+    made of the stored buckets, so every window is there from its first row
+    on, none waits for a watermark, and a short slide copies nothing in the
+    stream. Rows later than ``watermark`` are dropped by Spark (its progress
+    reports count them as ``numRowsDroppedByWatermark``); all others count in
+    every window that holds them, whatever the slide.
     """
-    keys = [keys] if isinstance(keys, str) else list(keys)
-    ratio = length_s // slide_s
-    chained = ratio > 10 if chained is None else chained
-    w = df.withWatermark(ts, watermark)
-    if not chained:
-        agg = w.groupBy(F.window(ts, f"{length_s} seconds", f"{slide_s} seconds"), *keys) \
-            .agg(F.count(F.lit(1)).alias("n"))
-    else:
-        per_slide = w.groupBy(F.window(ts, f"{slide_s} seconds").alias("b"), *keys) \
-            .agg(F.count(F.lit(1)).alias("c"))
-        agg = (per_slide.groupBy(F.window(F.window_time("b"), f"{length_s} seconds", f"{slide_s} seconds"), *keys)
-               .agg(F.sum("c").cast("bigint").alias("n")))
-    return _flatten(agg)
 
+    def __init__(self, out: str, keys, slide_s: int, watermark: str = "10 minutes"):
+        self.keys = [keys] if isinstance(keys, str) else list(keys)
+        self.slide_s, self.watermark = slide_s, watermark
+        self.store = KeyedStore(out, ["_b", *self.keys], ["_batch"], ["n"])
+
+    def stream(self, df: DataFrame, ts: str = "ts"):
+        """Writer of the bucket counts of ``df`` into the store."""
+        counts = (df.withWatermark(ts, self.watermark)
+                  .groupBy(F.window(ts, f"{self.slide_s} seconds").alias("w"), *self.keys)
+                  .agg(F.count(F.lit(1)).alias("n")))
+        return counts.writeStream.outputMode("update").foreachBatch(self._keep)
 
-def url_window_counts(lines: DataFrame, length_s: int = 300, slide_s: int = 60,
-                      watermark: str = "10 minutes") -> DataFrame:
-    urls = W.strict_urls(lines, keep=("ts",))
-    return sliding_counts_stream(urls, "ts", ["url"], length_s, slide_s, watermark)
+    def _keep(self, df: DataFrame, batch_id: int) -> None:
+        start = to_micros(F.col("w.start").cast("timestamp_ntz"))
+        self.store(df.select(start.alias("_b"), *self.keys, "n", F.lit(batch_id).cast("long").alias("_batch")), batch_id)
 
+    def buckets(self, spark: SparkSession) -> DataFrame:
+        return self.store.read(spark).select("_b", *self.keys, "n")
 
-def top_urls_of_batch(k: int = 10):
-    """``foreachBatch`` transform: top ``k`` URLs of each window emitted in
-    the batch (append mode emits each window once, complete)."""
-    def fn(df: DataFrame, batch_id: int) -> DataFrame:
-        return top_k_per_window(df, "url", k)
-    return fn
+    def windows(self, spark: SparkSession, length_s: int) -> DataFrame:
+        return windows_of_buckets(self.buckets(spark), self.keys, length_s, self.slide_s)
 
 
 def status_hourly_stream(lines: DataFrame) -> DataFrame:
     """Count by status and hour of the request time; run in complete mode."""
-    parsed = lines.where(lp.matches("line")).select(
-        lp.group("line", "status").alias("status"),
-        lp.log_time(lp.group("line", "date_time")).cast("timestamp").alias("t"))
+    parsed = W.status_times(lines).select("status", F.col("log_time").cast("timestamp").alias("t"))
     agg = parsed.where(F.col("t").isNotNull()).groupBy("status", F.window("t", "1 hour")).agg(
         F.count(F.lit(1)).alias("n"))
     return _flatten(agg)
 
 
+def to_console(df: DataFrame, mode: str = "complete", rows: int = 20):
+    """Writer that prints a stream's result to the console per trigger."""
+    return df.writeStream.format("console").outputMode(mode).option("numRows", rows).option("truncate", False)
+
+
 def length_totals_stream(posts: DataFrame) -> DataFrame:
     """Running totals over all batches (complete mode keeps them in the
     state store, so they survive a restart)."""

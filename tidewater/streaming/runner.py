@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewater.session import fresh_dir
@@ -22,9 +25,25 @@ def run_available(writer, timeout_s: int = STREAM_TIMEOUT_S):
     return q
 
 
+def run_every(writer, interval: str = "1 second", ended: Callable[[], bool] = lambda: False):
+    """``processingTime`` trigger: a micro-batch per ``interval`` until the
+    input there is has been processed, or until the sink has ``ended`` and
+    refuses the next batch, which then stays uncommitted."""
+    q = writer.trigger(processingTime=interval).start()
+    try:
+        q.processAllAvailable()
+    except StreamingQueryException:
+        if not ended():
+            raise
+    finally:
+        q.stop()
+    return q
+
+
 def file_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet",
                 files_per_trigger: int = 1) -> DataFrame:
-    """Stream the staged parts under ``path`` in order, one file per batch."""
+    """Stream the staged parts under ``path`` in order, ``files_per_trigger``
+    files per batch."""
     r = (spark.readStream.format(fmt).option("recursiveFileLookup", "true")
          .option("maxFilesPerTrigger", files_per_trigger))
     if fmt != "text":

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.operators.weblog import latest_by_key
+from tidewater.streaming.store import VersionedTable, numbered, remove
 
 
 # Texts may hold line breaks; text files written here separate records
@@ -74,80 +75,95 @@ def print_batch(num_rows: int = 10, heading: bool = True):
     return body
 
 
-class SaveUntil:
-    """Save each non-empty batch as text in its own folder until the total
-    saved passes ``limit`` (checked after the write, strict ``>``); later
-    batches are not saved and ``done`` tells the caller to stop the query.
+class LimitReached(Exception):
+    """Raised for the first batch past a save limit, so that it is not
+    committed: a later run with a higher limit starts with it."""
+
 
-    ``files_per_batch=1`` merges each batch into one file; ``None`` keeps
-    one file per partition.  The running total is read back from the
-    output on the first batch, so a restarted query goes on counting.
+class SaveUntil:
+    """Save each non-empty batch as text in its own folder, until the total
+    passes ``limit`` (strict ``>``, looked at after each write; None: no
+    limit). The batch after that raises ``LimitReached``: the query ends, its
+    offsets stay uncommitted and nothing is lost.
+
+    The total is that of the folders of earlier batches, so a batch that is
+    replayed counts once. ``files_per_batch=1`` merges each batch into one
+    file; ``None`` keeps one file per partition.
     """
 
-    def __init__(self, spark: SparkSession, out: str, limit: int = 1000,
+    def __init__(self, spark: SparkSession, out: str, limit: int | None = None,
                  files_per_batch: int | None = 1, column: str = "text"):
         self.spark, self.out, self.limit = spark, out, limit
         self.files, self.column = files_per_batch, column
-        self.total = None
         self.done = False
 
-    def _saved_so_far(self) -> int:
-        try:
-            return self.spark.read.option("lineSep", RECORD_SEP).text(self.out).count()
-        except Exception:
+    def saved(self, before: int | None = None) -> int:
+        """Texts in the folders (of batches before ``before``)."""
+        have = [b for b in numbered(self.spark, self.out, "batch_id") if before is None or b < before]
+        if not have:
             return 0
+        return self.spark.read.option("lineSep", RECORD_SEP).text([batch_path(self.out, b) for b in have]).count()
 
     def __call__(self, df: DataFrame, batch_id: int) -> None:
-        if self.total is None:
-            self.total = self._saved_so_far()
-            self.done = self.total > self.limit
-        if self.done:
-            return
-        df = df.select(F.col(self.column).cast("string").alias("value")).persist()
-        try:
-            n = df.count()
-            if n == 0:
-                return
+        if self.limit is not None and self.saved(batch_id) > self.limit:
+            self.done = True
+            raise LimitReached(f"more than {self.limit} texts are saved")
+        df = df.select(F.col(self.column).cast("string").alias("value"))
+        if not df.isEmpty():
             write_batch(df, self.out, batch_id, "text", self.files)
-            self.total += n
-            self.done = self.total > self.limit
-        finally:
-            df.unpersist()
+        self.done = self.limit is not None and self.saved(batch_id + 1) > self.limit
 
 
 class KeyedStore:
     """Rows stored by key, appended or upserted, batch by batch.
 
-    ``append``: every row of the batch is kept.  ``upsert``: each batch
-    writes only its latest row per key; the current state is the latest
-    row per key over all batches, merged on read with a partial-aggregate
-    ``max`` (no key is ever gathered into a single task).
+    ``append``: every row of the batch is kept.  ``upsert``: a batch writes
+    its latest row per key as a delta; after ``merge_every`` deltas they are
+    merged into a snapshot (a partial-aggregate ``max``, no key is gathered
+    in one task) and those that no replay can ask for are removed.  Reading
+    folds the snapshot and the few deltas after it, however many batches ran.
     """
 
-    def __init__(self, out: str, key: str, order_cols, value_cols, mode: str = "upsert"):
+    def __init__(self, out: str, key, order_cols, value_cols, mode: str = "upsert", merge_every: int = 8):
         if mode not in ("append", "upsert"):
             raise ValueError(mode)
-        self.out, self.key, self.mode = out, key, mode
+        self.out, self.key, self.mode, self.merge_every = out.rstrip("/"), key, mode, merge_every
         self.order_cols = [order_cols] if isinstance(order_cols, str) else list(order_cols)
         self.value_cols = list(value_cols)
-        self.rows_per_batch: dict[int, int] = {}
+        self.snapshots = VersionedTable(f"{self.out}/snapshots")
+
+    def _latest(self, df: DataFrame) -> DataFrame:
+        return latest_by_key(df, self.key, self.order_cols, self.value_cols)
+
+    def _deltas(self, spark: SparkSession, after: int, upto: int | None = None) -> list[str]:
+        return [batch_path(self.out, b) for b in numbered(spark, self.out, "batch_id")
+                if b > after and (upto is None or b <= upto)]
+
+    def _merged_upto(self, spark: SparkSession, before: int | None = None) -> int:
+        have = [v for v in numbered(spark, self.snapshots.path, "version") if before is None or v < before]
+        return have[-1] if have else -1
 
     def __call__(self, df: DataFrame, batch_id: int) -> None:
-        df = df.persist()
-        try:
-            n = df.count()
-            self.rows_per_batch[batch_id] = n
-            print(f"batch {batch_id}: {n} rows")
-            if n == 0:
-                return
-            if self.mode == "upsert":
-                df = latest_by_key(df, self.key, self.order_cols, self.value_cols)
-            write_batch(df, self.out, batch_id)
-        finally:
-            df.unpersist()
+        spark = df.sparkSession
+        write_batch(self._latest(df) if self.mode == "upsert" else df, self.out, batch_id)
+        if self.mode == "append":
+            return
+        base = self._merged_upto(spark, batch_id)
+        deltas = self._deltas(spark, base, batch_id)
+        if len(deltas) >= self.merge_every:
+            rows = spark.read.parquet(*deltas)
+            held = self.snapshots.read(spark, batch_id)
+            self.snapshots.write(self._latest(rows if held is None else rows.unionByName(held)), batch_id)
+            for b in numbered(spark, self.out, "batch_id"):
+                if b <= base:
+                    remove(spark, batch_path(self.out, b))
 
     def read(self, spark: SparkSession) -> DataFrame:
-        rows = spark.read.parquet(self.out)
         if self.mode == "append":
-            return rows
-        return latest_by_key(rows, self.key, self.order_cols, self.value_cols)
+            return spark.read.parquet(self.out)
+        held = self.snapshots.read(spark)
+        deltas = self._deltas(spark, self._merged_upto(spark))
+        if not deltas:
+            return held
+        rows = spark.read.parquet(*deltas)
+        return self._latest(rows if held is None else rows.unionByName(held))

@@ -1,21 +1,12 @@
-"""Keyed state for streams: sessions by key with an idle timeout.
+"""User function on keyed state: the open hook for state updates that no
+plan of built-in operators expresses.
 
-The reference's state function (count of requests and the first ten URLs
-per ip, expired after 30 idle minutes) as ``applyInPandasWithState``.
-Spark shuffles rows by key into the state store; per key and batch the
-rows arrive as Arrow batches, are put in (ts, event_id) order and folded
-into the state.  A request more than ``timeout`` after the key's last
-one opens a new session (the gap rule of the batch form).  State expiry
-is on processing time by default, as in the reference: a key idle for the
-timeout is dropped.  It is built on Spark's event-time timeout over an
-arrival stamp (the batch time, ``current_timestamp()``) carrying the
-watermark: arrival stamps are never behind it, so Spark's filter of late
-input drops nothing, and a query with an ``availableNow`` trigger still
-ends (a processing-time timeout would ask for batches forever).  With
-``expiry="event"`` the clock is the request time itself: the state is
-dropped when the watermark passes ``last request + timeout``, and Spark
-filters input rows behind the watermark before they reach the function,
-so the watermark delay must cover the lateness of the input.
+``SessionStream`` in ``tidewater.streaming.sessions`` is the form to use
+for sessions. Here the same rule is written as an
+``applyInPandasWithState`` function on event time: a key's state is dropped
+when the watermark passes its last request plus the timeout, and Spark
+filters requests behind the watermark, so its delay must cover the lateness
+of the input. All rows of a key and batch meet in one call.
 """
 
 from __future__ import annotations
@@ -23,7 +14,6 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from tidewater.operators.sessions import CLICKSTREAM_MAX, SESSION_TIMEOUT_S
@@ -33,10 +23,7 @@ OUTPUT_SCHEMA = ("ip string, event_id long, ts timestamp, session_start timestam
 STATE_SCHEMA = "n long, start_us long, last_us long, clicks array<string>"
 
 
-ARRIVAL = "_arrival"
-
-
-def _session_fn(timeout_s: int, keep_max: int, clock: str):
+def _session_fn(timeout_s: int, keep_max: int):
     T = timeout_s * 1_000_000
 
     def fn(key, pdfs, state):
@@ -58,22 +45,19 @@ def _session_fn(timeout_s: int, keep_max: int, clock: str):
         else:
             n, start, last, clicks = 0, None, None, []
         m = len(us)
-        out_start = np.empty(m, dtype=np.int64)
-        out_n = np.empty(m, dtype=np.int64)
-        out_clicks = [None] * m
-        for i, u in enumerate(us.tolist()):
-            if last is None or u - last > T:
-                n, start, clicks = 0, u, []
-            n += 1
-            if len(clicks) < keep_max:
-                clicks = clicks + [urls[i]]
-            if last is None or u > last:
-                last = u
-            out_start[i], out_n[i], out_clicks[i] = start, n, clicks
+        # gaps, and each row's place behind its last gap, without a loop over rows
+        prev = np.append(us[0] - T - 1 if last is None else last, us[:-1])
+        before = np.maximum.accumulate(prev)
+        new = us - before > T
+        first = np.maximum.accumulate(np.where(new, np.arange(m), -1))
+        out_n = np.where(first >= 0, np.arange(m) - first, np.arange(m) + n) + 1
+        out_start = np.where(first >= 0, us[first], us[0] if start is None else start)
+        out_clicks = [(urls[f:min(i + 1, f + keep_max)] if f >= 0 else (clicks + urls[:i + 1])[:keep_max])
+                      for i, f in enumerate(first.tolist())]
+        n, start, clicks = int(out_n[-1]), int(out_start[-1]), out_clicks[-1]
+        last = int(max(us[-1], us[-1] if last is None else last))
         state.update((n, start, last, clicks))
-        seen_ms = last // 1000 if clock == "ts" else \
-            int(rows[clock].to_numpy().astype("datetime64[ms]").astype(np.int64).max())
-        state.setTimeoutTimestamp(max(seen_ms + timeout_s * 1000, state.getCurrentWatermarkMs() + 1))
+        state.setTimeoutTimestamp(max(last // 1000 + timeout_s * 1000, state.getCurrentWatermarkMs() + 1))
         yield pd.DataFrame({
             "ip": np.full(m, key[0], dtype=object),
             "event_id": eid,
@@ -86,19 +70,10 @@ def _session_fn(timeout_s: int, keep_max: int, clock: str):
     return fn
 
 
-def stream_sessions(requests: DataFrame, expiry: str = "processing", watermark: str = "0 seconds",
-                    timeout_s: int = SESSION_TIMEOUT_S, keep_max: int = CLICKSTREAM_MAX) -> DataFrame:
-    """Per request: running session state of its ip.  ``requests`` is a
-    streaming DataFrame with ip, event_id, ts (timestamp), url.
-    ``expiry``: ``"processing"`` (no request is dropped) or ``"event"``
-    (uses ``watermark``; rows behind it are filtered by Spark)."""
-    if expiry not in ("processing", "event"):
-        raise ValueError(expiry)
-    if expiry == "event":
-        src, clock = requests.withWatermark("ts", watermark), "ts"
-    else:
-        src = requests.withColumn(ARRIVAL, F.current_timestamp()).withWatermark(ARRIVAL, "0 seconds")
-        clock = ARRIVAL
-    return (src.groupBy("ip")
-            .applyInPandasWithState(_session_fn(timeout_s, keep_max, clock), OUTPUT_SCHEMA, STATE_SCHEMA,
+def sessions_with_state(requests: DataFrame, watermark: str = "0 seconds", timeout_s: int = SESSION_TIMEOUT_S,
+                        keep_max: int = CLICKSTREAM_MAX) -> DataFrame:
+    """Per request: running session state of its ip. ``requests`` is a
+    streaming DataFrame with ip, event_id, ts (timestamp), url."""
+    return (requests.withWatermark("ts", watermark).groupBy("ip")
+            .applyInPandasWithState(_session_fn(timeout_s, keep_max), OUTPUT_SCHEMA, STATE_SCHEMA,
                                     "append", GroupStateTimeout.EventTimeTimeout))
