@@ -58,7 +58,7 @@ SPARSE = 32              # one segment in so many has one-deletion units
 SMALL_BAND = 32          # bands up to this size have them in every segment
 RANGE_ROWS = 1 << 20
 LEAST_RANGES = 256
-STAR_ROUNDS = 3
+STAR_ROUNDS = 2
 
 # role of an index row (two low bits of its node): own band or next, whole or one left out
 OWN, NEXT, OWN_LESS, NEXT_LESS = range(4)
@@ -280,32 +280,36 @@ def _need(n: Column, percent: int) -> Column:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, comp): every node of ``edges`` (a, b) with the smallest node of
-    its component, by alternating large-star and small-star steps."""
+    """(node, comp): every node of ``edges`` (a, b) but the smallest of each
+    component, with that smallest node, by alternating large-star and
+    small-star steps."""
     edges = saved(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    before = None
-    while True:
+    while not _stars(edges):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.join(low, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        large = saved(large.filter("a <> b"), "edges")
+        large = large.filter("a <> b")
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = (large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .unionByName(low.select("a", F.col("m").alias("b"))).filter("a <> b").distinct())
         edges = saved(small, "edges")
-        now = tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-        if now == before:
-            break
-        before = now
-    return edges.groupBy("a").agg(F.min("b").alias("comp")).select(F.col("a").alias("node"), "comp")
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("comp"))
+
+
+def _stars(edges: DataFrame) -> bool:
+    """Whether every edge (a, b) runs from a node of no other edge to the
+    centre of a star: then centres name the components."""
+    ends = (edges.select(F.col("a").alias("v"), F.col("b").alias("to"))
+            .unionByName(edges.select(F.col("b").alias("v"), F.lit(None).cast("long").alias("to"))))
+    return (ends.groupBy("v").agg(F.min("to").alias("low"), F.max("to").alias("high"), F.count(F.lit(1)).alias("all"),
+                                  F.count("to").alias("out"))
+            .filter((F.col("low") != F.col("high")) | ((F.col("out") > 0) & (F.col("all") > F.col("out")))).isEmpty())
 
 
 def _merged(comps: DataFrame, links: DataFrame) -> DataFrame:
-    """``comps`` (node, comp) after the links (a, b) of nodes."""
-    of = comps.select(F.col("node").alias("_n"), F.col("comp").alias("_c"))
-    edges = (links.join(of, F.col("a") == F.col("_n")).select("b", F.col("_c").alias("_a"))
-             .join(of, F.col("b") == F.col("_n")).select(F.col("_a").alias("a"), F.col("_c").alias("b")))
-    root = components(edges).select(F.col("node").alias("_old"), F.col("comp").alias("_root"))
+    """``comps`` (node, comp) after links between components (a_comp, b_comp)."""
+    root = components(links.select(F.col("a_comp").alias("a"), F.col("b_comp").alias("b")))
+    root = root.select(F.col("node").alias("_old"), F.col("comp").alias("_root"))
     return saved(comps.join(root, F.col("comp") == F.col("_old"), "left")
                  .select("node", F.coalesce("_root", "comp").alias("comp")), "components")
 
@@ -326,7 +330,7 @@ def _tokens(shingle: int):
 
 
 def _linked(percent: int):
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    schema = pa.schema([("a_comp", pa.int64()), ("b_comp", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -336,15 +340,17 @@ def _linked(percent: int):
                 common = np.intersect1d(x, y, assume_unique=True).size
                 good.append(100 * common >= percent * (x.size + y.size - common))
             mask = pa.array(good, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(c).filter(mask) for c in ("a", "b")], schema=schema)
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(mask) for c in schema.names], schema=schema)
     return run
 
 
 def _verified(pairs: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that link, by their whole sets of shingles."""
+    """The components (a_comp, b_comp) of the pairs (a, b) that link, by
+    their whole sets of shingles."""
     x = tokens.select(F.col("node").alias("a"), F.col("tokens").alias("x"))
     y = tokens.select(F.col("node").alias("b"), F.col("tokens").alias("y"))
-    return saved(pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_linked(percent), "a long, b long"), "links")
+    return (pairs.join(x, "a").join(y, "b").select("a_comp", "b_comp", "x", "y")
+            .mapInArrow(_linked(percent), "a_comp long, b_comp long"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
@@ -368,31 +374,28 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.min(F.struct("doc_id", "fp")).alias("rep"), F.min("doc_id").alias("least")), "sets")
     need = sets.select("node", "n", "units", "deep", _need(F.col("n"), percent).alias("need"))
 
-    probes = _allocated(index, need)
-    live = saved(index.select("hash", "node").join(probes.select("hash").distinct(), "hash", "left_semi").distinct(), "live")
-    crowded = saved(need.filter("units + deep < need").select("node", "n"), "crowded")
-    by_size = (crowded.select(F.col("node").alias("a"), F.explode(F.sequence(F.ceil(F.col("n") * percent / 100.0).cast("int"), F.col("n"))).alias("n"))
-               .join(sets.select(F.col("node").alias("b"), "n"), "n").filter("a <> b").select("a", "b"))
-    nodes = live.select("node").unionByName(by_size.select(F.col("a").alias("node"))).unionByName(
-        by_size.select(F.col("b").alias("node"))).distinct()
-    comps = saved(nodes.select("node", F.col("node").alias("comp")), "components")
-    reps = sets.join(nodes, "node", "left_semi").select("node", F.col("rep.doc_id").alias("_id"), F.col("rep.fp").alias("_fp"))
+    live = _allocated(index, need)
+    nodes = live.select("node")
+    crowded = need.filter("units + deep < need").select("node", "n")
+    linkable = F.explode(F.sequence(F.ceil(F.col("n") * percent / 100.0).cast("int"), F.col("n")))
+    by_size = (crowded.select("node", linkable.alias("n")).join(sets.select(F.col("node").alias("other"), "n"), "n")
+               .filter("node <> other").select(F.greatest("node", "other").alias("a"), F.least("node", "other").alias("b"),
+                                               F.greatest("node", "other").alias("a_comp"), F.least("node", "other").alias("b_comp")))
+    some_crowded = not crowded.isEmpty()
+    if some_crowded:
+        nodes = nodes.unionByName(by_size.select(F.col("a").alias("node"))).unionByName(by_size.select(F.col("b").alias("node")))
+    comps = saved(nodes.distinct().select("node", F.col("node").alias("comp")), "components")
+    reps = (sets.join(comps, "node", "left_semi")
+            .select("node", F.col("rep.doc_id").alias("_id"), F.col("rep.fp").alias("_fp")))
     tokens = saved(keyed.join(reps, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("fp") == F.col("_fp")))
                    .select("node", "text").mapInArrow(_tokens(shingle), "node long, tokens binary")
                    .dropDuplicates(["node"]), "tokens")
 
-    sizes = sets.select("node", "n")
-    tried = None
-    for pairs in (*[_star(r) for r in range(STAR_ROUNDS)], _across):
-        found = _plausible(pairs(probes, live, comps), sizes, percent)
-        if tried is not None:
-            found = found.join(tried, ["a", "b"], "left_anti")
-        else:
-            found = found.unionByName(by_size.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))).distinct()
-        found = saved(found, "pairs")
-        if found.isEmpty():
-            continue
-        tried = found if tried is None else tried.unionByName(found)
+    for turn in range(STAR_ROUNDS + 1):
+        placed = live.join(comps, "node") if turn else live.withColumn("comp", F.col("node"))
+        found = _star(placed, turn, percent) if turn < STAR_ROUNDS else _across(placed, percent)
+        if some_crowded and not turn:
+            found = found.unionByName(by_size.distinct())
         comps = _merged(comps, _verified(found, tokens, percent))
 
     named = sets.select("node", "least").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
@@ -404,7 +407,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def _allocated(index: DataFrame, need: DataFrame) -> DataFrame:
-    """(hash, node): the cheapest units that bring every set to its need."""
+    """(hash, node, n, probe): the index rows of the hashes that any set
+    probes; ``probe`` marks the cheapest units that bring a set to its need."""
     cost = index.groupBy("hash").agg(F.count_distinct("node").alias("cost"))
     shared = index.filter(F.col("role").isin(OWN, OWN_LESS))
     held = shared.groupBy("node").agg(F.count(F.when(F.col("role") == OWN, 1)).alias("whole"),
@@ -413,44 +417,51 @@ def _allocated(index: DataFrame, need: DataFrame) -> DataFrame:
     free = F.col("units") - F.col("whole") + F.greatest(F.lit(0), F.col("deep") - F.col("less") - F.col("whole"))
     lack = held.join(need, "node").select("node", "whole", (F.col("need") - free).alias("lack")).filter("lack > 0")
     order = Window.partitionBy("node", "role").orderBy("cost", "hash")
-    return saved(shared.join(lack, "node").join(cost, "hash").withColumn("_r", F.row_number().over(order))
-                 .filter(((F.col("role") == OWN) & (F.col("_r") <= F.col("lack")))
-                         | ((F.col("role") == OWN_LESS) & (F.col("lack") > F.col("whole")))).select("hash", "node"), "probes")
-
-
-def _star(turn: int):
+    probes = saved(shared.join(lack, "node").join(cost, "hash").withColumn("_r", F.row_number().over(order))
+                   .filter(((F.col("role") == OWN) & (F.col("_r") <= F.col("lack")))
+                           | ((F.col("role") == OWN_LESS) & (F.col("lack") > F.col("whole")))).select("hash", "node"), "probes")
+    # a probe's own index row is among the rows of its hash
+    rows = (index.select("hash", "node", F.lit(0).alias("p")).unionByName(probes.select("hash", "node", F.lit(1).alias("p")))
+            .groupBy("hash", "node").agg(F.max("p").alias("p")))
+    asked = probes.select("hash").distinct()
+    return saved(rows.join(asked, "hash", "left_semi").join(need.select("node", "n"), "node")
+                 .select("hash", "node", "n", (F.col("p") == 1).alias("probe")), "live")
+
+
+def _pair(other: str) -> list[Column]:
+    """(a, b) with their components, of a row's node and ``other`` (a struct)."""
+    first = F.col("node") > F.col(f"{other}.node")
+    return [F.greatest("node", f"{other}.node").alias("a"), F.least("node", f"{other}.node").alias("b"),
+            F.when(first, F.col("comp")).otherwise(F.col(f"{other}.comp")).alias("a_comp"),
+            F.when(first, F.col(f"{other}.comp")).otherwise(F.col("comp")).alias("b_comp")]
+
+
+def _star(placed: DataFrame, turn: int, percent: int) -> DataFrame:
     """Every probing set against one partner of another component: of the two
     ends of each hash's sets in an order that changes by turn, the one it
-    shares most probes with."""
-    def pairs(probes: DataFrame, live: DataFrame, comps: DataFrame) -> DataFrame:
-        place = F.struct(F.xxhash64("comp", F.lit(turn)).alias("order"), "comp", "node")
-        ends = (live.join(comps, "node").groupBy("hash").agg(F.min(place).alias("low"), F.max(place).alias("high"))
-                .filter(F.col("low.comp") != F.col("high.comp")))
-        met = (probes.join(comps, "node").join(ends, "hash")
-               .select("node", F.when(F.col("comp") != F.col("low.comp"), F.col("low.node")).otherwise(F.col("high.node")).alias("other"))
-               .groupBy("node", "other").count())
-        first = Window.partitionBy("node").orderBy(F.desc("count"), "other")
-        return (met.withColumn("_r", F.row_number().over(first)).filter("_r = 1")
-                .select(F.greatest("node", "other").alias("a"), F.least("node", "other").alias("b")))
-    return pairs
-
-
-def _across(probes: DataFrame, live: DataFrame, comps: DataFrame) -> DataFrame:
+    shares most probes with. ``placed`` is the live rows with components."""
+    place = F.struct(F.xxhash64("comp", F.lit(turn)).alias("order"), "comp", "node", "n")
+    ends = (placed.groupBy("hash").agg(F.min(place).alias("low"), F.max(place).alias("high"))
+            .filter(F.col("low.comp") != F.col("high.comp")))
+    met = (placed.filter("probe").join(ends, "hash")
+           .withColumn("end", F.when(F.col("comp") != F.col("low.comp"), F.col("low")).otherwise(F.col("high")))
+           .filter(_sizes_link("n", "end.n", percent)).groupBy("node", "comp", "end").count())
+    first = Window.partitionBy("node").orderBy(F.desc("count"), "end")
+    return met.withColumn("_r", F.row_number().over(first)).filter("_r = 1").select(*_pair("end"))
+
+
+def _across(placed: DataFrame, percent: int) -> DataFrame:
     """Every probing set against all sets of other components that share one
     of its probes."""
-    placed = live.join(comps, "node")
     mixed = placed.groupBy("hash").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high").select("hash")
-    own = probes.join(mixed, "hash", "left_semi").join(comps, "node").select("hash", F.col("node").alias("p"), F.col("comp").alias("p_comp"))
-    other = placed.join(mixed, "hash", "left_semi")
-    return (own.join(other, "hash").filter("p_comp <> comp")
-            .select(F.greatest("p", "node").alias("a"), F.least("p", "node").alias("b")).distinct())
+    rows = placed.join(mixed, "hash", "left_semi")
+    other = rows.select("hash", F.struct("comp", "node", "n").alias("end"))
+    return (rows.filter("probe").join(other, "hash")
+            .filter((F.col("comp") != F.col("end.comp")) & _sizes_link("n", "end.n", percent)).select(*_pair("end")).distinct())
 
 
-def _plausible(pairs: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose sizes can link."""
-    return (pairs.distinct().join(sizes.select(F.col("node").alias("a"), F.col("n").alias("_na")), "a")
-            .join(sizes.select(F.col("node").alias("b"), F.col("n").alias("_nb")), "b")
-            .filter(100 * F.least("_na", "_nb") >= percent * F.greatest("_na", "_nb")).select("a", "b"))
+def _sizes_link(x: str, y: str, percent: int) -> Column:
+    return 100 * F.least(x, y) >= percent * F.greatest(x, y)
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
