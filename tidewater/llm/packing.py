@@ -32,13 +32,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import own_columns, saved
-from tidewater.llm.words import rolling, row_slices, text_bytes, word_bounds
+from tidewater.llm.words import _SPACE, rolling, row_slices, text_bytes, word_bounds
 
 CAPACITY = 1024
 END_ID = 2
 VOCABULARY = "byte_bpe_50k.json"
 SALTS = 16
-REMEMBERED = 400_000  # units whose ids a Python worker keeps
+TOGETHER = 2000        # units tokenized as one text
+REMEMBERED = 1_500_000  # units whose ids a Python worker keeps
 
 # White space beyond the bytes that part units, in UTF-8.
 _WIDE_SPACE = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80|[\x1c-\x1f]")
@@ -77,24 +78,50 @@ class _Units:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, dtype=np.uint32) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
-    def look_up(self, keys: np.ndarray, text_of) -> tuple[np.ndarray, np.ndarray]:
-        """(begin, size) in the pool for sorted distinct ``keys``; units not
-        seen before are tokenized, ``text_of`` gives the text of one."""
-        new = ~np.isin(keys, self.keys, assume_unique=True)
+    def encode_units(self, data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of the units data[begin:end] in turn, ids per unit). The
+        units begin with their white space and end with a word's byte:
+        ``TOGETHER`` of them as one text have the same ids, cut apart by the
+        tokens' offsets."""
+        length = end - begin
+        stop = np.cumsum(length)
+        flat = data[np.repeat(begin - (stop - length), length) + np.arange(length.sum())]
+        lead = np.concatenate(([0], np.cumsum((flat & 0xC0) != 0x80)))     # characters up to a byte
+        edges = np.concatenate(([0], stop))
+        groups = [edges[a:a + TOGETHER + 1] for a in range(0, begin.size, TOGETHER)]
+        texts = [flat[g[0]:g[-1]].tobytes().decode() for g in groups]
+        ids, sizes = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for g, e in zip(groups, self.tokenizer.encode_batch(texts, add_special_tokens=False)):
+            first = np.array(e.offsets, dtype=np.int64).reshape(-1, 2)[:, 0]
+            sizes.append(np.diff(np.searchsorted(first, lead[g] - lead[g[0]])))
+            sizes[-1][-1] += first.size - sizes[-1].sum()
+            ids.append(np.array(e.ids, dtype=np.uint32))
+        return np.concatenate(ids), np.concatenate(sizes)
+
+    def look_up(self, keys: np.ndarray, data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(begin, size) in the pool for sorted distinct ``keys``, the hashes
+        of data[begin:end]; units not seen before are tokenized."""
+        at = np.searchsorted(self.keys, keys)
+        new = np.ones(keys.size, dtype=bool)
+        inside = at < self.keys.size
+        new[inside] = self.keys[at[inside]] != keys[inside]
         if self.keys.size and self.keys.size + new.sum() > REMEMBERED:
             self.clear()
             new[:] = True
         if new.any():
-            ids = self.encode([text_of(i) for i in np.flatnonzero(new).tolist()])
-            size = np.array([i.size for i in ids], dtype=np.int32)
-            begin = self.pool.size + np.concatenate(([0], np.cumsum(size, dtype=np.int64)[:-1]))
-            self.pool = np.concatenate([self.pool, *ids])
-            keys_now = np.concatenate((self.keys, keys[new]))
+            joint = new & _SPACE[data[begin]] & ~_SPACE[data[end - 1]]
+            alone = np.flatnonzero(new & ~joint)   # a text's first word, runs of white space
+            ids, size = self.encode_units(data, begin[joint], end[joint])
+            others = self.encode([data[b:e].tobytes().decode() for b, e in zip(begin[alone], end[alone])])
+            size = np.concatenate((size, [i.size for i in others])).astype(np.int32)
+            first = self.pool.size + np.concatenate(([0], np.cumsum(size, dtype=np.int64)[:-1]))
+            self.pool = np.concatenate([self.pool, ids, *others])
+            keys_now = np.concatenate((self.keys, keys[joint], keys[alone]))
             order = np.argsort(keys_now)
             self.keys = keys_now[order]
-            self.begin = np.concatenate((self.begin, begin))[order]
+            self.begin = np.concatenate((self.begin, first))[order]
             self.size = np.concatenate((self.size, size))[order]
-        at = np.searchsorted(self.keys, keys)
+            at = np.searchsorted(self.keys, keys)
         return self.begin[at], self.size[at]
 
 
@@ -118,7 +145,7 @@ def token_ids(data: np.ndarray, offsets: np.ndarray, units: _Units) -> tuple[np.
     begin, end = cut[:-1], cut[1:]
     if begin.size:
         keys, one, back = np.unique(rolling(_VALUE[data], begin, end, _UNIT_BASE), return_index=True, return_inverse=True)
-        at, size = units.look_up(keys, lambda i: raw[begin[one[i]]:end[one[i]]].decode())
+        at, size = units.look_up(keys, data, begin[one], end[one])
         at, size = at[back], size[back]
     else:
         at, size = np.zeros(0, np.int64), np.zeros(0, np.int32)
