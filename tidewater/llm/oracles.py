@@ -58,4 +58,33 @@ select page_id, payload_bytes, payload_digest,
 from d join g using (payload_digest)
 """
 
-ORACLES: dict[str, str] = {"op1_warc_revisits": OP1, "op8_exact_dedup": OP8, "op7_secret_scan": _op7()}
+# A word, as RE2 reads it.
+_WORD = r"[^\x20\x09-\x0D]+"
+
+OP2 = f"""
+with recursive w as (select doc_id, regexp_extract_all({_LOWER}, '{_WORD}') as w from documents),
+l as (select doc_id, list_distinct(case when len(w) >= 5 then list_transform(range(1, len(w) - 3),
+        lambda i: array_to_string(w[i:i + 4], ' ')) when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as l from w),
+s as (select doc_id, len(l) as n, unnest(l) as g from l),
+links as (select a.doc_id as x, b.doc_id as y from s a join s b on a.g = b.g and a.doc_id < b.doc_id
+          group by a.doc_id, b.doc_id, a.n, b.n having 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+edges as (select x, y from links union all select y, x from links),
+reach as (select doc_id, doc_id as r from documents union select reach.doc_id, e.y from reach join edges e on reach.r = e.x)
+select doc_id, len(l)::bigint as n_shingles, component_id
+from l join (select doc_id, min(r) as component_id from reach group by 1) using (doc_id)
+"""
+
+OP4 = f"""
+with d as (select doc_id, regexp_extract_all(coalesce(text, ''), '{_WORD}') as w from documents),
+v as (select doc_id, unnest(range(1, len(w) - 33)) as i, w from d),
+h as (select doc_id, i, count(*) over (partition by array_to_string(w[i:i + 34], ' ')) > 1 as again from v),
+p as (select doc_id, unnest(w) as word, unnest(range(1, len(w) + 1)) as i from d),
+c as (select p.doc_id, p.i, word, coalesce(bool_or(again) over (partition by p.doc_id order by p.i
+        rows between 34 preceding and current row), false) as gone
+      from p left join h on p.doc_id = h.doc_id and p.i = h.i),
+k as (select doc_id, count(*) filter (gone) as n_removed, string_agg(word, ' ' order by i) filter (not gone) as kept from c group by 1)
+select doc_id, len(w)::bigint as n_words, coalesce(n_removed, 0) as n_removed, sha256(coalesce(kept, '')) as kept_sha256
+from d left join k using (doc_id)
+"""
+
+ORACLES: dict[str, str] = {"op1_warc_revisits": OP1, "op2_jaccard_join": OP2, "op4_substring_dedup": OP4, "op8_exact_dedup": OP8, "op7_secret_scan": _op7()}
