@@ -39,7 +39,7 @@ END_ID = 2
 VOCABULARY = "byte_bpe_50k.json"
 SALTS = 16
 TOGETHER = 2000        # units tokenized as one text
-REMEMBERED = 1_500_000  # units whose ids a Python worker keeps
+REMEMBERED = 1_000_000  # units whose ids a Python worker keeps
 
 # White space beyond the bytes that part units, in UTF-8.
 _WIDE_SPACE = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80|[\x1c-\x1f]")

@@ -27,7 +27,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,14 +35,14 @@ from tidewater.llm.common import own_columns
 from tidewater.llm.words import mix, rolling, row_slices, text_bytes, word_bounds
 
 BITS = 20
-SAMPLE = 3000         # labelled rows of each class, at most
+SAMPLE = 2000         # labelled rows of each class, at most
 FIT_BYTES = 200_000   # texts used for fitting; scoring has no such bound
 FOLDS, HELD_FOLD = 5, 0
 THRESHOLD = 0.3
 SMOOTHING = 1.0
 COST = 4.0
 EPOCHS = 12
-PIECE = 2 << 20
+PIECE = 1 << 20
 
 # Class of each byte: its own value for punctuation, one for each kind of letter.
 _CLASS = np.arange(256, dtype=np.uint64)
@@ -171,7 +170,7 @@ def fit(docs: list[np.ndarray], y: np.ndarray, share: float, bits: int = BITS) -
     each = np.bincount(y[rows].astype(int), minlength=2)
     prior = np.where(y[rows] == 1, share / max(each[1], 1), (1 - share) / max(each[0], 1)) * rows.size
     slope, shift = logistic(margin, y[rows].astype(float), prior)
-    return Model(w * ratio, ratio * ratio, b, slope, shift)
+    return Model((w * ratio).astype(np.float32), (ratio * ratio).astype(np.float32), b, slope, shift)
 
 
 def held_out(doc_id):
@@ -237,7 +236,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 def keep_good(docs: DataFrame, model: Model, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that the model does not reject, all columns."""
-    @F.pandas_udf("double")
-    def scored(text: pd.Series) -> pd.Series:
-        return pd.Series(_scores(pa.array(text, pa.string(), from_pandas=True), model))
+    @F.arrow_udf("double")
+    def scored(text: pa.Array) -> pa.Array:
+        return pa.array(_scores(text, model))
     return docs.filter(scored(F.col(f"`{text_col}`")) >= threshold)

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-PIECE_BYTES = 4 << 20  # bytes of text worked on at a time (a longer text is a piece of its own)
+PIECE_BYTES = 1 << 20  # bytes of text worked on at a time (a longer text is a piece of its own)
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
