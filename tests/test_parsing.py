@@ -112,3 +112,50 @@ def test_lines_equal_regex_rule_on_random_texts(spark):
     got = {r.i: r.l for r in df.select("i", lines("t").alias("l")).collect()}
     for i, t in enumerate(texts):
         assert got[i] == rule(t), repr(t)
+
+
+def test_packed_fields_equal_the_pattern(spark):
+    """One regex run gives what the match test and nine extractions give,
+    for lines with the separator too."""
+    lines = ['1.2.3.4 - u [01/Jan/2024:00:00:00 +0000] "GET / HTTP/1.1" 200 5 "-" "agent"',
+             ' - u [01/Jan/2024:00:00:00 +0000] "" 200 5 "" ""', "garbage", "", None, "\x1f" * 8,
+             '1.2.3.4 - u [x] "a\x1fb" 200 5 "-" "agent"', 'x 1.2.3.4 - u [x] "a" 200 5 "-" "agent"']
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "event_id long, line string")
+    got = {r.event_id: tuple(r)[1:] for r in W.parse_log(df).collect()}
+    want = {r.event_id: tuple(r)[1:] for r in df.where(lp.matches("line")).select(
+        "event_id", *[lp.group("line", f) for f in lp.FIELDS]).collect()}
+    assert got == want and sorted(got) == [0, 1, 6]
+
+
+def test_log_times_do_not_depend_on_the_session_zone(spark):
+    df = spark.createDataFrame([("[10/Mar/2024:02:30:00 -0500]",), ("[bad]",)], "d string")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "America/New_York"):  # 02:30 does not exist there on that day
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            r = df.select(lp.log_time("d").cast("string").alias("t"), lp.log_time_with_offset("d").cast("string").alias("o")).collect()
+            assert [tuple(x) for x in r] == [("2024-03-10 02:30:00", "2024-03-10 07:30:00"), (None, None)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_word_count_of_a_text_file(spark, tmp_path):
+    from tidewater.operators.text import word_count
+    from tidewater.sources.tables import text_lines
+    (tmp_path / "a.txt").write_text("One two\ntwo  one\n")
+    assert {r.word: r.n for r in word_count(text_lines(spark, str(tmp_path))).collect()} == {"one": 2, "two": 2, "": 1}
+
+
+def test_lookup_of_a_repeated_key_does_not_multiply_rows(spark):
+    from tidewater.operators.lookups import key_present, lookup_with_default
+    df = spark.createDataFrame([(1,), (2,), (None,)], "k int")
+    dim = spark.createDataFrame([(1, "b"), (1, "a"), (1, None), (None, "n")], "d int, v string")
+    assert sorted((r.k or 0, r.v) for r in lookup_with_default(df, dim, "k", "d", "v", "none").collect()) == [(0, "none"), (1, "a"), (2, "none")]
+    assert key_present(df, dim, "k", "d").count() == 1
+
+
+def test_session_settings():
+    from tidewater.session import session_conf
+    on_a_cluster = session_conf()
+    assert not {"spark.master", "spark.driver.host", "spark.driver.bindAddress", "spark.driver.memory", "spark.sql.shuffle.partitions"} & set(on_a_cluster)
+    assert session_conf("local[2]", 4)["spark.driver.host"] == "127.0.0.1"

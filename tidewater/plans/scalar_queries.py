@@ -125,8 +125,8 @@ select l_orderkey,
        array_to_string(list_concat(q, list_reverse(q)), ',') as concatenated,
        array_to_string(list_reverse(q), ',') as reversed,
        array_to_string(list_sort(list_reverse(q)), ',') as sorted,
-       array_to_string(list_sort(list_distinct(list_concat(q, q))), ',') as distinct_values
-from order_items""")
+       array_to_string(list_filter(l, lambda x, i: list_position(l, x) = i), ',') as distinct_values
+from (select *, list_concat(list_reverse(q), q) as l from order_items)""")
 def q_array_ops(spark, sf):
     oi = order_items(spark, sf)
     q = F.col("q")
@@ -134,7 +134,7 @@ def q_array_ops(spark, sf):
                      _strs(F.concat(q, F.reverse(q))).alias("concatenated"),
                      _strs(F.reverse(q)).alias("reversed"),
                      _strs(F.array_sort(F.reverse(q))).alias("sorted"),
-                     _strs(F.array_distinct(F.concat(q, q))).alias("distinct_values"))
+                     _strs(F.array_distinct(F.concat(F.reverse(q), q))).alias("distinct_values"))
 
 
 # -- SCL16 -------------------------------------------------------------------------------------------------

@@ -39,19 +39,20 @@ def q_posts_text(spark, sf):
 # -- SCL2 ---------------------------------------------------------------------------
 @query("tokens", D.with_(D.POSTS) + f"""
 select post_id, cast(len({D.tok('text')}) as integer) as n_tokens,
-       cast(len(list_filter({D.tok('text')}, lambda x: x = '')) as integer) as n_empty
+       cast(len(list_filter({D.tok('text')}, lambda x: x = '')) as integer) as n_empty,
+       array_to_string({D.tok('text')}, '|') as joined
 from posts""")
 def q_tokens(spark, sf):
     t = jvm_split("text")
     return posts(spark, sf).select(
         "post_id", F.size(t).alias("n_tokens"),
-        F.size(F.filter(t, lambda x: x == "")).alias("n_empty"))
+        F.size(F.filter(t, lambda x: x == "")).alias("n_empty"), F.array_join(t, "|").alias("joined"))
 
 
 # -- PRJ9 / UDF3 (built-in form) ------------------------------------------------------
 @query("words", D.with_(D.POSTS) + f"""
 select post_id, count(*) as n_words, cast(sum(length(word)) as bigint) as total_word_len,
-       cast(max(pos) as integer) as last_pos
+       cast(max(pos) as integer) as last_pos, string_agg(word, '|' order by pos) as joined
 from (select post_id, unnest({D.tok('text')}) as word,
              unnest(range(0, len({D.tok('text')}))) as pos from posts)
 group by post_id""")
@@ -59,7 +60,9 @@ def q_words(spark, sf):
     w = T.words(posts(spark, sf))
     return w.groupBy("post_id").agg(F.count(F.lit(1)).alias("n_words"),
                                     F.sum(F.length("word")).cast("bigint").alias("total_word_len"),
-                                    F.max("pos").alias("last_pos"))
+                                    F.max("pos").alias("last_pos"),
+                                    F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("pos", "word"))),
+                                                             lambda x: x["word"]), "|").alias("joined"))
 
 
 # -- FLT1 / SCL8 ------------------------------------------------------------------------

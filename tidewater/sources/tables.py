@@ -18,6 +18,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def text_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``text``: one row per line of the text files at ``path``."""
+    return spark.read.text(path).withColumnRenamed("value", "text")
+
+
 def _s(c):
     return F.col(c).cast("string")
 
