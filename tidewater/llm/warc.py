@@ -1,11 +1,11 @@
 """WARC archives: writing, reading, and revisit resolution by payload digest.
 
-An archive is a folder of uncompressed WARC/1.1 files. Spark's text writer
-writes them (a record per row, the record separator as line separator), so
-they go wherever Spark can write, with its commit protocol; the writer closes
-a file after ``RECORDS_PER_FILE`` records. They are read as whole files and
-parsed by Content-Length; files of other origin may also be gzip, a member
-per record.
+An archive is a folder of WARC/1.1 files, each a gzip stream of its records.
+Spark's text writer writes them (a record per row, the record separator as
+line separator), so they go wherever Spark can write, with its commit
+protocol; the writer closes a file after ``RECORDS_PER_FILE`` records. They
+are read as whole files and parsed by Content-Length; files of other origin
+may be plain, or gzip with a member per record.
 
 ``deduplicate`` reads the headers of an archive, shuffles them by payload
 digest, lets the record with the largest page number of each digest answer
@@ -85,7 +85,7 @@ def write_archive(records: DataFrame, path: str, per_file: int = RECORDS_PER_FIL
     payload_bytes) as WARC files below ``path``."""
     # a text row may hold any bytes: the cast does not change them
     (records.mapInArrow(_rendered, "value binary").select(F.col("value").cast("string").alias("value"))
-     .write.option("lineSep", SEPARATOR).option("maxRecordsPerFile", per_file).text(path))
+     .write.option("lineSep", SEPARATOR).option("maxRecordsPerFile", per_file).option("compression", "gzip").text(path))
 
 
 def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
