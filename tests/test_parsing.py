@@ -30,7 +30,7 @@ def test_parse_drops_unmatched(spark):
 
 def test_request_unit_and_url_rules(spark):
     df = _lines(spark, GOOD, TWO_TOKENS, DASH, BAD)
-    r = df.select("event_id", lp.request_or_unit("line").alias("req")).select(
+    r = W.extract_request(df).withColumnRenamed("request", "req").select(
         "event_id", "req", lp.url_strict("req").alias("strict"), lp.url_lenient("req").alias("lenient"))
     got = {x.event_id: (x.req, x.strict, x.lenient) for x in r.collect()}
     assert got[0] == ("GET /a HTTP/1.1", "/a", "/a")
