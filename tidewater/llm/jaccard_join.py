@@ -22,8 +22,9 @@ alike in both; a segment that may differ by one counts twice.
 4. Candidates are verified exactly on their shingles. Only what components
    need is verified: first every set against one partner, the sets linked so
    far become components (contracted by min-label propagation in Spark), and
-   later rounds look only at partners in other components; the last takes all
-   of these. So a group of n near copies costs about n pairs, not n squared.
+   later rounds look at a few partners in other components, the last at all
+   of these whose parity bitmaps (an exact lower bound of the difference) do
+   not rule a link out. So a group of n near copies costs about n pairs, not n squared.
    Sets with too few units (possible only when their shingles crowd into few
    segments) are compared with all sets of their sizes.
 
@@ -58,7 +59,10 @@ SPARSE = 32              # one segment in so many has one-deletion units
 SMALL_BAND = 32          # bands up to this size have them in every segment
 RANGE_ROWS = 1 << 20
 LEAST_RANGES = 256
-STAR_ROUNDS = 2
+STAR_ROUNDS = 3
+BLOCK = 4096             # sets of a group compared in one task
+PARITY = 8               # bits of a bitmap per shingle of its band's largest set
+LEADERS = 4              # sets of a hash that others are compared with in a round
 
 # role of an index row (two low bits of its node): own band or next, whole or one left out
 OWN, NEXT, OWN_LESS, NEXT_LESS = range(4)
@@ -314,8 +318,17 @@ def _merged(comps: DataFrame, links: DataFrame) -> DataFrame:
                  .select("node", F.coalesce("_root", "comp").alias("comp")), "components")
 
 
+def parity_bits(h: np.ndarray, n: int) -> np.ndarray:
+    """Bitmap of ``PARITY`` bits per shingle of the band's largest set: each
+    shingle flips one bit. Two bitmaps differ in no more bits than the sets
+    differ in shingles; the longer folds onto the shorter by halves."""
+    size = PARITY << int(band_of(np.array([n]))[0])
+    flips = np.bincount((mix(h, 30) & np.uint64(max(size, 64) - 1)).astype(np.int64), minlength=max(size, 64)) & 1
+    return np.packbits(flips.astype(np.uint8))
+
+
 def _tokens(shingle: int):
-    schema = pa.schema([("node", pa.int64()), ("tokens", pa.binary())])
+    schema = pa.schema([("node", pa.int64()), ("tokens", pa.binary()), ("bits", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -323,9 +336,10 @@ def _tokens(shingle: int):
                 rows = piece.rows.stop - piece.rows.start
                 row, h = shingle_sets(piece, shingle)
                 at = np.searchsorted(row, np.arange(rows + 1))
+                sets = [h[a:b] for a, b in zip(at[:-1], at[1:])]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("node").slice(piece.rows.start, rows),
-                     pa.array([h[a:b].astype("<u8").tobytes() for a, b in zip(at[:-1], at[1:])], pa.binary())], schema=schema)
+                    [batch.column("node").slice(piece.rows.start, rows), pa.array([x.astype("<u8").tobytes() for x in sets], pa.binary()),
+                     pa.array([parity_bits(x, x.size).tobytes() for x in sets], pa.binary())], schema=schema)
     return run
 
 
@@ -388,12 +402,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     reps = (sets.join(comps, "node", "left_semi")
             .select("node", F.col("rep.doc_id").alias("_id"), F.col("rep.fp").alias("_fp")))
     tokens = saved(keyed.join(reps, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("fp") == F.col("_fp")))
-                   .select("node", "text").mapInArrow(_tokens(shingle), "node long, tokens binary")
+                   .select("node", "text").mapInArrow(_tokens(shingle), "node long, tokens binary, bits binary")
                    .dropDuplicates(["node"]), "tokens")
 
     for turn in range(STAR_ROUNDS + 1):
         placed = live.join(comps, "node") if turn else live.withColumn("comp", F.col("node"))
-        found = _star(placed, turn, percent) if turn < STAR_ROUNDS else _across(placed, percent)
+        found = _star(placed, turn, percent) if turn < STAR_ROUNDS else _across(placed, tokens, percent)
         if some_crowded and not turn:
             found = found.unionByName(by_size.distinct())
         comps = _merged(comps, _verified(found, tokens, percent))
@@ -437,27 +451,87 @@ def _pair(other: str) -> list[Column]:
 
 
 def _star(placed: DataFrame, turn: int, percent: int) -> DataFrame:
-    """Every probing set against one partner of another component: of the two
-    ends of each hash's sets in an order that changes by turn, the one it
-    shares most probes with. ``placed`` is the live rows with components."""
-    place = F.struct(F.xxhash64("comp", F.lit(turn)).alias("order"), "comp", "node", "n")
-    ends = (placed.groupBy("hash").agg(F.min(place).alias("low"), F.max(place).alias("high"))
-            .filter(F.col("low.comp") != F.col("high.comp")))
-    met = (placed.filter("probe").join(ends, "hash")
-           .withColumn("end", F.when(F.col("comp") != F.col("low.comp"), F.col("low")).otherwise(F.col("high")))
-           .filter(_sizes_link("n", "end.n", percent)).groupBy("node", "comp", "end").count())
+    """Every live set against a few partners of other components. Each hash
+    names ``LEADERS`` of its sets, the first in orders that change by turn (at
+    first one, in an order of the components); a set takes those it shares
+    most hashes with. Sets of a large component rarely meet a leader of
+    another one, sets outside it mostly do. ``placed`` is the live rows with
+    components."""
+    seeds = range(turn * LEADERS, turn * LEADERS + (LEADERS if turn else 1))
+    member = ["comp", "node", "n"]
+    ends = (placed.groupBy("hash").agg(F.min("comp").alias("low"), F.max("comp").alias("high"),
+                                       *[F.min(F.struct(F.xxhash64("node", F.lit(s)).alias("o"), *member)).alias(f"e{s}") for s in seeds])
+            .filter("low <> high")
+            .select("hash", F.array_distinct(F.array(*[F.struct(*[F.col(f"e{s}.{m}") for m in member]) for s in seeds])).alias("ends")))
+    met = (placed.join(ends, "hash").withColumn("end", F.explode("ends"))
+           .filter((F.col("comp") != F.col("end.comp")) & _sizes_link("n", "end.n", percent))
+           .groupBy("node", "comp", "end").count())
     first = Window.partitionBy("node").orderBy(F.desc("count"), "end")
-    return met.withColumn("_r", F.row_number().over(first)).filter("_r = 1").select(*_pair("end"))
+    return (met.withColumn("_r", F.row_number().over(first)).filter(F.col("_r") <= len(seeds)).select(*_pair("end")))
+
+
+_PAIRS = "a long, b long, a_comp long, b_comp long"
+_PAIRS_SCHEMA = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("a_comp", pa.int64()), ("b_comp", pa.int64())])
+
+
+def _near(percent: int):
+    """Pairs of one group that may link: of different components, with a
+    probe of one at a hash of the other, of sizes and with bitmaps that do
+    not rule a link out. The group has a row per set and hash; rows of
+    another block than the group's first are compared with the first's only."""
+    def run(rows: pa.Table) -> pa.Table:
+        col = {c: rows.column(c).to_numpy() for c in ("hash", "node", "n", "comp", "probe", "own", "first", "second")}
+        node, one, back = np.unique(col["node"], return_index=True, return_inverse=True)
+        n, comp, own = col["n"][one].astype(np.int64), col["comp"][one], col["own"][one]
+        hashes, at = np.unique(col["hash"], return_inverse=True)
+        held = np.zeros((node.size, hashes.size), np.float32)
+        held[back, at] = 1
+        asks = np.zeros_like(held)
+        asks[back[col["probe"]], at[col["probe"]]] = 1
+        raw = [b.as_buffer() for b in rows.column("bits").take(pa.array(one))]
+        bits = [np.frombuffer(b, np.uint8) for b in raw]
+        while len({b.size for b in bits}) > 1:  # fold the longer bitmaps
+            least = min(b.size for b in bits)
+            bits = [b if b.size == least else b[:b.size // 2] ^ b[b.size // 2:] for b in bits]
+        bits = np.stack(bits).view(np.uint64)
+        left = own == col["first"][0]
+        right = np.flatnonzero(own == col["second"][0])
+        out = []
+        for i in np.flatnonzero(left).tolist():
+            js = right[comp[right] != comp[i]]
+            js = js[100 * np.minimum(n[js], n[i]) >= percent * np.maximum(n[js], n[i])]
+            if not js.size:
+                continue
+            both = n[js] + n[i]
+            apart = both - 2 * -(-both * percent // (100 + percent))
+            js = js[np.bitwise_count(bits[js] ^ bits[i]).sum(1, dtype=np.int64) <= apart]
+            if js.size:
+                js = js[(held[js] @ asks[i] > 0) | (asks[js] @ held[i] > 0)]
+            out += [(max(node[i], node[j]), min(node[i], node[j]), *((comp[i], comp[j]) if node[i] > node[j] else (comp[j], comp[i])))
+                    for j in js.tolist()]
+        return pa.Table.from_arrays([pa.array(c, pa.int64()) for c in (zip(*out) if out else [[]] * 4)], schema=_PAIRS_SCHEMA)
+    return run
 
 
-def _across(placed: DataFrame, percent: int) -> DataFrame:
-    """Every probing set against all sets of other components that share one
-    of its probes."""
-    mixed = placed.groupBy("hash").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high").select("hash")
-    rows = placed.join(mixed, "hash", "left_semi")
-    other = rows.select("hash", F.struct("comp", "node", "n").alias("end"))
-    return (rows.filter("probe").join(other, "hash")
-            .filter((F.col("comp") != F.col("end.comp")) & _sizes_link("n", "end.n", percent)).select(*_pair("end")).distinct())
+def _across(placed: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
+    """All pairs of sets of different components of which one probes a hash
+    of the other and whose bitmaps do not rule a link out.
+
+    Hashes are grouped by the first of their sets (in an order of hashed
+    nodes), so that the many hashes two near sets share meet in few groups;
+    groups of more than ``BLOCK`` sets are dealt out in pairs of blocks."""
+    mixed = (placed.groupBy("hash").agg(F.min("comp").alias("low"), F.max("comp").alias("high"),
+                                        F.min(F.struct(F.xxhash64("node").alias("o"), "node"))["node"].alias("head"))
+             .filter("low <> high").select("hash", "head"))
+    rows = placed.join(mixed, "hash")
+    # an upper bound of the sets of a head, by its rows
+    blocks = rows.groupBy("head").agg(F.ceil(F.approx_count_distinct("node") * 1.2 / BLOCK).cast("int").alias("blocks"))
+    dealt = (rows.join(blocks, "head").withColumn("own", F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks")).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .withColumns({"first": F.least("own", "other"), "second": F.greatest("own", "other")}))
+    return (dealt.join(tokens.select("node", "bits"), "node")
+            .select("hash", "node", "n", "comp", "probe", "own", "head", "first", "second", "bits")
+            .groupBy("head", "first", "second").applyInArrow(_near(percent), _PAIRS).distinct())
 
 
 def _sizes_link(x: str, y: str, percent: int) -> Column:
