@@ -72,19 +72,23 @@ def render(page_id, uri, record_type, digest, refers_to, payload: bytes, payload
     return head.encode() + body
 
 
-def _rendered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for rows in (batch.slice(i, 256) for i in range(0, batch.num_rows, 256)):
-            yield pa.RecordBatch.from_arrays([pa.array([render(
-                r["page_id"], r["uri"], r["record_type"], r["digest"], r["refers_to"], r["payload"] or b"",
-                r["payload_bytes"]) for r in rows.to_pylist()], pa.binary())], names=["value"])
+def _rendered(packed: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows in (batch.slice(i, 256) for i in range(0, batch.num_rows, 256)):
+                yield pa.RecordBatch.from_arrays([pa.array([render(
+                    r["page_id"], r["uri"], r["record_type"], r["digest"], r["refers_to"],
+                    zlib.decompress(r["payload"]) if packed and r["payload"] else r["payload"] or b"",
+                    r["payload_bytes"]) for r in rows.to_pylist()], pa.binary())], names=["value"])
+    return run
 
 
-def write_archive(records: DataFrame, path: str, per_file: int = RECORDS_PER_FILE) -> None:
+def write_archive(records: DataFrame, path: str, per_file: int = RECORDS_PER_FILE, packed: bool = False) -> None:
     """Write records (page_id, uri, record_type, digest, refers_to, payload,
-    payload_bytes) as WARC files below ``path``."""
+    payload_bytes) as WARC files below ``path``; ``packed`` payloads are
+    zlib-compressed."""
     # a text row may hold any bytes: the cast does not change them
-    (records.mapInArrow(_rendered, "value binary").select(F.col("value").cast("string").alias("value"))
+    (records.mapInArrow(_rendered(packed), "value binary").select(F.col("value").cast("string").alias("value"))
      .write.option("lineSep", SEPARATOR).option("maxRecordsPerFile", per_file).option("compression", "gzip").text(path))
 
 
@@ -113,7 +117,7 @@ def _number(text: str | None) -> int | None:
     return None if text is None else int(text)
 
 
-def _parsed(with_payload: bool):
+def _parsed(with_payload: bool, packed: bool):
     schema = pa.schema(_FIELDS if with_payload else [f for f in _FIELDS if f[0] != "payload"])
 
     def rows(data: bytes):
@@ -124,7 +128,7 @@ def _parsed(with_payload: bool):
             digest = payload_digest(block) if kind == "response" else head.get("warc-payload-digest", "").removeprefix("sha1:")
             size = len(block) if kind == "response" else _number(head.get("x-payload-length"))
             yield (_number(head.get("x-page-id")), head.get("warc-target-uri"), kind, digest,
-                   _number(head.get("x-refers-to-page-id")), *([block] if with_payload else []), size)
+                   _number(head.get("x-refers-to-page-id")), *([zlib.compress(block, 1) if packed else block] if with_payload else []), size)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -140,12 +144,13 @@ def _parsed(with_payload: bool):
     return run
 
 
-def read_archive(spark: SparkSession, path: str, with_payload: bool = True) -> DataFrame:
+def read_archive(spark: SparkSession, path: str, with_payload: bool = True, packed: bool = False) -> DataFrame:
     """The response and revisit records of an archive. The digest of a
-    response is computed from its payload."""
+    response is computed from its payload. ``packed`` payloads come
+    zlib-compressed (as they should travel through a shuffle)."""
     schema = _RECORD if with_payload else _RECORD.replace("payload binary, ", "")
     return (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("content")
-            .mapInArrow(_parsed(with_payload), schema))
+            .mapInArrow(_parsed(with_payload, packed), schema))
 
 
 def page_records(pages: DataFrame, id_col: str = "page_id", uri_col: str = "url", body_col: str = "html") -> DataFrame:
@@ -183,13 +188,13 @@ def deduplicate(spark: SparkSession, source: str, target: str, least: int = 0, p
         F.first("payload_bytes").alias("payload_bytes"), F.first("record_type").alias("record_type"),
         F.first("refers_to").alias("refers_to"))
     d = decided.toDF(*[f"d_{c}" for c in decided.columns])
-    old = read_archive(spark, source).drop("record_type", "refers_to", "payload_bytes")
+    old = read_archive(spark, source, packed=True).drop("record_type", "refers_to", "payload_bytes")
     fresh = old.join(d, old["page_id"].eqNullSafe(F.col("d_page_id")) & old["uri"].eqNullSafe(F.col("d_uri"))
                      & (old["digest"] == F.col("d_digest")))
     write_archive(fresh.select("page_id", "uri", F.col("d_record_type").alias("record_type"), "digest",
                                F.col("d_refers_to").alias("refers_to"),
                                F.when(F.col("d_record_type") == "response", F.col("payload")).alias("payload"),
-                               F.col("d_payload_bytes").alias("payload_bytes")), target, per_file)
+                               F.col("d_payload_bytes").alias("payload_bytes")), target, per_file, packed=True)
 
 
 def archive_pages(pages: DataFrame, id_col: str = "page_id", uri_col: str = "url", body_col: str = "html",
