@@ -29,7 +29,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -117,7 +117,8 @@ def fit_tree(x: np.ndarray, branching: int = BRANCHING, leaf: int = LEAF_SAMPLE,
 
 
 def usable(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """(vec_id, v array<double>) of the vectors that take part."""
+    """(vec_id, v) of the vectors that take part; v holds the bytes of their
+    doubles."""
     v = F.col("v")
     inf = float("inf")
     good = (F.col("vec_id").isNotNull() & v.isNotNull()
@@ -125,11 +126,36 @@ def usable(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
     rows = (own_columns(vectors, id_col, vector_col).toDF("vec_id", "v")
             .select(F.col("vec_id").cast("long").alias("vec_id"), v.cast("array<double>").alias("v")).filter(good))
     most = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    return rows.filter(F.size("v") == (most["n"] if most else 0))
+    return rows.filter(F.size("v") == (most["n"] if most else 0)).mapInArrow(_bytes, "vec_id long, v binary")
 
 
-def _matrix(column) -> np.ndarray:
-    return np.stack(column.to_numpy()).astype(np.float64, copy=False) if len(column) else np.zeros((0, 0))
+def _bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Vectors as the bytes of their doubles (a negative zero as zero)."""
+    for batch in batches:
+        x = batch.column("v").flatten().to_numpy() + 0.0
+        size = 8 * (x.size // batch.num_rows) if batch.num_rows else 0
+        ends = pa.py_buffer(np.arange(batch.num_rows + 1, dtype=np.int32) * np.int32(size))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("vec_id"), pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, ends, pa.py_buffer(x)])], names=["vec_id", "v"])
+
+
+def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """The vectors of a column of ``_bytes``, a row each."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    if not len(column):
+        return np.zeros((0, 0))
+    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2], np.uint8)[ends[0]:ends[-1]].view(np.float64).reshape(len(column), -1)
+
+
+def _vector(v: bytes) -> np.ndarray:
+    return np.frombuffer(v, np.float64)
+
+
+def _table(rows: list, names: list[str], types: list) -> pa.RecordBatch:
+    columns = zip(*rows) if rows else [[]] * len(types)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
 
 
 def _distances(x: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -147,16 +173,18 @@ def _best(ids: np.ndarray, d: np.ndarray, k: int) -> np.ndarray:
 def brute_force(vectors: DataFrame, ids: list[int], queries: np.ndarray, k: int) -> DataFrame:
     """(query, vec_id, v, d): for each of the given queries, its k nearest
     rows of ``vectors`` other than itself, by a scan of all."""
-    def scan(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            x, names = _matrix(part["v"]), part["vec_id"].to_numpy()
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, names = _matrix(batch.column("v")), batch.column("vec_id").to_numpy()
+            out = []
             for q, own in zip(queries, ids):
                 rows = np.flatnonzero(names != own)
                 d = _distances(x[rows], q)
                 near = _best(names[rows], d, k)
-                yield pd.DataFrame({"query": own, "vec_id": names[rows][near], "v": part["v"].iloc[rows[near]], "d": d[near]})
+                out += [(own, names[r], x[r].tobytes(), e) for r, e in zip(rows[near].tolist(), d[near].tolist())]
+            yield _table(out, ["query", "vec_id", "v", "d"], [pa.int64(), pa.int64(), pa.binary(), pa.float64()])
     first = Window.partitionBy("query").orderBy("d", "vec_id")
-    return (vectors.mapInPandas(scan, "query long, vec_id long, v array<double>, d double")
+    return (vectors.mapInArrow(scan, "query long, vec_id long, v binary, d double")
             .withColumn("_r", F.row_number().over(first)).filter(F.col("_r") <= k).drop("_r"))
 
 
@@ -166,12 +194,12 @@ def calibrate(vectors: DataFrame, queries: DataFrame, tree: Tree, k: int = K, ta
     asked = queries.orderBy(F.xxhash64("vec_id"), "vec_id").limit(calibration).collect()
     if not asked:
         return 1
-    points = np.array([r["v"] for r in asked])
+    points = np.array([_vector(r["v"]) for r in asked])
     truth = brute_force(vectors, [r["vec_id"] for r in asked], points, k).collect()  # calibration * k rows
     place = {r["vec_id"]: {leaf: n for n, leaf in enumerate(tree.best_first(q))} for r, q in zip(asked, points)}
     if not truth:
         return 1
-    leaf = tree.leaf_of(np.array([r["v"] for r in truth]))
+    leaf = tree.leaf_of(np.array([_vector(r["v"]) for r in truth]))
     visits = np.sort([place[r["query"]][x] for r, x in zip(truth, leaf.tolist())])
     return int(visits[max(0, int(np.ceil(target * visits.size)) - 1)]) + 1
 
@@ -185,52 +213,52 @@ def nearest(vectors: DataFrame, is_query, id_col: str = "vec_id", vector_col: st
     taken = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).collect()
     if not taken:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    tree = fit_tree(np.array([r["v"] for r in taken]))
+    tree = fit_tree(np.array([_vector(r["v"]) for r in taken]))
+    del taken
     queries = rows.filter(is_query)
     visits = calibrate(rows, queries, tree, k, target)
 
     same = Window.partitionBy("v").orderBy("vec_id")
     held = rows.withColumn("_r", F.row_number().over(same)).filter(F.col("_r") <= k + 1).drop("_r")
 
-    @F.pandas_udf("long")
-    def leaf_of(v: pd.Series) -> pd.Series:
-        return pd.Series(tree.leaf_of(_matrix(v))) if len(v) else pd.Series([], dtype="int64")
+    @F.arrow_udf("long")
+    def leaf_of(v: pa.Array) -> pa.Array:
+        return pa.array(tree.leaf_of(_matrix(v)) if len(v) else [], pa.int64())
 
     index = saved(held.withColumn("leaf", leaf_of("v")), "ann-index")
     in_leaf = {r["leaf"]: r["n"] for r in index.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).collect()}  # one per leaf
     blocks = {leaf: -(-n // BLOCK) for leaf, n in in_leaf.items()}
 
-    def visit(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            out = []
-            for key, v in zip(part["key"], part["v"]):
-                seen = met = 0
-                for leaf in tree.best_first(v):
-                    met += 1
+    def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for key, v in zip(batch.column("key").to_pylist(), batch.column("v").to_pylist()):
+                out = []
+                seen = 0
+                for met, leaf in enumerate(tree.best_first(_vector(v)), 1):
                     seen += in_leaf.get(leaf, 0)
                     out += [(leaf, b, key, v) for b in range(blocks.get(leaf, 0))]
                     if met >= visits and seen > k:
                         break
-            yield pd.DataFrame(out, columns=["leaf", "block", "key", "v"])
+                yield _table(out, ["leaf", "block", "key", "v"], [pa.int64(), pa.int64(), pa.int64(), pa.binary()])
 
     asked = queries.groupBy("v").agg(F.min("vec_id").alias("key")).select("key", "v")
-    visiting = asked.mapInPandas(visit, "leaf long, block long, key long, v array<double>")
+    visiting = asked.mapInArrow(visit, "leaf long, block long, key long, v binary")
     per_leaf = F.create_map(*[F.lit(x) for leaf, n in blocks.items() if n > 1 for x in (leaf, n)]) if max(blocks.values()) > 1 else None
     parts = F.coalesce(F.element_at(per_leaf, F.col("leaf")), F.lit(1)) if per_leaf is not None else F.lit(1)
     dealt = index.withColumn("block", F.pmod(F.xxhash64("vec_id"), parts).cast("long"))
 
-    def compare(found: pd.DataFrame, asking: pd.DataFrame) -> pd.DataFrame:
+    def compare(found: pa.Table, asking: pa.Table) -> pa.Table:
         out = []
         if len(found) and len(asking):
-            x, names = _matrix(found["v"]), found["vec_id"].to_numpy()
-            for key, q in zip(asking["key"], asking["v"]):
-                d = _distances(x, q)
+            x, names = _matrix(found.column("v")), found.column("vec_id").to_numpy()
+            for key, q in zip(asking.column("key").to_pylist(), asking.column("v").to_pylist()):
+                d = _distances(x, _vector(q))
                 near = _best(names, d, k + 1)
-                out += [(key, n, s) for n, s in zip(names[near].tolist(), d[near].tolist())]
-        return pd.DataFrame(out, columns=["key", "vec_id", "score"])
+                out += [(key, n, e) for n, e in zip(names[near].tolist(), d[near].tolist())]
+        return pa.Table.from_batches([_table(out, ["key", "vec_id", "score"], [pa.int64(), pa.int64(), pa.float64()])])
 
     found = (dealt.groupBy("leaf", "block").cogroup(visiting.groupBy("leaf", "block"))
-             .applyInPandas(compare, "key long, vec_id long, score double"))
+             .applyInArrow(compare, "key long, vec_id long, score double"))
     first = Window.partitionBy("key").orderBy("score", "vec_id")
     # k + 1 nearest of every distinct query vector; a query then leaves itself out
     best = found.withColumn("_r", F.row_number().over(first)).filter(F.col("_r") <= k + 1)
