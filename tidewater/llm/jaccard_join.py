@@ -483,11 +483,15 @@ def _near(percent: int):
         col = {c: rows.column(c).to_numpy() for c in ("hash", "node", "n", "comp", "probe", "own", "first", "second")}
         node, one, back = np.unique(col["node"], return_index=True, return_inverse=True)
         n, comp, own = col["n"][one].astype(np.int64), col["comp"][one], col["own"][one]
-        hashes, at = np.unique(col["hash"], return_inverse=True)
-        held = np.zeros((node.size, hashes.size), np.float32)
-        held[back, at] = 1
-        asks = np.zeros_like(held)
-        asks[back[col["probe"]], at[col["probe"]]] = 1
+        order = np.argsort(back, kind="stable")
+        begin = np.searchsorted(back[order], np.arange(node.size + 1))
+        hashes, probe = col["hash"][order], col["probe"][order]
+
+        def asks(i: int, j: int) -> bool:
+            """Whether set i probes a hash of set j."""
+            own_rows = slice(begin[i], begin[i + 1])
+            return np.isin(hashes[own_rows][probe[own_rows]], hashes[begin[j]:begin[j + 1]]).any()
+
         raw = [b.as_buffer() for b in rows.column("bits").take(pa.array(one))]
         bits = [np.frombuffer(b, np.uint8) for b in raw]
         while len({b.size for b in bits}) > 1:  # fold the longer bitmaps
@@ -505,10 +509,8 @@ def _near(percent: int):
             both = n[js] + n[i]
             apart = both - 2 * -(-both * percent // (100 + percent))
             js = js[np.bitwise_count(bits[js] ^ bits[i]).sum(1, dtype=np.int64) <= apart]
-            if js.size:
-                js = js[(held[js] @ asks[i] > 0) | (asks[js] @ held[i] > 0)]
             out += [(max(node[i], node[j]), min(node[i], node[j]), *((comp[i], comp[j]) if node[i] > node[j] else (comp[j], comp[i])))
-                    for j in js.tolist()]
+                    for j in js.tolist() if asks(i, j) or asks(j, i)]
         return pa.Table.from_arrays([pa.array(c, pa.int64()) for c in (zip(*out) if out else [[]] * 4)], schema=_PAIRS_SCHEMA)
     return run
 
