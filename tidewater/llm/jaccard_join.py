@@ -50,7 +50,7 @@ from pyspark.sql import functions as F
 
 from tidewater.llm.common import as_rows, own_columns, saved
 from tidewater.llm.substring_dedup import pack_hashes, unpack_hashes
-from tidewater.llm.words import mix, pieces, whole_rows, windows
+from tidewater.llm.words import mix, pieces, releasing, whole_rows, windows
 
 SHINGLE = 5
 PERCENT = 80             # link at 100 * intersection >= PERCENT * union
@@ -364,7 +364,7 @@ def _verified(pairs: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
     x = tokens.select(F.col("node").alias("a"), F.col("tokens").alias("x"))
     y = tokens.select(F.col("node").alias("b"), F.col("tokens").alias("y"))
     return (pairs.join(x, "a").join(y, "b").select("a_comp", "b_comp", "x", "y")
-            .mapInArrow(_linked(percent), "a_comp long, b_comp long"))
+            .mapInArrow(releasing(_linked(percent)), "a_comp long, b_comp long"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
@@ -378,7 +378,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     while ranges * RANGE_ROWS < total / 11:  # about an index row per two words
         ranges *= 2
     bits = ranges.bit_length() - 1
-    table = saved(keyed.mapInArrow(_index(bits, shingle, percent), _PACKED)
+    table = saved(keyed.mapInArrow(releasing(_index(bits, shingle, percent)), _PACKED)
                   .groupBy("range").applyInArrow(_shared(bits), _SHARED), "jaccard")
     texts = table.filter("node is not null").select("doc_id", "fp", "node", "other", "n", "units", "deep")
     index = saved(table.filter("hash is not null").select("hash", (F.col("who").bitwiseAND(F.lit(-4))).alias("node"),
@@ -402,7 +402,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     reps = (sets.join(comps, "node", "left_semi")
             .select("node", F.col("rep.doc_id").alias("_id"), F.col("rep.fp").alias("_fp")))
     tokens = saved(keyed.join(reps, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("fp") == F.col("_fp")))
-                   .select("node", "text").mapInArrow(_tokens(shingle), "node long, tokens binary, bits binary")
+                   .select("node", "text").mapInArrow(releasing(_tokens(shingle)), "node long, tokens binary, bits binary")
                    .dropDuplicates(["node"]), "tokens")
 
     for turn in range(STAR_ROUNDS + 1):

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import own_columns
-from tidewater.llm.words import mix, rolling, row_slices, text_bytes, word_bounds
+from tidewater.llm.words import mix, releasing, rolling, row_slices, text_bytes, word_bounds
 
 BITS = 20
 SAMPLE = 2000         # labelled rows of each class, at most
@@ -204,7 +204,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str
     texts = (own_columns(docs, id_col, text_col).toDF("doc_id", "text")
              .join(F.broadcast(picked), "doc_id")  # at most 2 * sample rows of two numbers
              .filter(F.coalesce(F.octet_length("text"), F.lit(0)) <= FIT_BYTES))
-    rows = texts.mapInArrow(_sampled, "doc_id long, label int, features binary").collect()
+    rows = texts.mapInArrow(releasing(_sampled), "doc_id long, label int, features binary").collect()
     rows = sorted({(_shuffled(r["doc_id"]), r["doc_id"], bytes(r["features"]), r["label"]) for r in rows})
     return fit([np.frombuffer(r[2], "<i4") for r in rows], np.array([r[3] for r in rows], dtype=np.int64), share)
 
@@ -231,7 +231,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(_scores(batch.column("text"), model))],
                                              names=["doc_id", "score"])
     return (own_columns(docs, id_col, text_col).toDF("doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
-            .mapInArrow(run, "doc_id long, score double"))
+            .mapInArrow(releasing(run), "doc_id long, score double"))
 
 
 def keep_good(docs: DataFrame, model: Model, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:

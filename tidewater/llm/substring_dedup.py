@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import own_columns, saved
-from tidewater.llm.words import mix, pieces, windows
+from tidewater.llm.words import mix, pieces, releasing, windows
 
 WIDTH = 35
 RANGE_WINDOWS = 1 << 20   # windows per hash range, about
@@ -206,7 +206,7 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     while ranges * RANGE_WINDOWS < total / 6:  # about a window per six characters
         ranges *= 2
     bits = ranges.bit_length() - 1
-    return (docs.select("fp", "size", "text").mapInArrow(_entries(width, bits), _ENTRY)
+    return (docs.select("fp", "size", "text").mapInArrow(releasing(_entries(width, bits)), _ENTRY)
             .groupBy("range").applyInArrow(_count, _BACK)
             .groupBy("piece").applyInArrow(_intervals(width), "fp long, size long, spans array<int>")
             # a text that several pieces hold comes back from each, always whole
@@ -220,4 +220,4 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         {"fp": F.coalesce(F.xxhash64("text"), F.lit(0)), "size": F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")})
     found = saved(repeated_spans(keyed, width), "repeats")
     return (keyed.join(found, ["fp", "size"], "left").select("doc_id", "text", "spans")
-            .mapInArrow(_cut, "doc_id long, n_words long, n_removed long, kept string, spans array<int>"))
+            .mapInArrow(releasing(_cut), "doc_id long, n_words long, n_removed long, kept string, spans array<int>"))

@@ -7,6 +7,8 @@ the bytes of an Arrow column without making Python strings.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,6 +26,20 @@ _BYTE_BASE, _WORD_BASE = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
+def releasing(task):
+    """A map function over batches that gives the memory it took back to the
+    system at its end: Python workers live on between tasks, and allocators
+    would keep it for them."""
+    def run(batches):
+        try:
+            yield from task(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # a C library without it
+                ctypes.CDLL(None).malloc_trim(0)
+    return run
+
+
 def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
     """A bijective mix of 64-bit values."""
     with np.errstate(over="ignore"):
