@@ -11,7 +11,9 @@ vectors, and the visits are widened until ``TARGET`` of them are reached.
 
 Equal vectors: of each, only the k + 1 rows of smallest id can ever be among
 a query's k nearest others, so the index holds those; equal query vectors
-are searched once. Leaves are dealt to tasks in blocks of ``BLOCK`` rows.
+are searched once. Leaves are compared in groups of about ``BLOCK`` rows, a
+query with the leaves of a group that it visits; a larger leaf is cut into
+blocks.
 
 Distances are Euclidean in double precision on the original vectors. Ties go
 to the smaller id.
@@ -40,8 +42,8 @@ SAMPLE = 50_000
 BRANCHING = 8
 LEAF_SAMPLE = 40      # a node with this many sampled vectors or fewer is a leaf
 CALIBRATION = 100
-TARGET = 0.97
-BLOCK = 4096
+TARGET = 0.95
+BLOCK = 4096          # indexed rows compared in one task, about
 
 
 @dataclass
@@ -204,6 +206,20 @@ def calibrate(vectors: DataFrame, queries: DataFrame, tree: Tree, k: int = K, ta
     return int(visits[max(0, int(np.ceil(target * visits.size)) - 1)]) + 1
 
 
+def _grouped(in_leaf: dict[int, int]) -> tuple[dict[int, int], dict[int, int]]:
+    """(group of each leaf, blocks of each group): small leaves share a group
+    of about ``BLOCK`` rows, a larger leaf is a group of several blocks."""
+    group, total = {}, {}
+    now = -1
+    for leaf in sorted(in_leaf):
+        if now < 0 or total[now] + in_leaf[leaf] > BLOCK:
+            now += 1
+            total[now] = 0
+        group[leaf] = now
+        total[now] += in_leaf[leaf]
+    return group, {g: -(-n // BLOCK) for g, n in total.items()}
+
+
 def nearest(vectors: DataFrame, is_query, id_col: str = "vec_id", vector_col: str = "embedding", k: int = K,
             sample: int = SAMPLE, target: float = TARGET) -> DataFrame:
     """(query_id, rank, vec_id, score) for the rows that ``is_query`` (a
@@ -227,37 +243,49 @@ def nearest(vectors: DataFrame, is_query, id_col: str = "vec_id", vector_col: st
 
     index = saved(held.withColumn("leaf", leaf_of("v")), "ann-index")
     in_leaf = {r["leaf"]: r["n"] for r in index.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).collect()}  # one per leaf
-    blocks = {leaf: -(-n // BLOCK) for leaf, n in in_leaf.items()}
+    group, blocks = _grouped(in_leaf)
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for key, v in zip(batch.column("key").to_pylist(), batch.column("v").to_pylist()):
-                out = []
+                at: dict[int, list[int]] = {}
                 seen = 0
                 for met, leaf in enumerate(tree.best_first(_vector(v)), 1):
-                    seen += in_leaf.get(leaf, 0)
-                    out += [(leaf, b, key, v) for b in range(blocks.get(leaf, 0))]
+                    if leaf in in_leaf:
+                        seen += in_leaf[leaf]
+                        at.setdefault(group[leaf], []).append(leaf)
                     if met >= visits and seen > k:
                         break
-                yield _table(out, ["leaf", "block", "key", "v"], [pa.int64(), pa.int64(), pa.int64(), pa.binary()])
+                out = [(g, b, key, v, leaves) for g, leaves in at.items() for b in range(blocks[g])]
+                yield _table(out, ["group", "block", "key", "v", "leaves"],
+                             [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())])
 
     asked = queries.groupBy("v").agg(F.min("vec_id").alias("key")).select("key", "v")
-    visiting = asked.mapInArrow(visit, "leaf long, block long, key long, v binary")
-    per_leaf = F.create_map(*[F.lit(x) for leaf, n in blocks.items() if n > 1 for x in (leaf, n)]) if max(blocks.values()) > 1 else None
-    parts = F.coalesce(F.element_at(per_leaf, F.col("leaf")), F.lit(1)) if per_leaf is not None else F.lit(1)
-    dealt = index.withColumn("block", F.pmod(F.xxhash64("vec_id"), parts).cast("long"))
+    visiting = asked.mapInArrow(visit, "group long, block long, key long, v binary, leaves array<long>")
+    groups = np.array(sorted(group.items()), dtype=np.int64)
+    split = np.array([blocks[g] for g in groups[:, 1]], dtype=np.int64)
+
+    @F.arrow_udf("group long, parts long")
+    def group_of(leaf: pa.Array) -> pa.Array:
+        at = np.searchsorted(groups[:, 0], leaf.to_numpy(zero_copy_only=False))
+        return pa.StructArray.from_arrays([pa.array(groups[at, 1]), pa.array(split[at])], names=["group", "parts"])
+
+    dealt = (index.withColumn("_g", group_of("leaf"))
+             .select("vec_id", "v", "leaf", F.col("_g.group").alias("group"),
+                     F.pmod(F.xxhash64("vec_id"), F.col("_g.parts")).alias("block")))
 
     def compare(found: pa.Table, asking: pa.Table) -> pa.Table:
         out = []
         if len(found) and len(asking):
-            x, names = _matrix(found.column("v")), found.column("vec_id").to_numpy()
-            for key, q in zip(asking.column("key").to_pylist(), asking.column("v").to_pylist()):
-                d = _distances(x, _vector(q))
-                near = _best(names, d, k + 1)
-                out += [(key, n, e) for n, e in zip(names[near].tolist(), d[near].tolist())]
+            x, names, leaf = _matrix(found.column("v")), found.column("vec_id").to_numpy(), found.column("leaf").to_numpy()
+            for key, q, leaves in zip(*(asking.column(c).to_pylist() for c in ("key", "v", "leaves"))):
+                rows = np.flatnonzero(np.isin(leaf, leaves))
+                d = _distances(x[rows], _vector(q))
+                near = _best(names[rows], d, k + 1)
+                out += [(key, n, e) for n, e in zip(names[rows[near]].tolist(), d[near].tolist())]
         return pa.Table.from_batches([_table(out, ["key", "vec_id", "score"], [pa.int64(), pa.int64(), pa.float64()])])
 
-    found = (dealt.groupBy("leaf", "block").cogroup(visiting.groupBy("leaf", "block"))
+    found = (dealt.groupBy("group", "block").cogroup(visiting.groupBy("group", "block"))
              .applyInArrow(compare, "key long, vec_id long, score double"))
     first = Window.partitionBy("key").orderBy("score", "vec_id")
     # k + 1 nearest of every distinct query vector; a query then leaves itself out
