@@ -345,3 +345,16 @@ def test_neighbours(spark):
     few = ann.nearest(df.filter("vec_id < 4"), F.col("vec_id") == 0).collect()
     assert len(few) == 3
     assert ann.nearest(df.limit(0), F.col("vec_id") == 0).count() == 0
+
+
+def test_calibrated_visits_reach_97_of_100_neighbours(spark):
+    x = np.random.default_rng(6).normal(size=(4000, 8)).astype(np.float32)
+    rows = ann.usable(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")).cache()
+    tree = ann.fit_tree(x.astype(np.float64))
+    visits = ann.calibrate(rows, rows.filter("vec_id % 40 = 0"), tree)
+    reached = []
+    for q in range(0, 4000, 40):
+        d = ((x.astype(np.float64) - x[q].astype(np.float64)) ** 2).sum(1)
+        met = set(list(tree.best_first(x[q].astype(np.float64)))[:visits])
+        reached += [leaf in met for leaf in tree.leaf_of(x[np.argsort(d, kind="stable")[1:11]].astype(np.float64)).tolist()]
+    assert len(reached) == 1000 and np.mean(reached) >= 0.97

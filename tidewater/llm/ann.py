@@ -42,7 +42,7 @@ SAMPLE = 50_000
 BRANCHING = 8
 LEAF_SAMPLE = 40      # a node with this many sampled vectors or fewer is a leaf
 CALIBRATION = 100
-TARGET = 0.95
+TARGET = 0.97
 BLOCK = 4096          # indexed rows compared in one task, about
 
 
