@@ -297,6 +297,20 @@ def test_mixing(docs, rows, none):
     assert mixed.columns == docs.columns and mixed.count() == sum(r.copies for r in got)
 
 
+def test_mixing_of_equal_sizes_near_the_cap(spark):
+    rows = [(i, "w " * 10, "a") for i in range(100)] + [(100 + i, "w " * (1 + i % 5), "b") for i in range(258)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert len(got) == len(rows)
+    for source, ratio in [("a", 1.9), ("b", 0.98)]:
+        own = sum(r.size for r in got if r.source == source)
+        target = next(r.target for r in got if r.source == source)
+        assert target / own == pytest.approx(ratio, abs=0.01)
+        assert abs(sum(r.size * r.copies for r in got if r.source == source) - target) <= 10
+    solved = mixing.solve_rates(spark.createDataFrame([("a", 10, 1)], "source string, size long, n long"),
+                                spark.createDataFrame([("a", 10, 19.0)], "source string, source_size long, target double")).first()
+    assert solved.done and np.exp(solved.tilt) == pytest.approx(1.9, rel=1e-5)
+
+
 def test_warc(spark, none):
     pages = [(1, "http://a/1", "<p>é</p>"), (2, "http://a/2\r\nX: y", "<p>é</p>"), (3, None, None), (4, "u", ""), (5, "v", "a\r\n\r\nWARC/1.1\r\n\r\n"),
              (5, "v", "a\r\n\r\nWARC/1.1\r\n\r\n"), (None, "n", "<p>é</p>"), (6, "long", "z" * 300_000), (7, "w", "\x00퟿" * 3)]

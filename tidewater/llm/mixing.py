@@ -101,7 +101,8 @@ def solve_rates(counts: DataFrame, goals: DataFrame, most: float = MOST,
         gap = F.col("got") - F.col("target")
         low = F.when(gap < 0, F.col("tilt")).otherwise(F.col("low"))
         high = F.when(gap > 0, F.col("tilt")).otherwise(F.col("high"))
-        newton = F.col("tilt") - gap / F.col("slope")
+        # no slope where every document is at the cap: no step of Newton's then, but the bracket is halved
+        newton = F.col("tilt") - gap / F.when(F.col("slope") > 0, F.col("slope"))
         middle = (F.col("low2") + F.col("high2")) / 2
         state = saved(
             _with_source(state, got)
