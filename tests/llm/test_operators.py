@@ -208,6 +208,16 @@ def test_quality(spark, docs, none, sf):
     assert {r.score for r in quality.score(docs, quality.train(none, labels.limit(0))).collect()} == {0.5}
 
 
+def test_quality_fits_on_the_stated_number_of_rows(spark, monkeypatch):
+    used = []
+    monkeypatch.setattr(quality, "FIT_BYTES", 50)
+    monkeypatch.setattr(quality, "fit", lambda docs, y, share, *more: used.append(np.bincount(y, minlength=2).tolist()))
+    known = spark.range(14_000).selectExpr("id as doc_id", "if(id % 3 = 0, repeat('long text ', 6), concat('text ', id)) as text",
+                                           "cast(id % 2 as int) as quality")
+    quality.train(known.select("doc_id", "text"), known.select("doc_id", "quality"))
+    assert used == [[3000, 3000]]
+
+
 def test_quality_on_held_out_rows(spark):
     sf = "/root/testdata/sf0.01"
     known, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))

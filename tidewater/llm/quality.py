@@ -9,8 +9,8 @@ to length one; a linear hinge-loss model is fitted by dual coordinate
 descent, and its margin is mapped to a probability by a logistic fit on rows
 that the descent has not seen.
 
-Fitting uses a bounded sample of labelled rows: the first ``SAMPLE`` of each
-class by a hash of the id, texts up to ``FIT_BYTES`` bytes. Scoring is a map
+Fitting uses a bounded sample of labelled rows: of those with a text of up to
+``FIT_BYTES`` bytes, the first ``SAMPLE`` of each class by a hash of the id. Scoring is a map
 over all rows and their whole texts, with the model (``2 ** BITS`` weights) sent to the
 tasks.
 
@@ -35,7 +35,7 @@ from tidewater.llm.common import own_columns
 from tidewater.llm.words import mix, releasing, rolling, row_slices, text_bytes, word_bounds
 
 BITS = 20
-SAMPLE = 2000         # labelled rows of each class, at most
+SAMPLE = 3000         # labelled rows of each class, at most
 FIT_BYTES = 200_000   # texts used for fitting; scoring has no such bound
 FOLDS, HELD_FOLD = 5, 0
 THRESHOLD = 0.3
@@ -199,11 +199,12 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str
     count = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     share = count.get(1, 0) / max(sum(count.values()), 1) if count else 0.5
     order = F.xxhash64("doc_id")
-    picked = (known.filter("label = 1").orderBy(order, "doc_id").limit(sample)
-              .unionByName(known.filter("label = 0").orderBy(order, "doc_id").limit(sample)))
-    texts = (own_columns(docs, id_col, text_col).toDF("doc_id", "text")
-             .join(F.broadcast(picked), "doc_id")  # at most 2 * sample rows of two numbers
+    short = (own_columns(docs, id_col, text_col).toDF("doc_id", "text")
              .filter(F.coalesce(F.octet_length("text"), F.lit(0)) <= FIT_BYTES))
+    fitting = known.join(short.select("doc_id").distinct(), "doc_id", "left_semi")
+    picked = (fitting.filter("label = 1").orderBy(order, "doc_id").limit(sample)
+              .unionByName(fitting.filter("label = 0").orderBy(order, "doc_id").limit(sample)))
+    texts = short.join(F.broadcast(picked), "doc_id")  # at most 2 * sample rows of two numbers
     rows = texts.mapInArrow(releasing(_sampled), "doc_id long, label int, features binary").collect()
     rows = sorted({(_shuffled(r["doc_id"]), r["doc_id"], bytes(r["features"]), r["label"]) for r in rows})
     return fit([np.frombuffer(r[2], "<i4") for r in rows], np.array([r[3] for r in rows], dtype=np.int64), share)
