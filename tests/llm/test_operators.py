@@ -122,6 +122,20 @@ def test_jaccard_join(docs, rows, none):
     assert kept.columns == docs.columns
 
 
+def test_one_row_of_each_near_component_stays(spark):
+    words = [f"w{i}" for i in range(60)]
+    near = [" ".join(words[:30 + i] + ["x"] + words[31 + i:]) for i in range(3)]
+    rows = [(1, near[0], 0), (1, near[1], 1), (2, near[2], 2), (2, near[2], 3),           # two texts of the smallest id
+            (None, "a b c d e f", 4), (None, "A b c d e f", 5), (None, "a b c d e f", 6),  # linked, all ids null
+            (3, "p q r s t u", 7), (3, "p q r s t u", 8), (3, "p q r s t u", 9),           # repeated rows
+            (1, "other words of a used id", 10), (None, "P q r s t u", 11),
+            (4, "", 12), (4, "", 13), (4, " ", 14), (5, "", 15)]
+    got = jaccard_join.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string, row long"))
+    groups = [{0, 1}, {4, 5, 6}, {7, 8, 9}, {10}, {12, 13}, {14}, {15}]
+    left = [r.row for r in got.collect()]
+    assert len(left) == len(groups) and all(len(g & set(left)) == 1 for g in groups)
+
+
 def test_jaccard_join_of_a_large_near_group(spark):
     rng = random.Random(9)
     base = [f"w{rng.randrange(10**6)}" for _ in range(60)]

@@ -371,6 +371,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     percent: int = PERCENT) -> DataFrame:
     """One row per document: doc_id, fp (hash of the text), n_shingles,
     component_id."""
+    texts, named = _named(docs, id_col, text_col, shingle, percent)
+    label = named.groupBy("comp").agg(F.min("least").alias("component_id"))
+    named = named.join(label, "comp").select("node", "component_id")
+    return texts.join(named, "node", "left").select(
+        "doc_id", "fp", F.col("n").cast("long").alias("n_shingles"),
+        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def _named(docs: DataFrame, id_col: str, text_col: str, shingle: int = SHINGLE,
+           percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+    """(every row's doc_id, fp, node, n; every set that is not empty: node,
+    comp, least id, and stay: its first row by id, null last, and fp)."""
     keyed = own_columns(docs, id_col, text_col).toDF("doc_id", "text").select(
         F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("fp"))
     total = docs.agg(F.sum(F.octet_length(f"`{text_col}`"))).first()[0] or 0
@@ -385,7 +397,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                                                           (F.col("who").bitwiseAND(F.lit(3))).cast("int").alias("role")).distinct(), "index")
     sets = saved(texts.filter("n > 0").groupBy("node").agg(
         F.max("n").alias("n"), F.max("units").alias("units"), F.max("deep").alias("deep"),
-        F.min(F.struct("doc_id", "fp")).alias("rep"), F.min("doc_id").alias("least")), "sets")
+        F.min(F.struct("doc_id", "fp")).alias("rep"), F.min("doc_id").alias("least"),
+        F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "fp")).alias("stay")), "sets")
     need = sets.select("node", "n", "units", "deep", _need(F.col("n"), percent).alias("need"))
 
     live = _allocated(index, need)
@@ -412,12 +425,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             found = found.unionByName(by_size.distinct())
         comps = _merged(comps, _verified(found, tokens, percent))
 
-    named = sets.select("node", "least").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    label = named.groupBy("comp").agg(F.min("least").alias("component_id"))
-    named = named.join(label, "comp").select("node", "component_id")
-    return texts.join(named, "node", "left").select(
-        "doc_id", "fp", F.col("n").cast("long").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    return texts, sets.select("node", "least", "stay").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
 
 
 def _allocated(index: DataFrame, need: DataFrame) -> DataFrame:
@@ -541,9 +549,15 @@ def _sizes_link(x: str, y: str, percent: int) -> Column:
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs``, of each component only those of its smallest id."""
-    stay = (near_duplicates(docs, id_col, text_col, **options).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .select(F.col("doc_id").alias("stay_id"), F.col("fp").alias("stay_fp")))
-    keyed = as_rows(docs, id=F.col(f"`{id_col}`"), fp=F.xxhash64(f"`{text_col}`"))
-    return keyed.join(stay, F.col("id").eqNullSafe(F.col("stay_id")) & (F.col("fp") == F.col("stay_fp")),
-                      "left_semi").select("_doc.*")
+    """The rows of ``docs``, of each component only one: of its smallest id
+    (null last), by the hash of the text. Of rows without words one of each
+    id and text stays."""
+    texts, named = _named(docs, id_col, text_col, **options)
+    stay = (named.groupBy("comp").agg(F.min("stay").alias("stay")).select("stay.doc_id", "stay.fp")
+            .unionByName(texts.filter("n = 0").select("doc_id", "fp").distinct()).toDF("stay_id", "stay_fp"))
+    text = F.col(f"`{text_col}`")
+    keyed = as_rows(docs, id=F.col(f"`{id_col}`"), t=text, fp=F.xxhash64(text))
+    twin = Window.partitionBy("id", "fp").orderBy("t")
+    # rows alike in id and text: the join keeps them all, the row number one
+    return (keyed.join(stay, F.col("id").eqNullSafe(F.col("stay_id")) & (F.col("fp") == F.col("stay_fp")), "left_semi")
+            .withColumn("twin", F.row_number().over(twin)).filter("twin = 1").select("_doc.*"))
