@@ -36,6 +36,10 @@ words; without words the set is empty and linked with nothing. Null ids are
 allowed; a component's id is its smallest id that is not null. Repeated rows
 share a component (their own id, if their set is empty). An empty table gives
 no rows. Shingles are compared by 64-bit hashes.
+
+Not in the result: links. Pairs of sets that are in one component already are
+not verified, so links inside a component are neither listed nor counted, and
+there is no number of links of a document. Components are not affected.
 """
 
 from __future__ import annotations
