@@ -3,6 +3,8 @@ writing a step's rows to the shared folder, text units."""
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +29,30 @@ def saved(df: DataFrame, kind: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Tables of one run, written below the session's shared folder; leaving
+    the block removes them, so what is returned must have been read by then."""
+
+    def __init__(self, spark: SparkSession, kind: str):
+        self.spark, self.path = spark, fresh_dir(spark, f"llm-{kind}")
+        self.names = (f"t{i}" for i in itertools.count())
+
+    def fresh(self) -> str:
+        return f"{self.path}/{next(self.names)}"
+
+    def save(self, df: DataFrame) -> DataFrame:
+        path = self.fresh()
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def ascii_lower(c: Column) -> Column:
     """Lower-case A-Z only (other letters stay as they are)."""
     return F.translate(c, UPPER, UPPER.lower())

@@ -87,4 +87,33 @@ select doc_id, len(w)::bigint as n_words, coalesce(n_removed, 0) as n_removed, s
 from d left join k using (doc_id)
 """
 
-ORACLES: dict[str, str] = {"op1_warc_revisits": OP1, "op2_jaccard_join": OP2, "op4_substring_dedup": OP4, "op8_exact_dedup": OP8, "op7_secret_scan": _op7()}
+OP12 = """
+with d as (select row_number() over () as r, doc_id, coalesce(text, '') as t, coalesce(source, '') as part from documents),
+w as (select *, list_filter(string_split_regex(t, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as w,
+             min(doc_id) over (partition by t) as first from d),
+m as (select part, r, doc_id,
+        case when len(w) < 200 then 1 else 0 end
+        + case when 100 * len(list_distinct(w)) < 50 * len(w) then 2 else 0 end
+        + case when 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t) then 4 else 0 end
+        + case when regexp_matches(t, '[#$%&*|]') then 8 else 0 end
+        + case when doc_id > first then 16 else 0 end as mask from w),
+l as (select doc_id, bool_or(quality = 1) as good, bool_or(toxic = 1) as toxic from labels group by 1),
+c as (select part, mask, count(*) as n, count(*) filter (good) as good, count(*) filter (toxic) as toxic
+      from m left join l using (doc_id) group by 1, 2),
+f as (select * from (values ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) v(f, bit)),
+o as (select a.f || b.f || c.f || d.f || e.f as filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] as bits from f a, f b, f c, f d, f e
+      where a.bit + b.bit + c.bit + d.bit + e.bit = 31 and len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+s as (select filter_order, unnest(range(1, 6))::int as step, bits from o),
+g as (select filter_order, step, bits[step] as bit, coalesce(list_sum(bits[1:step - 1]), 0)::int as before from s),
+x as (select part, filter_order, step, bit,
+        coalesce(sum(n) filter (mask & (before | bit) = 0), 0)::bigint as kept,
+        coalesce(sum(n) filter (mask & before = 0 and mask & bit > 0), 0)::bigint as removed,
+        coalesce(sum(n) filter (mask & before > 0 and mask & bit > 0), 0)::bigint as redundant,
+        coalesce(sum(n) filter (mask = bit), 0)::bigint as unique_fails,
+        coalesce(sum(good) filter (mask & before = 0 and mask & bit > 0), 0)::bigint as good_lost,
+        coalesce(sum(toxic) filter (mask & before = 0 and mask & bit > 0), 0)::bigint as toxic_lost
+      from c, g group by all)
+select * exclude (bit), sum(removed) over (partition by part, bit)::bigint as shapley from x
+"""
+
+ORACLES: dict[str, str] = {"op1_warc_revisits": OP1, "op2_jaccard_join": OP2, "op4_substring_dedup": OP4, "op8_exact_dedup": OP8, "op7_secret_scan": _op7(), "op12_filter_audit": OP12}

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import ann, exact_dedup, jaccard_join, mixing, packing, quality, secrets, shards, substring_dedup, warc
+from tidewater.llm import ann, exact_dedup, filter_audit, jaccard_join, mixing, packing, quality, secrets, shards, substring_dedup, warc
 from tidewater.llm.common import saved, table
 
 
@@ -76,5 +76,9 @@ def op10_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_warc_revisits, op2_jaccard_join, op3_best_fit_packing, op4_substring_dedup, op5_quality, op6_histogram_shards, op7_secret_scan, op8_exact_dedup, op9_tree_neighbours, op10_entropy_mix)}
+    f.__name__: f for f in (op1_warc_revisits, op2_jaccard_join, op3_best_fit_packing, op4_substring_dedup, op5_quality, op6_histogram_shards, op7_secret_scan, op8_exact_dedup, op9_tree_neighbours, op10_entropy_mix, op12_filter_audit)}
