@@ -18,7 +18,7 @@ def test_query_matches_oracle(spark, sf, name):
 
 def test_entry_registers_one_query_per_operator():
     import __spark_entry__ as E
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(q.startswith(f"op{n}_") for q in E.queries()) == 1
     assert "pipeline" in E.queries()
 

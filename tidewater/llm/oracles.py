@@ -116,4 +116,25 @@ x as (select part, filter_order, step, bit,
 select * exclude (bit), sum(removed) over (partition by part, bit)::bigint as shapley from x
 """
 
-ORACLES: dict[str, str] = {"op1_warc_revisits": OP1, "op2_jaccard_join": OP2, "op4_substring_dedup": OP4, "op8_exact_dedup": OP8, "op7_secret_scan": _op7(), "op12_filter_audit": OP12}
+def _op13(centroids: int = 16, rounds: int = 3) -> str:
+    """Rounds of assignment and floor means, one CTE each."""
+    out = [f"""v as (select vec_id, row_number() over () as r, list_transform(embedding, lambda x: floor(64 * x::double)::bigint) as q
+  from embeddings where len(embedding) = 64 and len(list_filter(embedding, lambda x: x is not null and isfinite(x::double))) = 64)""",
+           f"""m0 as (select (row_number() over (order by sha256('1:' || vec_id)) - 1)::int as cluster, q as c
+  from v qualify cluster < {centroids})"""]
+    for n in range(rounds + 1):
+        out.append(f"""a{n} as (select r, arg_min(cluster, (d, cluster)) as cluster, min(d)::bigint as d from (
+  select r, cluster, list_sum(list_transform(range(1, 65), lambda i: (q[i] - c[i]) * (q[i] - c[i]))) as d from v, m{n}) group by r)""")
+        if n < rounds:
+            out.append(f"""s{n} as (select cluster, i, sum(x)::bigint as s, count(*) as n from (
+  select cluster, unnest(q) as x, unnest(range(1, 65)) as i from v join a{n} using (r)) group by 1, 2)""")
+            out.append(f"""m{n + 1} as (select cluster, coalesce(f.c, m{n}.c) as c from m{n} left join (
+  select cluster, list((s - ((s % n) + n) % n) // n order by i) as c from s{n} group by 1) f using (cluster))""")
+    return "with " + ",\n".join(out) + f"""
+select vec_id, cluster, d as distance, (sum(d) over (partition by cluster))::bigint as cluster_inertia,
+       (sum(d) over ())::bigint as inertia, sha256(array_to_string(c, ',')) as centroid_sha256
+from v join a{rounds} using (r) join m{rounds} using (cluster)"""
+
+
+ORACLES: dict[str, str] = {"op1_warc_revisits": OP1, "op2_jaccard_join": OP2, "op4_substring_dedup": OP4, "op8_exact_dedup": OP8, "op7_secret_scan": _op7(), "op12_filter_audit": OP12,
+                           "op13_centroid_clusters": _op13()}

@@ -43,7 +43,6 @@ REMEMBERED = 1_000_000  # units whose ids a Python worker keeps
 
 # White space beyond the bytes that part units, in UTF-8.
 _WIDE_SPACE = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80|[\x1c-\x1f]")
-_UNIT_BASE = 0xA0761D6478BD642F
 _VALUE = np.random.default_rng(20240301).integers(1, 2**63, 256, dtype=np.uint64)
 
 
@@ -144,7 +143,7 @@ def token_ids(data: np.ndarray, offsets: np.ndarray, units: _Units) -> tuple[np.
     cut = _segments(data, offsets)
     begin, end = cut[:-1], cut[1:]
     if begin.size:
-        keys, one, back = np.unique(rolling(_VALUE[data], begin, end, _UNIT_BASE), return_index=True, return_inverse=True)
+        keys, one, back = np.unique(rolling(_VALUE[data], begin, end), return_index=True, return_inverse=True)
         at, size = units.look_up(keys, data, begin[one], end[one])
         at, size = at[back], size[back]
     else:

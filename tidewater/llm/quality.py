@@ -52,7 +52,6 @@ _CLASS[ord("0"):ord("9") + 1] = 302
 _CLASS[0x80:] = 303
 _LOWER = np.arange(256, dtype=np.uint64)
 _LOWER[ord("A"):ord("Z") + 1] += 32
-_BASE = 0xC2B2AE3D27D4EB4F
 
 
 def features(data: np.ndarray, offsets: np.ndarray, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
@@ -61,14 +60,14 @@ def features(data: np.ndarray, offsets: np.ndarray, bits: int = BITS) -> tuple[n
     if not start.size:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     row = np.repeat(np.arange(first.size - 1), np.diff(first))
-    word = rolling(mix(_LOWER[data], 1), start, end, _BASE)
+    word = rolling(mix(_LOWER[data], 1), start, end)
     kind = _CLASS[data]
     begins = np.zeros(data.size, dtype=bool)
     begins[start] = True
     keep = begins.copy()
     keep[1:] |= kind[1:] != kind[:-1]
     at = np.concatenate(([0], np.cumsum(keep)))
-    shape = rolling(mix(kind[keep], 2), at[start], at[end], _BASE)
+    shape = rolling(mix(kind[keep], 2), at[start], at[end])
     last1, last2 = row[1:] == row[:-1], row[2:] == row[:-2]  # in one row with the word before, and two before
     again = np.zeros(word.size, dtype=bool)
     again[1:] = last1 & (word[1:] == word[:-1])

@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import ann, exact_dedup, filter_audit, jaccard_join, mixing, packing, quality, secrets, shards, substring_dedup, warc
-from tidewater.llm.common import saved, table
+from tidewater.llm import ann, centroids, exact_dedup, filter_audit, jaccard_join, mixing, packing, quality, sanitise, secrets, shards, substring_dedup, warc
+from tidewater.llm.common import Scratch, saved, table
 
 
 def op1_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,9 +76,25 @@ def op10_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op11_pii_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with Scratch(spark, "pii") as keep:
+        found = sanitise.scan(table(spark, sf_dir, "documents"), keep)
+        base = F.filter("spans", lambda s: s["kind"] < sanitise.TERM)
+
+        def count(kind: int):
+            return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+        return saved(found.select(
+            F.col("id").alias("doc_id"), *[count(k).alias(f"n_{name}") for k, name in enumerate(sanitise.KINDS[:sanitise.TERM])],
+            F.sha2(sanitise.listed(base), 256).alias("base_sha256"), sanitise.listed(F.col("spans")).alias("spans")), "pii-spans")
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))[0]
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_warc_revisits, op2_jaccard_join, op3_best_fit_packing, op4_substring_dedup, op5_quality, op6_histogram_shards, op7_secret_scan, op8_exact_dedup, op9_tree_neighbours, op10_entropy_mix, op12_filter_audit)}
+    f.__name__: f for f in (op1_warc_revisits, op2_jaccard_join, op3_best_fit_packing, op4_substring_dedup, op5_quality, op6_histogram_shards, op7_secret_scan, op8_exact_dedup, op9_tree_neighbours, op10_entropy_mix, op11_pii_sanitise, op12_filter_audit, op13_centroid_clusters)}

@@ -22,8 +22,8 @@ _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _VALUE = np.random.default_rng(20240229).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _VALUE_LOWER = _VALUE.copy()
 _VALUE_LOWER[ord("A"):ord("Z") + 1] = _VALUE[ord("a"):ord("z") + 1]
-_BYTE_BASE, _WORD_BASE = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
-_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_BASE = 0x9E3779B97F4A7C15  # of every rolling hash: what is hashed differs by its values
+_POWERS: list[np.ndarray] = []  # of the running task
 
 
 def releasing(task):
@@ -34,6 +34,7 @@ def releasing(task):
         try:
             yield from task(batches)
         finally:
+            _POWERS.clear()
             pa.default_memory_pool().release_unused()
             with contextlib.suppress(OSError, AttributeError):  # a C library without it
                 ctypes.CDLL(None).malloc_trim(0)
@@ -49,26 +50,25 @@ def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
         return z ^ (z >> np.uint64(31))
 
 
-def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and base**-i (mod 2**64) for i up to n."""
-    held = _POWERS.get(base)
-    if held is None or held[0].size <= n:
-        size = max(n + 1, 1 << 16)
-        both = []
-        for b in (base, pow(base, -1, 2**64)):
-            run = np.full(size, b, dtype=np.uint64)
-            run[0] = 1
-            both.append(np.cumprod(run, dtype=np.uint64))
-        held = (both[0], both[1])
-        if size <= PIECE_BYTES + 1:  # a rare long text's tables are not kept
-            _POWERS[base] = held
-    return held
+def _powers(n: int) -> list[np.ndarray]:
+    """_BASE**i and _BASE**-i (mod 2**64) for i up to n."""
+    if _POWERS and _POWERS[0].size > n:
+        return _POWERS
+    size = max(n + 1, 1 << 16)
+    both = []
+    for b in (_BASE, pow(_BASE, -1, 2**64)):
+        run = np.full(size, b, dtype=np.uint64)
+        run[0] = 1
+        both.append(np.cumprod(run, dtype=np.uint64))
+    if size <= PIECE_BYTES + 1:  # a rare long text's tables are not kept
+        _POWERS[:] = both
+    return both
 
 
-def rolling(values: np.ndarray, begin: np.ndarray, end: np.ndarray, base: int) -> np.ndarray:
+def rolling(values: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Rabin-Karp hash of values[begin:end] for every pair: a difference of
     prefix sums, shifted so that the place does not matter."""
-    up, down = _powers(base, values.size)
+    up, down = _powers(values.size)
     prefix = np.zeros(values.size + 1, dtype=np.uint64)
     np.cumsum(values * down[:values.size], out=prefix[1:])
     return mix((prefix[end] - prefix[begin]) * up[begin] + (end - begin).astype(np.uint64))
@@ -132,7 +132,7 @@ def pieces(column, lower: bool = False) -> Iterator[Piece]:
         own = offsets[rows.start:rows.stop + 1]
         body = data[own[0]:own[-1]]
         start, end, first = word_bounds(body, own - own[0])
-        yield Piece(rows, first, rolling(table[body], start, end, _BYTE_BASE) if start.size else np.zeros(0, np.uint64))
+        yield Piece(rows, first, rolling(table[body], start, end) if start.size else np.zeros(0, np.uint64))
 
 
 def windows(piece: Piece, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -142,9 +142,9 @@ def windows(piece: Piece, width: int) -> tuple[np.ndarray, np.ndarray]:
     begin = np.repeat(piece.first[:-1] - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
     if begin.size == 0:
         return np.zeros(0, np.uint64), n
-    return rolling(piece.hashes, begin, begin + width, _WORD_BASE), n
+    return rolling(piece.hashes, begin, begin + width), n
 
 
 def whole_rows(piece: Piece, rows: np.ndarray) -> np.ndarray:
     """Hash of all words of the given rows."""
-    return rolling(piece.hashes, piece.first[rows], piece.first[rows + 1], _WORD_BASE)
+    return rolling(piece.hashes, piece.first[rows], piece.first[rows + 1])
