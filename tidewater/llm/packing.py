@@ -4,7 +4,8 @@
    space before a word, and the word) are tokenized by the given tokenizer
    and remembered per Python worker, because a byte-level BPE that splits at
    white space gives a text the ids of its units in turn. Texts in which that
-   might not hold (white space beyond ASCII) are tokenized whole.
+   might not hold (white space beyond ASCII, the text of an added token such
+   as ``<|endoftext|>``) are tokenized whole, by the tokenizer as it is loaded.
 2. A document longer than a sequence is cut into full pieces; the first takes
    what is left over.
 3. Pieces of one length are interchangeable, so the packing is planned on the
@@ -38,11 +39,12 @@ CAPACITY = 1024
 END_ID = 2
 VOCABULARY = "byte_bpe_50k.json"
 SALTS = 16
-TOGETHER = 2000        # units tokenized as one text
-REMEMBERED = 1_000_000  # units whose ids a Python worker keeps
+TOGETHER = 2000            # units tokenized as one text
+REMEMBERED_BYTES = 1 << 24  # of the units' hashes, places and ids that a task keeps
+PIECE = 1 << 18            # bytes of text worked on at a time
 
 # White space beyond the bytes that part units, in UTF-8.
-_WIDE_SPACE = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80|[\x1c-\x1f]")
+_WIDE_SPACE = rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80|[\x1c-\x1f]"
 _VALUE = np.random.default_rng(20240301).integers(1, 2**63, 256, dtype=np.uint64)
 
 
@@ -53,13 +55,15 @@ def tokenizer_path(name: str = VOCABULARY) -> str:
 
 class _Units:
     """Token ids of units: unit hashes in order, and their ids in one pool
-    (which begins with the end token)."""
+    (which begins with the end token). A Python worker keeps the tokenizer, a
+    task the units."""
     held: dict[tuple[str, int], _Units] = {}
 
     def __init__(self, path: str, end_id: int):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.whole = re.compile(b"|".join([_WIDE_SPACE, *map(re.escape, added)]))
         self.end_id = end_id
         self.clear()
 
@@ -104,7 +108,7 @@ class _Units:
         new = np.ones(keys.size, dtype=bool)
         inside = at < self.keys.size
         new[inside] = self.keys[at[inside]] != keys[inside]
-        if self.keys.size and self.keys.size + new.sum() > REMEMBERED:
+        if self.keys.size and self.keys.nbytes + self.begin.nbytes + self.size.nbytes + self.pool.nbytes > REMEMBERED_BYTES:
             self.clear()
             new[:] = True
         if new.any():
@@ -154,7 +158,7 @@ def token_ids(data: np.ndarray, offsets: np.ndarray, units: _Units) -> tuple[np.
     ids = units.pool[np.repeat(at - total[:-1], size) + np.arange(total[-1])]
     stop = total[last + np.arange(1, rows + 1)]
     counts = np.diff(stop, prepend=0)
-    if wide := sorted({int(np.searchsorted(offsets, m.start(), side="right")) - 1 for m in _WIDE_SPACE.finditer(raw)}):
+    if wide := sorted({int(np.searchsorted(offsets, m.start(), side="right")) - 1 for m in units.whole.finditer(raw)}):
         parts = np.split(ids, stop[:-1])
         whole = units.encode([raw[offsets[r]:offsets[r + 1]].decode() for r in wide])
         for r, own in zip(wide, whole):
@@ -171,10 +175,16 @@ _PIECE_SCHEMA = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("star
 def _pieces(path: str, end_id: int, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         units = _Units.of(path, end_id)
+        try:
+            yield from cut(batches, units)
+        finally:
+            units.clear()
+
+    def cut(batches: Iterator[pa.RecordBatch], units: _Units) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text_bytes(batch.column("text"))
             names = batch.column("doc_id").cast(pa.int64())
-            for rows in row_slices(offsets):
+            for rows in row_slices(offsets, PIECE):
                 own = offsets[rows.start:rows.stop + 1]
                 ids, counts = token_ids(data[own[0]:own[-1]], own - own[0], units)
                 n = -(-counts // capacity)
