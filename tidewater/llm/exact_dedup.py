@@ -73,7 +73,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 counters: int = COUNTERS) -> DataFrame:
     """One row per input row: doc_id, keep_id, group_size, kept, digest."""
     keys = saved(digests(docs, id_col, text_col), "digests")
-    heavy = saved(frequent(keys, counters).coalesce(1), "frequent")
+    heavy = saved(frequent(keys, counters).repartition(1), "frequent")
     light = keys.join(F.broadcast(heavy.select("digest")), "digest", "left_anti")
     decided = (keys.join(F.broadcast(heavy), "digest")
                .unionByName(light.join(grouped(light), "digest")))
@@ -84,13 +84,22 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                           counters: int = COUNTERS) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
-    stay = (exact_dedup(docs, id_col, text_col, counters).filter("kept")
-            .select(F.col("doc_id").alias("stay_id"), F.col("digest").alias("stay_digest")))
+    """The rows of ``docs`` that stay, with all their columns. Rows of a
+    frequent digest go map-side, by its broadcast winner; the others meet
+    their digest's winner in one shuffle. Where a winner's id and text have
+    several rows, one of them stays: the first by its text as written."""
+    keys = saved(digests(docs, id_col, text_col), "digests")
+    alike = keys.groupBy("digest", "doc_id").agg(F.count(F.lit(1)).alias("rows"))
+    winners = saved(alike.groupBy("digest").agg(F.max(F.struct("doc_id", "rows")).alias("winner")), "winners")
+    hot = saved(frequent(keys, counters).select("digest").repartition(1), "frequent")  # at most ``counters`` rows
+    hot = F.broadcast(hot)
     text = F.col(f"`{text_col}`")
-    keyed = as_rows(docs, id=F.col(f"`{id_col}`"), t=text,
-                    digest=F.unhex(F.sha2(ascii_lower(F.coalesce(text, F.lit(""))), 256)))
-    twin = Window.partitionBy("id", "digest").orderBy("t")
-    # rows alike in id and text: the join keeps them all, the row number one
-    return (keyed.join(stay, F.col("id").eqNullSafe(F.col("stay_id")) & (F.col("digest") == F.col("stay_digest")), "left_semi")
-            .withColumn("twin", F.row_number().over(twin)).filter("twin = 1").select("_doc.*"))
+    keyed = as_rows(docs, id=F.col(f"`{id_col}`"), t=text, digest=F.unhex(F.sha2(ascii_lower(F.coalesce(text, F.lit(""))), 256)))
+    decided = (keyed.join(F.broadcast(winners.join(hot, "digest", "left_semi")), "digest")
+               .unionByName(keyed.join(hot, "digest", "left_anti").join(winners.join(hot, "digest", "left_anti"), "digest"))
+               .filter(F.col("id").eqNullSafe(F.col("winner.doc_id"))))
+    one = decided.filter("winner.rows = 1")
+    if not winners.filter("winner.rows > 1").isEmpty():
+        twin = F.row_number().over(Window.partitionBy("digest").orderBy("t"))
+        one = one.unionByName(decided.filter("winner.rows > 1").withColumn("twin", twin).filter("twin = 1").drop("twin"))
+    return one.select("_doc.*")

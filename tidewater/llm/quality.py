@@ -42,7 +42,7 @@ THRESHOLD = 0.3
 SMOOTHING = 1.0
 COST = 4.0
 EPOCHS = 12
-PIECE = 1 << 20
+PIECE = 1 << 18       # bytes of text worked on at a time
 
 # Class of each byte: its own value for punctuation, one for each kind of letter.
 _CLASS = np.arange(256, dtype=np.uint64)
