@@ -10,16 +10,21 @@ Rows that leave: texts scored under the threshold; of equal texts all but the
 row of the largest id; of texts linked by shingles all but the smallest id;
 documents that the mix takes no copy of. Documents that the mix takes twice
 are two rows. The last stage returns a row per piece of a document, with its
-sequence and place.
+token ids (unsigned, little-endian, 32 bits each), its sequence and its place.
+
+Defined results, as in the operators: a null text is an empty one, scored,
+deduplicated and (of no words) not taken by the mix; null ids rank last and
+are no link; a null source is a source; rows equal in id and text are copies
+of each other; an empty table gives no rows. Stages keep all columns of their
+input, also ones named like their own.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm import exact_dedup, jaccard_join, mixing, quality
+from tidewater.llm import exact_dedup, jaccard_join, mixing, packing, quality
 from tidewater.llm.common import table
-from tidewater.llm.queries import packed
 from tidewater.session import fresh_dir
 
 
@@ -40,7 +45,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packed(docs)
+    return packing.pack_documents(docs)
 
 
 STAGES = [("quality classifier", good_documents), ("exact dedup", without_copies),

@@ -25,11 +25,7 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packed(table(spark, sf_dir, "documents"))
-
-
-def packed(docs: DataFrame) -> DataFrame:
-    pieces = packing.tokenized(docs).select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    pieces = packing.tokenized(table(spark, sf_dir, "documents")).select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
     return packing.pack(saved(pieces, "pieces"))
 
 
