@@ -31,11 +31,18 @@ def _packed(df: DataFrame, line: str, keep) -> DataFrame:
     return df.select(*keep, lp.packed_fields(line).alias("_f"))
 
 
+def _matching(df: DataFrame, line: str, keep) -> DataFrame:
+    """As ``_packed`` for the lines that match. They are exploded from an
+    array of none or one: a filter on ``_f`` would be moved below the
+    projection by Spark, which then runs the regex for both."""
+    found = F.filter(F.array(lp.packed_fields(line)), lp.is_packed)
+    return df.select(*keep, F.explode(found).alias("_f"))
+
+
 def parse_log(df: DataFrame, line: str = "line", keep=("event_id",)) -> DataFrame:
     """Nine string fields per matching line; other lines are dropped."""
     keep = [c for c in keep if c in df.columns]
-    return (_packed(df, line, keep).where(lp.is_packed("_f"))
-            .select(*keep, *[lp.field("_f", f).alias(f) for f in lp.FIELDS]))
+    return _matching(df, line, keep).select(*keep, *[lp.field("_f", f).alias(f) for f in lp.FIELDS])
 
 
 def _requests_or_unit(df: DataFrame, line: str, keep, name: str) -> DataFrame:
@@ -84,13 +91,12 @@ def status_classes(df: DataFrame, line: str = "line", keep=("event_id", "ts")) -
 def log_times(df: DataFrame, line: str = "line", keep=("event_id",)) -> DataFrame:
     """Request time of each matching line (null when the date is unreadable)."""
     keep = [c for c in keep if c in df.columns]
-    return (_packed(df, line, keep).where(lp.is_packed("_f"))
-            .select(*keep, lp.log_time(lp.field("_f", "date_time")).alias("log_time")))
+    return _matching(df, line, keep).select(*keep, lp.log_time(lp.field("_f", "date_time")).alias("log_time"))
 
 
 def status_times(df: DataFrame, line: str = "line") -> DataFrame:
     """(status, log_time) of each matching line."""
-    return (_packed(df, line, []).where(lp.is_packed("_f"))
+    return (_matching(df, line, [])
             .select(lp.field("_f", "status").alias("status"), lp.log_time(lp.field("_f", "date_time")).alias("log_time")))
 
 
