@@ -1,6 +1,7 @@
 """Sliding windows: bucket-then-fan-out counts equal Spark's own
 ``window()``; change points equal a brute-force scan; top-k breaks ties."""
 import datetime as dt
+import random
 
 from pyspark.sql import functions as F
 
@@ -78,3 +79,41 @@ def test_running_sum_and_max_without_key_across_blocks(spark):
         s = a if s is None else s + a
         m = b if m is None else max(m, b)
         assert got[o] == (s, m), o
+
+
+def _brute_top(events, length, k):
+    """{time of change: first k (key, n)} of one-second slides; events are (second, key)."""
+    ends, out = set(), {}
+    for t in sorted({t + 1 for t, _ in events} | {t + 1 + length for t, _ in events}):
+        now, before = ({key: sum(x == key and t - length <= s < t for s, x in events) for key in {x for _, x in events}}
+                       for t in (t, t - 1))
+        if now != before:
+            ends.add(t)
+            out[t] = sorted(((key, n) for key, n in now.items() if n), key=lambda r: (-r[1], r[0] is not None, r[0] or ""))[:k]
+    return out
+
+
+def test_top_k_at_every_change_equals_brute_force(spark):
+    rng = random.Random(8)
+    events = [(rng.randrange(900), rng.choice([None, *"abcdefghij"])) for _ in range(120)]
+    events += [(400, f"k{i:03d}") for i in range(60)]                     # a burst: no key holds through its blocks
+    events += [(500 + i, "busy") for i in range(0, 200, 2)] + [(0, "back"), (300, "back"), (700, "back")]
+    df = spark.createDataFrame([(T0 + dt.timedelta(seconds=s), x) for s, x in events], "ts timestamp_ntz, key string")
+    got = {}
+    for r in Wn.top_k_change_points(Wn.bucket_counts(df, "ts", "key", 1), "key", 300, 1, 4).collect():
+        got.setdefault(int((r.window_end - T0).total_seconds()), []).append((r["rank"], r.key, r.n))
+    want = {t: [(i + 1, *x) for i, x in enumerate(top)] for t, top in _brute_top(events, 300, 4).items() if top}
+    assert {t: sorted(x) for t, x in got.items()} == want
+
+
+def test_few_rows_reach_the_top_k_of_many_sparse_keys(spark):
+    n, k = 30_000, 10
+    rows = spark.range(n).select(F.concat(F.lit("k"), F.lpad((F.col("id") * 7919 % n).cast("string"), 6, "0")).alias("key"),
+                                 (F.col("id") * Wn.US).alias("_b"), F.lit(1).cast("long").alias("n"))
+    intervals, times = Wn.count_intervals(rows, "key", 300, 1)
+    counts = Wn.leading_counts(intervals, times, "key", 300, 1, k)
+    assert counts.count() <= 20 * k * times.count()
+    # one second holds all keys: no bound helps before that second
+    burst = rows.withColumn("_b", F.lit(0).cast("long"))
+    intervals, times = Wn.count_intervals(burst, "key", 300, 1)
+    assert times.count() == 2 and Wn.leading_counts(intervals, times, "key", 300, 1, k).count() <= 20 * n

@@ -166,17 +166,18 @@ def sliding_change_points(df: DataFrame, ts: str, keys, length_s: int, slide_s:
                       F.col(count_col).cast("bigint").alias(count_col))
 
 
-def top_k_change_points(per_bucket: DataFrame, key: str, length_s: int, slide_s: int, k: int = 10,
-                        count_col: str = "n") -> DataFrame:
-    """The ``k`` largest counts of the window at every time one changes.
+#: Widths of the time blocks that ``top_k_change_points`` prunes keys by, as shares of the window's length.
+TOP_K_BLOCKS = (5, 50)
+#: Parts of a block's keys (by hash) that meet its bound in different tasks.
+TOP_K_SALTS = 16
 
-    A key's count holds from one of its changes to its next, which comes
-    within the window's length while the count is above zero (changes that
-    cancel out included); so an interval
-    meets at most two blocks of that length, and the times of change are
-    looked up by block.  Nothing is copied for seconds without a change.
-    Output: ``window_end, key, n, rank``.
-    """
+
+def count_intervals(per_bucket: DataFrame, key: str, length_s: int, slide_s: int, count_col: str = "n") -> tuple[DataFrame, DataFrame]:
+    """(key, n, _from, _to): the stretches of time in which a key's windowed
+    count holds, above zero; and (_t): the times at which any count changes.
+
+    A count holds from one of its changes to its next, which comes within the
+    window's length (changes that cancel out included)."""
     run = running_deltas(per_bucket, [key], [count_col], length_s, slide_s, keep_zero=True)
     kn, kv = F.col(key).isNull(), F.coalesce(F.col(key).cast("string"), F.lit(""))
     # the next change of a key: within its block, or the first of its next block
@@ -185,12 +186,70 @@ def top_k_change_points(per_bucket: DataFrame, key: str, length_s: int, slide_s:
     inside = F.lead("_t").over(Window.partitionBy("_kn", "_kv", "_blk").orderBy("_t"))
     firsts = r.groupBy("_kn", "_kv", "_blk").agg(F.min("_t").alias("_after")).withColumn("_blk", F.col("_blk") - 1)
     held = (r.withColumn("_in", inside).join(firsts, ["_kn", "_kv", "_blk"], "left")
-            .where(F.col(count_col) > 0).withColumn("_next", F.coalesce("_in", "_after")))
-    span = held.select(key, count_col, F.col("_t").alias("_from"), "_next", F.explode(F.sequence(
-        F.col("_blk"), F.floor((F.col("_next") - 1) / F.lit(length_s * US)))).alias("_blk"))
-    times = r.where("_moves").select("_t", "_blk").distinct()
-    at = span.join(times, "_blk").where((F.col("_t") >= F.col("_from")) & (F.col("_t") < F.col("_next")))
-    counts = at.select(from_micros("_t").alias("window_end"), key, F.col(count_col).cast("bigint").alias(count_col))
+            .where(F.col(count_col) > 0).withColumn("_to", F.coalesce("_in", "_after")))
+    return (held.select(key, F.col(count_col).alias("n"), F.col("_t").alias("_from"), "_to"),
+            r.where("_moves").select("_t").distinct())
+
+
+def _in_blocks(pieces: DataFrame, key: str, width: int) -> DataFrame:
+    """Per block of ``width`` and key: its pieces inside the block (an array,
+    at most two per slide), its largest and smallest count, and whether it
+    holds through the whole block."""
+    first, last = (F.floor(c / F.lit(width)) for c in (F.col("p._from"), F.col("p._to") - 1))
+    cut = (pieces.select(key, F.explode("_pieces").alias("p")).withColumn("_blk", F.explode(F.sequence(first, last)))
+           .select(key, "_blk", F.struct(F.greatest("p._from", F.col("_blk") * width).alias("_from"),
+                                         F.least("p._to", (F.col("_blk") + 1) * width).alias("_to"), F.col("p.n").alias("n")).alias("p")))
+    return cut.groupBy("_blk", key).agg(F.collect_list("p").alias("_pieces"), F.max("p.n").alias("_high"), F.min("p.n").alias("_low"),
+                                        (F.sum(F.col("p._to") - F.col("p._from")) == width).alias("_whole"))
+
+
+def _salted(key: str) -> F.Column:
+    return F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(TOP_K_SALTS)).cast("int")
+
+
+def _may_lead(blocks: DataFrame, key: str, k: int) -> DataFrame:
+    """The keys of each block that can be among its ``k`` first at any time.
+
+    Keys that hold through the block are above their smallest count all the
+    time; the k-th of them, by that count and the key, is a bound: a key whose
+    largest count is worse comes behind k others throughout. Blocks without k
+    such keys have no bound. Every salt of a block has a copy of its bound (a
+    row), so a block's keys meet it in ``TOP_K_SALTS`` tasks."""
+    order = Window.partitionBy("_blk").orderBy(F.desc("_low"), F.asc_nulls_first(key))
+    bound = (blocks.where("_whole").select("_blk", key, "_low").withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= k)
+             .where(F.col("_r") == k).select("_blk", F.col("_low").alias("_bound"), F.col(key).alias("_bound_key"),
+                                             F.explode(F.sequence(F.lit(0), F.lit(TOP_K_SALTS - 1))).alias("_salt")))
+    tie = F.col(key).isNull() | (F.col("_bound_key").isNotNull() & (F.col(key) <= F.col("_bound_key")))
+    return (blocks.withColumn("_salt", _salted(key)).join(bound, ["_blk", "_salt"], "left")
+            .where(F.col("_bound").isNull() | (F.col("_high") > F.col("_bound")) | ((F.col("_high") == F.col("_bound")) & tie))
+            .select(key, "_blk", "_pieces"))
+
+
+def leading_counts(intervals: DataFrame, times: DataFrame, key: str, length_s: int, slide_s: int, k: int) -> DataFrame:
+    """(_t, key, n) of the keys that can be among the ``k`` first at a time of
+    change: pruned by blocks of time, coarse to fine, before any count meets
+    the times."""
+    pieces = intervals.select(key, F.array(F.struct("_from", "_to", "n")).alias("_pieces"))
+    width = length_s * US
+    for share in TOP_K_BLOCKS:
+        width = max(length_s // share, slide_s) * US
+        pieces = _may_lead(_in_blocks(pieces, key, width), key, k)
+    every = F.explode(F.sequence(F.lit(0), F.lit(TOP_K_SALTS - 1)))
+    at = times.groupBy(F.floor(F.col("_t") / F.lit(width)).alias("_blk")).agg(F.collect_list("_t").alias("_times")).withColumn("_salt", every)
+    met = pieces.withColumn("_salt", _salted(key)).join(at, ["_blk", "_salt"])
+    # the blocks are a few slides wide, so both arrays are short
+    return (met.select(key, "_pieces", F.explode("_times").alias("_t"))
+            .select("_t", key, F.explode(F.filter("_pieces", lambda p: (p["_from"] <= F.col("_t")) & (p["_to"] > F.col("_t")))).alias("p"))
+            .select("_t", key, "p.n"))
+
+
+def top_k_change_points(per_bucket: DataFrame, key: str, length_s: int, slide_s: int, k: int = 10,
+                        count_col: str = "n") -> DataFrame:
+    """The ``k`` largest counts of the window at every time one changes.
+    Output: ``window_end, key, n, rank``."""
+    intervals, times = count_intervals(per_bucket, key, length_s, slide_s, count_col)
+    counts = leading_counts(intervals, times, key, length_s, slide_s, k)
+    counts = counts.select(from_micros("_t").alias("window_end"), key, F.col("n").cast("bigint").alias(count_col))
     return top_k_per_window(counts, key, k, count_col, ("window_end",))
 
 

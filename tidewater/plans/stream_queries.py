@@ -27,7 +27,9 @@ from tidewater.sources.streams import as_kafka_records, kafka_lines, read_lines
 from tidewater.sources.tables import blobs, points, posts, table, weblog, weblog_dense
 from tidewater.streaming import apps as A
 from tidewater.streaming.learners import KMeansStream, RegressionStream, labeled_of, vectors_of
+from tidewater.streaming.live_windows import live_alarm
 from tidewater.streaming.runner import checkpoint_for, file_stream, run_available, run_every
+from tidewater.streaming.session_state import keyed_sessions, open_sessions
 from tidewater.streaming.sessions import SessionStream
 from tidewater.streaming.sinks import (
     RECORD_SEP,
@@ -143,6 +145,36 @@ def q_stream_error_alarm(spark, sf):
     return W.alarm_change_points(counts.buckets(spark), 300, 1)
 
 
+# -- STM2 / AGG2 / APP2: windows and alarm verdicts as they leave the stream, trigger by trigger -----------------
+def _tagged(stream, out, name, mode="update"):
+    """Run a stream of changes to its end; its rows by the batch that gave them out."""
+    body = per_batch(out, lambda df, bid: df.withColumn("batch_id", F.lit(bid).cast("bigint")))
+    run_available(stream.writeStream.outputMode(mode).foreachBatch(body).option("checkpointLocation", checkpoint_for(stream.sparkSession, name)))
+    return stream.sparkSession.read.parquet(out)
+
+
+_LIVE_CLASSES = D.with_(D.WEBLOG_DENSE, f"""c as (select event_id, epoch_us(ts) - epoch_us(ts) % 1000000 as b,
+  {D.status_class(f"case when {D.matched()} then {D.grp(6)} else '[error]' end")} as c from weblog)""",
+                        D.parts("c", "event_id", PARTS), """
+n as (select b, batch_id, count(*) filter (c = 'Success') as ok, count(*) filter (c = 'Failure') as err from parts group by all),
+s as (select batch_id, max(max(b) + 1000000) over (order by batch_id) as now from n group by batch_id),
+t as (select distinct unnest([b + 1000000, b + 301000000]) as t from n)""")
+
+
+@query("stream_error_alarm_live", _LIVE_CLASSES + """
+, w as (select t, cast(sum(ok) as bigint) as n_success, cast(sum(err) as bigint) as n_failure
+        from t join n on b >= t - 300000000 and b < t group by t
+        union all select t, 0, 0 from t where not exists (select 1 from n where b >= t.t - 300000000 and b < t.t))
+select (select min(batch_id) from s where now >= t) as batch_id, make_timestamp(t) as window_end, n_success, n_failure,
+       case when n_success + n_failure <= 100 then 'insufficient' when n_failure > 0.5 * n_success then 'alarm' else 'ok' end as verdict
+from w where t <= (select max(now) from s)""")
+def q_stream_error_alarm_live(spark, sf):
+    lines = A.event_time(_staged(spark, weblog_dense(spark, sf), "event_id", "weblog_dense"))
+    changes = live_alarm(W.status_classes(lines, keep=("ts",)))
+    out = _tagged(changes, fresh_dir(spark, "out/stream_error_alarm_live"), "stream_error_alarm_live")
+    return out.select("batch_id", "window_end", "n_success", "n_failure", "verdict")
+
+
 # -- APP4 / STM3 / STM4 / SNK3: hourly status counts in complete mode ----------------------
 @query("stream_status_hourly", ORACLES["status_hourly"])
 def q_stream_status_hourly(spark, sf):
@@ -197,6 +229,48 @@ def q_stream_sessions_udf(spark, sf):
                     "session_length", F.array_join("clickstream", ",").alias("clickstream"))
 
 
+# -- STM5 / STM6 / STM7 / UDF4: sessions in Spark's keyed state ---------------------------------------
+def _requests_stream(spark, sf, kind):
+    req = W.requests_by_ip(weblog(spark, sf), keep=("event_id", "ts")).select("ip", "event_id", "ts", "url")
+    return A.event_time(_staged(spark, req, "event_id", kind))
+
+
+def _wall(df, *names):
+    return df.withColumns({n: F.col(n).cast("timestamp_ntz") for n in names}).withColumn("clickstream", F.array_join("clickstream", ","))
+
+
+@query("stream_sessions_processor", ORACLES["session_running"])
+def q_stream_sessions_processor(spark, sf):
+    out = fresh_dir(spark, "out/stream_sessions_processor")
+    changes = keyed_sessions(_requests_stream(spark, sf, "requests_processor"))
+    rows = _tagged(changes, out, "stream_sessions_processor")
+    return _wall(rows, "ts", "session_start").select("ip", "event_id", "ts", "session_start", "session_length", "clickstream")
+
+
+@query("stream_session_expired", D.with_(D.WEBLOG, session_queries._SESS) + f"""
+, m as (select max(epoch_ms(ts)) as mark from weblog),
+o as (select *, lead(session_start) over (partition by ip order by session_start) as next from f)
+select ip, session_start, session_end, session_length, array_to_string(urls, ',') as clickstream
+from o, m where next is not null or mark > (epoch_us(session_end) + {session_queries.T_US}) // 1000""")
+def q_stream_session_expired(spark, sf):
+    """Sessions that are over: the key's next request came after the timeout,
+    or the last watermark (the newest request of all) has passed the last
+    request and the timeout."""
+    out = fresh_dir(spark, "out/stream_session_expired")
+    ended = keyed_sessions(_requests_stream(spark, sf, "requests_expired"), emit="ended", time_mode="EventTime")
+    rows = _tagged(ended, out, "stream_session_expired")
+    return _wall(rows, "session_start", "session_end").select("ip", "session_start", "session_end", "session_length", "clickstream")
+
+
+@query("stream_state_snapshot", ORACLES["session_snapshot"])
+def q_stream_state_snapshot(spark, sf):
+    """The newest session of every ip, read from the state store."""
+    checkpoint = checkpoint_for(spark, "stream_state_snapshot")
+    changes = keyed_sessions(_requests_stream(spark, sf, "requests_snapshot"))
+    run_available(changes.writeStream.outputMode("update").format("noop").option("checkpointLocation", checkpoint))
+    return open_sessions(spark, checkpoint).withColumn("clickstream", F.array_join("clickstream", ","))
+
+
 # -- APP5 / SNK7 / STM6: requests stored by ip (upsert) ------------------------------------------
 @query("stream_requests_by_ip", ORACLES["requests_by_ip_latest"])
 def q_stream_requests_by_ip(spark, sf):
