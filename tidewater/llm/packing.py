@@ -40,8 +40,8 @@ END_ID = 2
 VOCABULARY = "byte_bpe_50k.json"
 SALTS = 16
 TOGETHER = 2000            # units tokenized as one text
-REMEMBERED_BYTES = 1 << 24  # of the units' hashes, places and ids that a task keeps
-PIECE = 1 << 18            # bytes of text worked on at a time
+REMEMBERED_BYTES = 1 << 25  # of the units' hashes, places and ids that a task keeps
+PIECE = 1 << 19            # bytes of text worked on at a time
 
 # White space beyond the bytes that part units, in UTF-8.
 _WIDE_SPACE = rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80|[\x1c-\x1f]"
@@ -112,18 +112,18 @@ class _Units:
             self.clear()
             new[:] = True
         if new.any():
-            joint = new & _SPACE[data[begin]] & ~_SPACE[data[end - 1]]
-            alone = np.flatnonzero(new & ~joint)   # a text's first word, runs of white space
-            ids, size = self.encode_units(data, begin[joint], end[joint])
+            whole = np.flatnonzero(new)             # in order of the hashes
+            joint = _SPACE[data[begin[whole]]] & ~_SPACE[data[end[whole] - 1]]
+            alone = whole[~joint]                   # a text's first word, runs of white space
+            ids, size = self.encode_units(data, begin[whole[joint]], end[whole[joint]])
             others = self.encode([data[b:e].tobytes().decode() for b, e in zip(begin[alone], end[alone])])
             size = np.concatenate((size, [i.size for i in others])).astype(np.int32)
             first = self.pool.size + np.concatenate(([0], np.cumsum(size, dtype=np.int64)[:-1]))
             self.pool = np.concatenate([self.pool, ids, *others])
-            keys_now = np.concatenate((self.keys, keys[joint], keys[alone]))
-            order = np.argsort(keys_now)
-            self.keys = keys_now[order]
-            self.begin = np.concatenate((self.begin, first))[order]
-            self.size = np.concatenate((self.size, size))[order]
+            order = np.argsort(np.concatenate((whole[joint], alone)))  # as the hashes again
+            place = np.searchsorted(self.keys, keys[whole])
+            self.keys = np.insert(self.keys, place, keys[whole])
+            self.begin, self.size = np.insert(self.begin, place, first[order]), np.insert(self.size, place, size[order])
             at = np.searchsorted(self.keys, keys)
         return self.begin[at], self.size[at]
 
