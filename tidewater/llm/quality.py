@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import own_columns
-from tidewater.llm.words import mix, releasing, rolling, row_slices, text_bytes, word_bounds
+from tidewater.llm.words import mix, release_memory, releasing, rolling, row_slices, text_bytes, word_bounds
 
 BITS = 20
 SAMPLE = 3000         # labelled rows of each class, at most
@@ -206,7 +206,10 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str
     texts = short.join(F.broadcast(picked), "doc_id")  # at most 2 * sample rows of two numbers
     rows = texts.mapInArrow(releasing(_sampled), "doc_id long, label int, features binary").collect()
     rows = sorted({(_shuffled(r["doc_id"]), r["doc_id"], bytes(r["features"]), r["label"]) for r in rows})
-    return fit([np.frombuffer(r[2], "<i4") for r in rows], np.array([r[3] for r in rows], dtype=np.int64), share)
+    model = fit([np.frombuffer(r[2], "<i4") for r in rows], np.array([r[3] for r in rows], dtype=np.int64), share)
+    del rows
+    release_memory()
+    return model
 
 
 def _shuffled(doc_id: int) -> int:

@@ -26,18 +26,22 @@ _BASE = 0x9E3779B97F4A7C15  # of every rolling hash: what is hashed differs by i
 _POWERS: list[np.ndarray] = []  # of the running task
 
 
+def release_memory() -> None:
+    """Give freed memory back to the system; allocators would keep it."""
+    _POWERS.clear()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # a C library without it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def releasing(task):
-    """A map function over batches that gives the memory it took back to the
-    system at its end: Python workers live on between tasks, and allocators
-    would keep it for them."""
+    """A map function over batches that gives the memory it took back at its
+    end: Python workers live on between tasks."""
     def run(batches):
         try:
             yield from task(batches)
         finally:
-            _POWERS.clear()
-            pa.default_memory_pool().release_unused()
-            with contextlib.suppress(OSError, AttributeError):  # a C library without it
-                ctypes.CDLL(None).malloc_trim(0)
+            release_memory()
     return run
 
 
