@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidewater.operators import weblog as W
+from tidewater.operators.reduce_windows import reduce_windows
 from tidewater.operators.windows import (
+    US,
     bucket_counts,
+    floor_to,
     sliding_change_points,
     sliding_counts,
+    to_micros,
     top_k_change_points,
     top_k_per_window,
 )
@@ -238,3 +242,60 @@ def q_decode_bytes(spark, sf):
     b = weblog(spark, sf).select("event_id", F.encode("line", "UTF-8").alias("value"))
     return b.select("event_id", decode_bytes("value").alias("line"),
                     F.octet_length("value").cast("bigint").alias("n_bytes"))
+
+
+# -- UDF2: windows of a reduce function given by the user, without and with its inverse ---------------
+def longer(a: int, b: int) -> int:
+    """A reduce function that cannot be undone."""
+    return max(a, b)
+
+
+def joined_stats(a: dict, b: dict) -> dict:
+    """A reduce function on structs that cannot be undone."""
+    return {"n": a["n"] + b["n"], "total": a["total"] + b["total"], "low": min(a["low"], b["low"]), "high": max(a["high"], b["high"])}
+
+
+def joined_sums(a: dict, b: dict) -> dict:
+    return {"n": a["n"] + b["n"], "total": a["total"] + b["total"]}
+
+
+def parted_sums(whole: dict, part: dict) -> dict:
+    """The inverse of ``joined_sums``."""
+    return {"n": whole["n"] - part["n"], "total": whole["total"] - part["total"]}
+
+
+def _bytes_by_status(spark, sf):
+    lines = W.parse_log(weblog_dense(spark, sf), keep=("event_id", "ts"))
+    return (lines.select("status", F.col("bytes").try_cast("bigint").alias("bytes"), floor_to(to_micros("ts"), US).alias("_b"))
+            .where("bytes is not null").groupBy("status", "_b"))
+
+
+def _window_oracle(*columns: str) -> str:
+    return D.with_(D.WEBLOG_DENSE, f"""p as (select {D.grp(6)} as status, try_cast({D.grp(7)} as bigint) as bytes,
+  epoch_us(ts) - epoch_us(ts) % 1000000 as b from weblog where {D.matched()})""") + f"""
+, t as (select distinct status, unnest([b + 1000000, b + {(WINDOW_S + 1) * 1_000_000}]) as t from p where bytes is not null)
+select t.status, make_timestamp(t) as window_end, {', '.join(columns)}
+from t left join p on p.status = t.status and b >= t - {WINDOW_S * 1_000_000} and b < t group by t.status, t"""
+
+
+_SUMS = ("nullif(count(bytes), 0) as n", "cast(sum(bytes) as bigint) as total")
+
+
+@query("reduce_window_max", _window_oracle("max(bytes) as bytes"))
+def q_reduce_window_max(spark, sf):
+    per = _bytes_by_status(spark, sf).agg(F.max("bytes").alias("bytes"))
+    return reduce_windows(per, ["status"], "bytes", longer, WINDOW_S, 1)
+
+
+@query("reduce_window_stats", _window_oracle(*_SUMS, "min(bytes) as low", "max(bytes) as high"))
+def q_reduce_window_stats(spark, sf):
+    stats = F.struct(F.count("bytes").alias("n"), F.sum("bytes").alias("total"), F.min("bytes").alias("low"), F.max("bytes").alias("high"))
+    out = reduce_windows(_bytes_by_status(spark, sf).agg(stats.alias("s")), ["status"], "s", joined_stats, WINDOW_S, 1)
+    return out.select("status", "window_end", "s.*")
+
+
+@query("reduce_window_sums", _window_oracle(*_SUMS))
+def q_reduce_window_sums(spark, sf):
+    sums = F.struct(F.count("bytes").alias("n"), F.sum("bytes").alias("total"))
+    out = reduce_windows(_bytes_by_status(spark, sf).agg(sums.alias("s")), ["status"], "s", joined_sums, WINDOW_S, 1, parted_sums)
+    return out.select("status", "window_end", "s.*")

@@ -8,6 +8,7 @@ of its batch twin, so the stream path is checked value by value.
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidewater.functions.logparse import FIELDS
@@ -26,7 +27,8 @@ from tidewater.sources.staging import stage_parts
 from tidewater.sources.streams import as_kafka_records, kafka_lines, read_lines
 from tidewater.sources.tables import blobs, points, posts, table, weblog, weblog_dense
 from tidewater.streaming import apps as A
-from tidewater.streaming.learners import KMeansStream, RegressionStream, labeled_of, vectors_of
+from tidewater.streaming.folder_sink import folder_writer, read_committed
+from tidewater.streaming.learners import KMeansStream, PinnedScorer, RegressionStream, labeled_of, vectors_of
 from tidewater.streaming.live_windows import live_alarm
 from tidewater.streaming.runner import checkpoint_for, file_stream, run_available, run_every
 from tidewater.streaming.session_state import keyed_sessions, open_sessions
@@ -37,8 +39,10 @@ from tidewater.streaming.sinks import (
     SaveUntil,
     per_batch,
     print_batch,
+    skip_empty,
     sql_per_batch,
     write_batch,
+    write_counted,
 )
 from tidewater.streaming.stateful import sessions_with_state
 
@@ -283,6 +287,29 @@ def q_stream_requests_by_ip(spark, sf):
     return store.read(spark).select("ip", "ts", "event_id", "url", "status", "agent")
 
 
+# -- SNK8: a sink of our own with a commit per batch ---------------------------------------------
+@query("stream_custom_sink", ORACLES["requests_by_ip_append"])
+def q_stream_custom_sink(spark, sf):
+    req = W.requests_by_ip(weblog(spark, sf), keep=("event_id",)).select("event_id", "ip", "url", "status", "agent")
+    out = fresh_dir(spark, "out/custom_sink")
+    run_available(folder_writer(_staged(spark, req, "event_id", "requests_sink"), out)
+                  .option("checkpointLocation", checkpoint_for(spark, "custom_sink")))
+    return read_committed(spark, out, req.schema)
+
+
+# -- AGG8 / SNK7: rows of each batch, counted while they are written ------------------------------------
+@query("stream_batch_rowcount", D.with_(D.WEBLOG, D.parts("weblog", "event_id", PARTS)) + "select batch_id, count(*) as n from parts group by all")
+def q_stream_batch_rowcount(spark, sf):
+    out, totals = fresh_dir(spark, "out/batch_rows"), fresh_dir(spark, "out/batch_rowcount")
+
+    def body(df, batch_id):
+        n = write_counted(df, out, batch_id)
+        write_batch(df.sparkSession.createDataFrame([(batch_id, n)], "batch_id long, n long").coalesce(1), totals, batch_id)
+    lines = _staged(spark, weblog(spark, sf), "event_id", "weblog_counted")
+    run_available(lines.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint_for(spark, "batch_rowcount")))
+    return spark.read.parquet(totals).select("batch_id", "n")
+
+
 # -- APP3 / SNK9 / STM9: SQL on every batch ---------------------------------------------------------
 AGENTS_SQL = "select agent, count(*) as total from requests group by agent"  # fixed value: the query under test
 
@@ -458,6 +485,43 @@ def q_stream_train_and_score(spark, sf):
     return spark.read.parquet(out).groupBy("label", "cluster").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("stream_train_and_score_live", _KMEANS + " union all ".join(f"""
+select p.id, p.label, cast({b} as bigint) as model_batch,
+       arg_min(m.cluster, ((p.i - m.c0) * (p.i - m.c0) + (p.a - m.c1) * (p.a - m.c1), m.cluster)) as cluster
+from parts p, m{b + 1} m where p.batch_id = {b} group by p.id, p.label""" for b in range(PARTS)))
+def q_stream_train_and_score_live(spark, sf):
+    """Two queries at work at once. Parts are put into the folder of the
+    training query and then into that of the scoring one, so each part is
+    scored by the model that has just seen it, and all but the last while
+    training goes on."""
+    lines = _scaled_lines(spark, sf)
+    staged = stage_parts(spark, lines, "id", PARTS, "blobs_live")
+    parts = spark.read.option("recursiveFileLookup", "false").parquet(staged.path)
+    feeds = {name: fresh_dir(spark, f"blobs_{name}") for name in ("train", "score")}
+    for feed in feeds.values():
+        write_batch(parts.where("_part < 0").select(*lines.columns), feed, -1)  # a folder to begin with
+    trainer = KMeansStream(fresh_dir(spark, "out/kmeans_live_model"), ["income", "age"], KMEANS_START, keep=PARTS + 2)
+    scorer = PinnedScorer(trainer, fresh_dir(spark, "out/kmeans_live_scores"), ["id", "label", "cluster"])
+    running = {}
+    for name, sink in (("train", trainer), ("score", scorer)):
+        rows = file_stream(spark, feeds[name], lines.schema, "parquet", 1000)
+        running[name] = (vectors_of(rows, ["income", "age"]).writeStream.foreachBatch(skip_empty(sink))
+                         .option("checkpointLocation", checkpoint_for(spark, f"kmeans_live_{name}"))
+                         .trigger(processingTime="0 seconds").start())
+    try:
+        for b in range(PARTS):
+            for name, q in running.items():
+                write_batch(parts.where(F.col("_part") == b).select(*lines.columns), feeds[name], b, files=1)  # there at once, or not
+                q.processAllAvailable()
+    finally:
+        for q in running.values():
+            q.stop()
+    models = spark.read.parquet(trainer.models.path).select(F.col("batch_id").alias("model_batch")).distinct()
+    order = models.withColumn("_b", F.row_number().over(Window.orderBy("model_batch")) - 1)  # a row per part
+    return (spark.read.parquet(scorer.out).join(F.broadcast(order), "model_batch")
+            .select("id", "label", F.col("_b").cast("bigint").alias("model_batch"), "cluster"))
+
+
 # -- APP15 / ML4 / ML5: streaming linear regression on parsed lines, and its scoring ----------------------------------
 def _point_lines(spark, sf):
     """``y,x`` lines."""

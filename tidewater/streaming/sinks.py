@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.operators.weblog import latest_by_key
@@ -36,6 +36,13 @@ def write_batch(df: DataFrame, out: str, batch_id: int, fmt: str = "parquet",
     getattr(w, fmt)(batch_path(out, batch_id))
 
 
+def write_counted(df: DataFrame, out: str, batch_id: int, fmt: str = "parquet", files: int | None = None) -> int:
+    """As ``write_batch``; the number of rows, counted while they are written."""
+    seen = Observation()
+    write_batch(df.observe(seen, F.count(F.lit(1)).alias("n")), out, batch_id, fmt, files)
+    return seen.get["n"]
+
+
 def per_batch(out: str, fn: Callable[[DataFrame, int], DataFrame], fmt: str = "parquet",
               skip_empty: bool = True, cache: bool | None = None):
     """``foreachBatch`` body: ``fn(batch_df, batch_id)`` then an idempotent
@@ -57,6 +64,18 @@ def per_batch(out: str, fn: Callable[[DataFrame, int], DataFrame], fmt: str = "p
     return body
 
 
+def skip_empty(sink: Callable[[DataFrame, int], None]):
+    """``sink`` for the batches that have rows."""
+    def body(df: DataFrame, batch_id: int) -> None:
+        df = df.persist()
+        try:
+            if not df.isEmpty():
+                sink(df, batch_id)
+        finally:
+            df.unpersist()
+    return body
+
+
 def sql_per_batch(out: str, view: str, sql: str, fmt: str = "parquet"):
     """Run a SQL text on every batch exposed as a temp view; the result
     gets the batch id as a column and is written idempotently."""
@@ -86,32 +105,34 @@ class SaveUntil:
     limit). The batch after that raises ``LimitReached``: the query ends, its
     offsets stay uncommitted and nothing is lost.
 
-    The total is that of the folders of earlier batches, so a batch that is
-    replayed counts once. ``files_per_batch=1`` merges each batch into one
-    file; ``None`` keeps one file per partition.
+    The running total is kept with the batch (``_totals`` below the folder), so
+    a batch that is replayed counts once and saved texts are never read again.
+    ``files_per_batch=1`` merges each batch into one file; ``None`` keeps one
+    file per partition.
     """
 
     def __init__(self, spark: SparkSession, out: str, limit: int | None = None,
                  files_per_batch: int | None = 1, column: str = "text"):
         self.spark, self.out, self.limit = spark, out, limit
         self.files, self.column = files_per_batch, column
+        self.totals = VersionedTable(f"{out.rstrip('/')}/_totals")
         self.done = False
 
     def saved(self, before: int | None = None) -> int:
-        """Texts in the folders (of batches before ``before``)."""
-        have = [b for b in numbered(self.spark, self.out, "batch_id") if before is None or b < before]
-        if not have:
-            return 0
-        return self.spark.read.option("lineSep", RECORD_SEP).text([batch_path(self.out, b) for b in have]).count()
+        """Texts saved (by batches before ``before``)."""
+        held = self.totals.read(self.spark, before)
+        return held.first()["total"] if held is not None else 0
 
     def __call__(self, df: DataFrame, batch_id: int) -> None:
-        if self.limit is not None and self.saved(batch_id) > self.limit:
+        total = self.saved(batch_id)
+        if self.limit is not None and total > self.limit:
             self.done = True
             raise LimitReached(f"more than {self.limit} texts are saved")
-        df = df.select(F.col(self.column).cast("string").alias("value"))
-        if not df.isEmpty():
-            write_batch(df, self.out, batch_id, "text", self.files)
-        self.done = self.limit is not None and self.saved(batch_id + 1) > self.limit
+        n = write_counted(df.select(F.col(self.column).cast("string").alias("value")), self.out, batch_id, "text", self.files)
+        if not n:
+            remove(self.spark, batch_path(self.out, batch_id))
+        self.totals.write(self.spark.createDataFrame([(total + n,)], "total long").coalesce(1), batch_id)
+        self.done = self.limit is not None and total + n > self.limit
 
 
 class KeyedStore:

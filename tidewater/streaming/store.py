@@ -57,6 +57,13 @@ class VersionedTable:
     def _at(self, version: int) -> str:
         return f"{self.path}/version={version}"
 
+    def versions(self, spark: SparkSession) -> list[int]:
+        return numbered(spark, self.path, "version")
+
+    def at(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
+        """The version of one batch."""
+        return spark.read.parquet(self._at(batch_id)) if batch_id in self.versions(spark) else None
+
     def read(self, spark: SparkSession, before: int | None = None) -> DataFrame | None:
         """The newest version (before batch ``before``); None if there is none."""
         have = [v for v in numbered(spark, self.path, "version") if before is None or v < before]
