@@ -64,6 +64,11 @@ class _Units:
         self.tokenizer = Tokenizer.from_file(path)
         added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.whole = re.compile(b"|".join([_WIDE_SPACE, *map(re.escape, added)]))
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.bytes = np.zeros(max([end_id, *self.tokenizer.get_vocab().values()]) + 1, np.int64)
+        self.bytes[list(vocabulary.values())] = [len(t) for t in vocabulary]  # a byte-level token has a character for each byte
+        for number, t in self.tokenizer.get_added_tokens_decoder().items():
+            self.bytes[number] = len(t.content.encode())
         self.end_id = end_id
         self.clear()
 
@@ -79,26 +84,26 @@ class _Units:
         self.pool = np.array([self.end_id], np.uint32)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, dtype=np.uint32) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        return [np.array(e.ids, dtype=np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode_units(self, data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of the units data[begin:end] in turn, ids per unit). The
         units begin with their white space and end with a word's byte:
         ``TOGETHER`` of them as one text have the same ids, cut apart by the
-        tokens' offsets."""
+        tokens' lengths in bytes."""
         length = end - begin
         stop = np.cumsum(length)
         flat = data[np.repeat(begin - (stop - length), length) + np.arange(length.sum())]
-        lead = np.concatenate(([0], np.cumsum((flat & 0xC0) != 0x80)))     # characters up to a byte
         edges = np.concatenate(([0], stop))
         groups = [edges[a:a + TOGETHER + 1] for a in range(0, begin.size, TOGETHER)]
         texts = [flat[g[0]:g[-1]].tobytes().decode() for g in groups]
         ids, sizes = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
-        for g, e in zip(groups, self.tokenizer.encode_batch(texts, add_special_tokens=False)):
-            first = np.array(e.offsets, dtype=np.int64).reshape(-1, 2)[:, 0]
-            sizes.append(np.diff(np.searchsorted(first, lead[g] - lead[g[0]])))
-            sizes[-1][-1] += first.size - sizes[-1].sum()
-            ids.append(np.array(e.ids, dtype=np.uint32))
+        for g, own in zip(groups, self.encode(texts)):
+            upto = np.concatenate(([0], np.cumsum(self.bytes[own])))
+            if upto[-1] != g[-1] - g[0]:
+                raise ValueError("the tokenizer is not byte-level: its tokens do not have the text's bytes")
+            sizes.append(np.diff(np.searchsorted(upto, g - g[0])))
+            ids.append(own)
         return np.concatenate(ids), np.concatenate(sizes)
 
     def look_up(self, keys: np.ndarray, data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
