@@ -224,12 +224,79 @@ def test_quality(spark, docs, none, sf):
 
 def test_quality_fits_on_the_stated_number_of_rows(spark, monkeypatch):
     used = []
-    monkeypatch.setattr(quality, "FIT_BYTES", 50)
-    monkeypatch.setattr(quality, "fit", lambda docs, y, share, *more: used.append(np.bincount(y, minlength=2).tolist()))
-    known = spark.range(14_000).selectExpr("id as doc_id", "if(id % 3 = 0, repeat('long text ', 6), concat('text ', id)) as text",
+    monkeypatch.setattr(quality, "fit", lambda docs, y, share, *more: used.append((np.bincount(y, minlength=2).tolist(), max(map(len, docs)))))
+    long = " ".join(f"w{i}" for i in range(5000))
+    known = spark.range(14_000).selectExpr("id as doc_id", f"if(id % 500 = 0, '{long}', concat('text ', id)) as text",
                                            "cast(id % 2 as int) as quality")
-    quality.train(known.select("doc_id", "text"), known.select("doc_id", "quality"))
-    assert used == [[3000, 3000]]
+    copies = spark.range(2000).selectExpr("1L as doc_id", "concat('text of an id that comes often ', id) as text")
+    quality.train(known.select("doc_id", "text").unionByName(copies), known.select("doc_id", "quality"))
+    assert used == [([3000, 3000], quality.KEPT_FEATURES)]  # long texts are read whole, and bounded in what they add
+
+
+def _ngrams(text):
+    """Words, pairs of words, and one to three successive shapes, by hand."""
+    words = [w.translate(LOWER) for w in _words(text)]
+
+    def shape(w):
+        kind = lambda c: "a" if "a" <= c <= "z" else "A" if "A" <= c <= "Z" else "0" if "0" <= c <= "9" else "x" if ord(c) >= 128 else c
+        out = []
+        for c in map(kind, w):
+            if not out or out[-1] != c:
+                out.append(c)
+        return "".join(out)
+    shapes = [(shape(w), i > 0 and words[i] == words[i - 1]) for i, w in enumerate(_words(text))]
+    return ({("w", w) for w in words} | {("ww", *p) for p in zip(words, words[1:])} | {("s", s) for s in shapes}
+            | {("ss", *p) for p in zip(shapes, shapes[1:])} | {("sss", *p) for p in zip(shapes, shapes[1:], shapes[2:])})
+
+
+def test_quality_features_are_the_ngrams():
+    texts = ["The the cat, 12 Cats!", "the THE dog", "", "a", "A1b2-c3 a1B2-C3 x x x", "é É word \t12:30\nend", "cat, 12 Cats! the"]
+    data = "".join(texts).encode()
+    offsets = np.cumsum([0] + [len(t.encode()) for t in texts])
+    row, feature = quality.features(np.frombuffer(data, np.uint8), offsets)
+    got = [set(feature[row == i].tolist()) for i in range(len(texts))]
+    want = [_ngrams(t) for t in texts]
+    for i in range(len(texts)):
+        for j in range(len(texts)):
+            assert len(got[i] & got[j]) == len(want[i] & want[j]), (texts[i], texts[j])
+
+
+def test_log_count_ratios_by_hand():
+    docs, y = [np.array([0, 1]), np.array([1]), np.array([1, 2])], np.array([1, 0, 0])
+    got = quality.log_count_ratios(docs, y, bits=2)
+    p, q = np.array([2, 2, 1, 1]) / 6, np.array([1, 3, 2, 1]) / 7   # one added to every count
+    assert np.allclose(got, [*np.log(p / q)[:3], 0.0])              # a feature that no text has says nothing
+
+
+def test_dual_descent_reaches_the_optimum():
+    rng = np.random.default_rng(6)
+    x = (rng.random((60, 12)) < 0.4) * rng.normal(size=(60, 12))
+    y = (x[:, 0] + 0.4 * rng.normal(size=60) > 0).astype(int)
+    cost = rng.uniform(0.5, 3.0, 60)
+    docs = [np.flatnonzero(v) for v in x]
+    w, b = quality.dual_descent(docs, [v[d] for v, d in zip(x, docs)], y, 12, cost, epochs=3000)
+    sign = np.where(y > 0, 1.0, -1.0)
+    z = np.hstack((x, np.ones((60, 1)))) * sign[:, None]           # the bias is a weight of its own
+    gram, alpha = z @ z.T, np.zeros(60)
+    step = 1.0 / np.linalg.eigvalsh(gram)[-1]
+    for _ in range(60_000):                                         # projected gradient ascent of the dual
+        alpha = np.clip(alpha + step * (1 - gram @ alpha), 0, cost)
+    dual = alpha.sum() - 0.5 * alpha @ gram @ alpha
+    primal = 0.5 * (w @ w + b * b) + (cost * np.maximum(0, 1 - sign * (x @ w + b))).sum()
+    assert abs(primal - dual) <= 1e-3 * abs(dual)
+
+
+def test_quality_of_conflicting_and_null_labels(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda docs, y, share, *more: seen.append((y.tolist(), round(share, 6))))
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(30)] + [(None, "no id")], "doc_id long, text string")
+    ids = [i for i in range(30) if zlib.crc32(str(i).encode()) % 5]
+    labels = [(i, i % 2) for i in ids] + [(i, 1) for i in ids] + [(i, None) for i in ids] + [(None, 1), (1000, 1)]
+    quality.train(docs, spark.createDataFrame(labels, "doc_id long, quality int"))
+    (y, share), = seen
+    ones = sum(i % 2 for i in ids)
+    assert sorted(y) == [0] * (len(ids) - ones) + [1] * ones        # of two labels the smaller
+    assert share == round((ones + (zlib.crc32(b"1000") % 5 > 0)) / (len(ids) + (zlib.crc32(b"1000") % 5 > 0)), 6)
 
 
 def test_quality_on_held_out_rows(spark):

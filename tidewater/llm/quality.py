@@ -9,14 +9,17 @@ to length one; a linear hinge-loss model is fitted by dual coordinate
 descent, and its margin is mapped to a probability by a logistic fit on rows
 that the descent has not seen.
 
-Fitting uses a bounded sample of labelled rows: of those with a text of up to
-``FIT_BYTES`` bytes, the first ``SAMPLE`` of each class by a hash of the id. Scoring is a map
-over all rows and their whole texts, with the model (``2 ** BITS`` weights) sent to the
+Fitting uses a bounded sample of labelled rows, the first ``SAMPLE`` of each class by
+a hash of the id, and reads their whole texts. Of a text with more than
+``KEPT_FEATURES`` distinct n-grams, those first in a fixed shuffled order of all
+features are kept (the same ones in every text), so the driver gets at most
+8 * SAMPLE * KEPT_FEATURES bytes. Scoring is a map over all rows and their whole
+texts and uses every n-gram, with the model (``2 ** BITS`` weights) sent to the
 tasks.
 
 Defined results: a null or empty text has no n-gram and gets the score of the
 bias alone. Labels that are null are left out; of several labels of an id the
-smallest counts. Without labels of both classes, every score is the share of
+smallest counts, of several texts the one smallest by its features. Without labels of both classes, every score is the share of
 label 1 (0.5 without any). Repeated rows get the same score. An empty table
 gives no rows.
 """
@@ -36,7 +39,7 @@ from tidewater.llm.words import mix, release_memory, releasing, rolling, row_sli
 
 BITS = 20
 SAMPLE = 3000         # labelled rows of each class, at most
-FIT_BYTES = 200_000   # texts used for fitting; scoring has no such bound
+KEPT_FEATURES = 4096  # features of a text that fitting keeps; scoring uses all
 FOLDS, HELD_FOLD = 5, 0
 THRESHOLD = 0.3
 SMOOTHING = 1.0
@@ -176,6 +179,14 @@ def held_out(doc_id):
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % FOLDS == HELD_FOLD
 
 
+def kept_features(feature: np.ndarray, most: int | None = None) -> np.ndarray:
+    """At most ``most`` of a text's features, by a shuffled order of all."""
+    most = KEPT_FEATURES if most is None else most
+    if feature.size <= most:
+        return feature
+    return np.sort(feature[np.argsort(mix(feature.astype(np.uint64), 13), kind="stable")[:most]])
+
+
 def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offsets = text_bytes(batch.column("text"))
@@ -186,7 +197,7 @@ def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at = np.searchsorted(row, np.arange(n + 1))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").slice(rows.start, n).cast(pa.int64()), batch.column("label").slice(rows.start, n).cast(pa.int32()),
-                 pa.array([feature[a:b].astype("<i4").tobytes() for a, b in zip(at[:-1], at[1:])], pa.binary())],
+                 pa.array([kept_features(feature[a:b]).astype("<i4").tobytes() for a, b in zip(at[:-1], at[1:])], pa.binary())],
                 names=["doc_id", "label", "features"])
 
 
@@ -198,13 +209,14 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str
     count = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     share = count.get(1, 0) / max(sum(count.values()), 1) if count else 0.5
     order = F.xxhash64("doc_id")
-    short = (own_columns(docs, id_col, text_col).toDF("doc_id", "text")
-             .filter(F.coalesce(F.octet_length("text"), F.lit(0)) <= FIT_BYTES))
-    fitting = known.join(short.select("doc_id").distinct(), "doc_id", "left_semi")
+    every = own_columns(docs, id_col, text_col).toDF("doc_id", "text")
+    fitting = known.join(every.select("doc_id").distinct(), "doc_id", "left_semi")
     picked = (fitting.filter("label = 1").orderBy(order, "doc_id").limit(sample)
               .unionByName(fitting.filter("label = 0").orderBy(order, "doc_id").limit(sample)))
-    texts = short.join(F.broadcast(picked), "doc_id")  # at most 2 * sample rows of two numbers
-    rows = texts.mapInArrow(releasing(_sampled), "doc_id long, label int, features binary").collect()
+    texts = every.join(F.broadcast(picked), "doc_id")  # at most 2 * sample rows of two numbers
+    # of an id with several texts one is learnt, so the rows are as many as the ids that were picked
+    rows = (texts.mapInArrow(releasing(_sampled), "doc_id long, label int, features binary")
+            .groupBy("doc_id", "label").agg(F.min("features").alias("features")).collect())
     rows = sorted({(_shuffled(r["doc_id"]), r["doc_id"], bytes(r["features"]), r["label"]) for r in rows})
     model = fit([np.frombuffer(r[2], "<i4") for r in rows], np.array([r[3] for r in rows], dtype=np.int64), share)
     del rows
