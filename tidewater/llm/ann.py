@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import own_columns, saved
+from tidewater.llm.common import own_columns, partitions_for, saved
 
 K = 10
 SAMPLE = 50_000
@@ -44,6 +44,7 @@ LEAF_SAMPLE = 40      # a node with this many sampled vectors or fewer is a leaf
 CALIBRATION = 100
 TARGET = 0.97
 BLOCK = 4096          # indexed rows compared in one task, about
+SEARCHES = 64          # queries searched by a task
 
 
 @dataclass
@@ -260,7 +261,9 @@ def nearest(vectors: DataFrame, is_query, id_col: str = "vec_id", vector_col: st
                 yield _table(out, ["group", "block", "key", "v", "leaves"],
                              [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())])
 
-    asked = queries.groupBy("v").agg(F.min("vec_id").alias("key")).select("key", "v")
+    # a search costs much more than its bytes, by which Spark would put all into one task
+    searches = partitions_for(queries.count(), SEARCHES)
+    asked = queries.groupBy("v").agg(F.min("vec_id").alias("key")).select("key", "v").repartition(searches)
     visiting = asked.mapInArrow(visit, "group long, block long, key long, v binary, leaves array<long>")
     groups = np.array(sorted(group.items()), dtype=np.int64)
     split = np.array([blocks[g] for g in groups[:, 1]], dtype=np.int64)
