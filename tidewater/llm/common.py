@@ -19,6 +19,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+#: Rows of an Arrow batch: texts are long, and a batch is held on both sides of a Python worker.
+ARROW_ROWS = 1000
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Let Arrow batches of this session have ``ARROW_ROWS`` rows at most."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(name))
+    if now <= 0 or now > ARROW_ROWS:
+        spark.conf.set(name, str(ARROW_ROWS))
+
+
 def saved(df: DataFrame, kind: str) -> DataFrame:
     """The rows of ``df`` as a table written once below the session's shared
     checkpoint folder and read again: it cuts the lineage, survives the loss

@@ -52,7 +52,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import as_rows, own_columns, saved
+from tidewater.llm.common import as_rows, bounded_batches, own_columns, saved
 from tidewater.llm.substring_dedup import pack_hashes, unpack_hashes
 from tidewater.llm.words import mix, pieces, releasing, whole_rows, windows
 
@@ -387,6 +387,7 @@ def _named(docs: DataFrame, id_col: str, text_col: str, shingle: int = SHINGLE,
            percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """(every row's doc_id, fp, node, n; every set that is not empty: node,
     comp, least id, and stay: its first row by id, null last, and fp)."""
+    bounded_batches(docs.sparkSession)
     keyed = own_columns(docs, id_col, text_col).toDF("doc_id", "text").select(
         F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("fp"))
     total = docs.agg(F.sum(F.octet_length(f"`{text_col}`"))).first()[0] or 0

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import own_columns, saved
+from tidewater.llm.common import bounded_batches, own_columns, saved
 from tidewater.llm.words import _SPACE, releasing, rolling, row_slices, text_bytes, word_bounds
 
 CAPACITY = 1024
@@ -210,6 +210,7 @@ def tokenized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", p
               end_id: int = END_ID, capacity: int = CAPACITY) -> DataFrame:
     """(doc_id, piece, start, length, ids): the pieces of every document; ids
     are unsigned 32-bit little-endian."""
+    bounded_batches(docs.sparkSession)
     return (own_columns(docs, id_col, text_col).toDF("doc_id", "text")
             .mapInArrow(releasing(_pieces(path or tokenizer_path(), end_id, capacity)),
                         "doc_id long, piece int, start long, length long, ids binary"))

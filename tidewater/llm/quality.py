@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import own_columns
+from tidewater.llm.common import bounded_batches, own_columns
 from tidewater.llm.words import mix, release_memory, releasing, rolling, row_slices, text_bytes, word_bounds
 
 BITS = 20
@@ -204,6 +204,7 @@ def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "quality") -> Model:
     """Fit on the labelled rows outside the held-out fold."""
+    bounded_batches(docs.sparkSession)
     known = (own_columns(labels, id_col, label_col).toDF("doc_id", "label").dropna()
              .filter(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.min("label").alias("label")))
     count = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
