@@ -166,10 +166,10 @@ def sliding_change_points(df: DataFrame, ts: str, keys, length_s: int, slide_s:
                       F.col(count_col).cast("bigint").alias(count_col))
 
 
-#: Widths of the time blocks that ``top_k_change_points`` prunes keys by, as shares of the window's length.
-TOP_K_BLOCKS = (5, 50)
+#: Blocks of time in a window's length, by which ``top_k_change_points`` prunes keys.
+TOP_K_BLOCKS = 5
 #: Parts of a block's keys (by hash) that meet its bound in different tasks.
-TOP_K_SALTS = 16
+TOP_K_SALTS = 4
 
 
 def count_intervals(per_bucket: DataFrame, key: str, length_s: int, slide_s: int, count_col: str = "n") -> tuple[DataFrame, DataFrame]:
@@ -191,14 +191,14 @@ def count_intervals(per_bucket: DataFrame, key: str, length_s: int, slide_s: int
             r.where("_moves").select("_t").distinct())
 
 
-def _in_blocks(pieces: DataFrame, key: str, width: int) -> DataFrame:
+def _in_blocks(intervals: DataFrame, key: str, width: int) -> DataFrame:
     """Per block of ``width`` and key: its pieces inside the block (an array,
     at most two per slide), its largest and smallest count, and whether it
     holds through the whole block."""
-    first, last = (F.floor(c / F.lit(width)) for c in (F.col("p._from"), F.col("p._to") - 1))
-    cut = (pieces.select(key, F.explode("_pieces").alias("p")).withColumn("_blk", F.explode(F.sequence(first, last)))
-           .select(key, "_blk", F.struct(F.greatest("p._from", F.col("_blk") * width).alias("_from"),
-                                         F.least("p._to", (F.col("_blk") + 1) * width).alias("_to"), F.col("p.n").alias("n")).alias("p")))
+    first, last = (F.floor(c / F.lit(width)) for c in (F.col("_from"), F.col("_to") - 1))
+    cut = (intervals.withColumn("_blk", F.explode(F.sequence(first, last)))
+           .select(key, "_blk", F.struct(F.greatest("_from", F.col("_blk") * width).alias("_from"),
+                                         F.least("_to", (F.col("_blk") + 1) * width).alias("_to"), "n").alias("p")))
     return cut.groupBy("_blk", key).agg(F.collect_list("p").alias("_pieces"), F.max("p.n").alias("_high"), F.min("p.n").alias("_low"),
                                         (F.sum(F.col("p._to") - F.col("p._from")) == width).alias("_whole"))
 
@@ -227,17 +227,12 @@ def _may_lead(blocks: DataFrame, key: str, k: int) -> DataFrame:
 
 def leading_counts(intervals: DataFrame, times: DataFrame, key: str, length_s: int, slide_s: int, k: int) -> DataFrame:
     """(_t, key, n) of the keys that can be among the ``k`` first at a time of
-    change: pruned by blocks of time, coarse to fine, before any count meets
-    the times."""
-    pieces = intervals.select(key, F.array(F.struct("_from", "_to", "n")).alias("_pieces"))
-    width = length_s * US
-    for share in TOP_K_BLOCKS:
-        width = max(length_s // share, slide_s) * US
-        pieces = _may_lead(_in_blocks(pieces, key, width), key, k)
+    change: pruned by blocks of time before any count meets the times."""
+    width = max(length_s // TOP_K_BLOCKS, slide_s) * US
+    pieces = _may_lead(_in_blocks(intervals, key, width), key, k)
     every = F.explode(F.sequence(F.lit(0), F.lit(TOP_K_SALTS - 1)))
     at = times.groupBy(F.floor(F.col("_t") / F.lit(width)).alias("_blk")).agg(F.collect_list("_t").alias("_times")).withColumn("_salt", every)
     met = pieces.withColumn("_salt", _salted(key)).join(at, ["_blk", "_salt"])
-    # the blocks are a few slides wide, so both arrays are short
     return (met.select(key, "_pieces", F.explode("_times").alias("_t"))
             .select("_t", key, F.explode(F.filter("_pieces", lambda p: (p["_from"] <= F.col("_t")) & (p["_to"] > F.col("_t")))).alias("p"))
             .select("_t", key, "p.n"))
