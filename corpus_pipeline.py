@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewater.llm import exact_dedup, jaccard_join, mixing, packing, quality
-from tidewater.llm.common import table
+from tidewater.llm.common import dropping_shuffles, table
 from tidewater.session import fresh_dir
 
 
@@ -60,6 +60,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES:
         path = fresh_dir(spark, "corpus-pipeline")
-        stage(spark, docs, sf_dir).write.parquet(path)
+        rows = stage(spark, docs, sf_dir)
+        with dropping_shuffles(spark):
+            rows.write.parquet(path)
         docs = spark.read.parquet(path)
     return docs

@@ -3,6 +3,7 @@ writing a step's rows to the shared folder, text units."""
 
 from __future__ import annotations
 
+import contextlib
 import itertools
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,13 +32,28 @@ def bounded_batches(spark: SparkSession) -> None:
         spark.conf.set(name, str(ARROW_ROWS))
 
 
+@contextlib.contextmanager
+def dropping_shuffles(spark: SparkSession):
+    """Executions in the block remove their shuffle files when they end. What
+    they have written is read from then on; else the files would stay until
+    the driver happens to collect its garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def saved(df: DataFrame, kind: str) -> DataFrame:
     """The rows of ``df`` as a table written once below the session's shared
     checkpoint folder and read again: it cuts the lineage, survives the loss
     of an executor, and later steps do not repeat the work behind it."""
     spark = df.sparkSession
     path = fresh_dir(spark, f"llm-{kind}")
-    df.write.parquet(path)
+    with dropping_shuffles(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -54,7 +70,8 @@ class Scratch:
 
     def save(self, df: DataFrame) -> DataFrame:
         path = self.fresh()
-        df.write.parquet(path)
+        with dropping_shuffles(self.spark):
+            df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def __enter__(self) -> Scratch:
