@@ -5,11 +5,13 @@ import datetime as dt
 import os
 import random
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from tidewater.session import fresh_dir
-from tidewater.streaming.live_windows import added_up, live_alarm, live_totals
+from tidewater.streaming.live_windows import BLOCK_SLIDES, WindowTotals, added_up, live_alarm, live_totals
 from tidewater.streaming.runner import run_available
 from tidewater.streaming.sinks import write_batch
 
@@ -115,3 +117,101 @@ def test_rows_are_added_up_before_the_state(spark):
 def test_the_slide_divides_the_window(spark, length, slide):
     with pytest.raises(ValueError):
         live_totals(spark.createDataFrame([], "ts timestamp, v long"), [], ["v"], length, slide)
+
+
+class _State(dict):
+    """A handle, its value state and its map states, in memory."""
+
+    def __init__(self):
+        self.timers, self.maps, self.one = [], {}, None
+
+    def getValueState(self, *_):
+        return self
+
+    def getMapState(self, name, *_):
+        return self.maps.setdefault(name, _State())
+
+    def exists(self):
+        return self.one is not None
+
+    def get(self):
+        return self.one
+
+    def update(self, value):
+        self.one = value
+
+    def clear(self):
+        super().clear()
+        self.one = None
+
+    def getValue(self, key):
+        return self[key]
+
+    def updateValue(self, key, value):
+        self[key] = value
+
+    def removeKey(self, key):
+        del self[key]
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+    def getCurrentWatermarkInMs(self):
+        return self.mark
+
+
+def _triggers(processor, triggers, chunk):
+    """What a key gives out, trigger by trigger of (watermark in s, seconds); the frames."""
+    state = _State()
+    processor.init(state)
+    out = []
+    for mark, seconds in triggers:
+        state.mark = mark * 1000
+        us = np.asarray(seconds, np.int64) * 1_000_000
+        rows = pd.DataFrame({"bucket_us": us, "v": 1, "w": us // 1_000_000})
+        out.append(list(processor.handleInputRows(("k",), (rows[a:a + chunk] for a in range(0, len(rows), chunk)), state)))
+        out[-1] += list(processor.handleExpiredTimer(("k",), state, None))
+    return out, state
+
+
+def test_a_call_holds_two_blocks_of_a_long_queue():
+    n = 60_000
+    out, state = _triggers(WindowTotals(["k"], ["v", "w"], 300, 1, held_buckets=7_000), [(0, np.random.default_rng(3).permutation(n))], 1000)
+    assert max(len(f) for f in out[0]) <= 2 * BLOCK_SLIDES and not state.maps["fresh"]
+    got = pd.concat(out[0])
+    assert (got["window_end_us"] // 1_000_000).tolist() == list(range(1, n + 1))
+    assert got["v"].tolist() == [min(t, 300) for t in range(1, n + 1)]
+    assert got["w"].tolist() == [sum(range(max(0, t - 300), t)) for t in range(1, n + 1)]
+
+
+@pytest.mark.parametrize("block, held", [(1, 1 << 40), (300, 40), (1000, 40), (1 << 20, 1 << 40)])
+def test_blocks_give_out_what_one_queue_does(block, held):
+    rng = random.Random(block)
+    triggers, newest = [], 0
+    for b in range(9):
+        mark = max(0, newest - 900)
+        rows = [600 * b + 2000 * (b > 4) + rng.randrange(900) for _ in range(rng.choice([5, 120]))] + [mark + 1 + rng.randrange(900) for _ in range(6)]
+        triggers.append((mark, [r for r in rows if r > mark]))
+        newest = max(newest, *triggers[-1][1])
+    got, _ = _triggers(WindowTotals(["k"], ["v", "w"], 300, 1, block_slides=block, held_buckets=held), triggers, 16)
+    held_rows, now = [], -1 << 60
+    for (mark, rows), frames in zip(triggers, got):
+        held_rows += rows
+        last = max(now, max(rows) + 1)
+        ends = {t for r in held_rows for t in (r + 1, r + 301)}
+        given = [t for t in sorted(ends) if t <= last and (t > now or any(t - 301 <= r <= t - 1 for r in rows))]
+        late = [t for t in sorted(ends) if last < t <= mark]
+        now = max(last, mark)
+        want = [(t, sum(t - 300 <= r < t for r in held_rows), sum(r for r in held_rows if t - 300 <= r < t)) for t in given + late]
+        frames = pd.concat(frames) if frames else pd.DataFrame({"window_end_us": [], "v": [], "w": []})
+        assert [(t // 1_000_000, v, w) for t, v, w in zip(frames["window_end_us"], frames["v"], frames["w"])] == want
+
+
+def test_rows_are_added_up_across_short_arrow_batches(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        df = spark.range(0, 20_000, 1, 2).select(F.lit("k").alias("k"), (F.col("id") % 7).alias("b"), F.lit(1).cast("long").alias("v"))
+        got = added_up(df, ["k"], "b", ["v"]).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sum(r.v for r in got) == 20_000 and len(got) == 14

@@ -2,7 +2,9 @@
 
 Rows are added up per key and slide bucket in the tasks that read them
 (Arrow tables, no state); a ``StatefulProcessor`` keeps, per key, the queue of
-the buckets that a window can still hold, in Spark's state store. A trigger
+the buckets that a window can still hold, in Spark's state store, by blocks of
+time, of which a call holds two, and not more than ``HELD_BUCKETS`` of the
+trigger's buckets besides. A trigger
 puts its buckets in, gives out the totals of the windows that changed, and
 takes off the buckets that no later row can reach. Neither the rows nor the
 windows of earlier triggers are read again.
@@ -44,33 +46,85 @@ def with_keyed_state(spark: SparkSession) -> None:
         spark.conf.set(k, v)
 
 
+#: Rows that a task holds of those it adds up, and buckets that a call holds of a key's.
+HELD_ROWS = 100_000
+HELD_BUCKETS = 500_000
+#: Slides of a block of the queue, at least.
+BLOCK_SLIDES = 4096
+
+
 def added_up(df: DataFrame, keys: list[str], bucket: str, sums: list[str]) -> DataFrame:
-    """``df`` with one row per key and bucket of each Arrow batch: a partial
-    aggregate without state, so it may stand before a stateful operator."""
+    """``df`` with its rows added up per key and bucket, in the tasks that read
+    them and for up to ``HELD_ROWS`` sums at a time: a partial aggregate without
+    state, so it may stand before a stateful operator."""
+    names = [*keys, bucket, *sums]
+
+    def total(t: pa.Table) -> pa.Table:
+        t = t.group_by([*keys, bucket]).aggregate([(c, "sum") for c in sums])
+        return t.rename_columns(names).select(names).combine_chunks()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for batch in batches:
-            t = pa.Table.from_batches([batch]).group_by([*keys, bucket]).aggregate([(c, "sum") for c in sums])
-            yield from t.rename_columns([*keys, bucket, *sums]).select([*keys, bucket, *sums]).combine_chunks().to_batches()
+            held.append(total(pa.Table.from_batches([batch])))
+            size += held[-1].num_rows
+            if size >= HELD_ROWS:
+                held = [total(pa.concat_tables(held))]
+                size = held[0].num_rows
+                if size >= HELD_ROWS // 2:  # they hardly add up
+                    yield from held.pop().to_batches(max_chunksize=10_000)
+                    size = 0
+        if held:
+            yield from total(pa.concat_tables(held)).to_batches(max_chunksize=10_000)
     own = df.select(*keys, bucket, *sums)
     return own.mapInArrow(run, own.schema)
 
 
 class WindowTotals(StatefulProcessor):
-    """Per key: totals of ``sums`` in the windows of ``length_s`` that changed."""
+    """Per key: totals of ``sums`` in the windows of ``length_s`` that changed.
 
-    def __init__(self, keys: list[str], sums: list[str], length_s: int, slide_s: int):
+    The queue of a key's buckets lies in a map state by blocks of time, each at
+    least as long as a window, so a window has its buckets in two of them. A
+    call takes the blocks one by one, and only those that rows of the trigger
+    or the time since the trigger before can have changed."""
+
+    def __init__(self, keys: list[str], sums: list[str], length_s: int, slide_s: int,
+                 block_slides: int = BLOCK_SLIDES, held_buckets: int = HELD_BUCKETS):
         self.keys, self.sums = keys, sums
         self.length, self.slide = length_s * US, slide_s * US
+        self.block, self.most = max(self.length, block_slides * self.slide), held_buckets
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.queue = handle.getValueState("queue", "now long, buckets array<long>, sums array<long>")
+        self.at = handle.getValueState("at", "now long, blocks array<long>")
+        self.queue = handle.getMapState("queue", "block long", "buckets binary, sums binary")
+        self.fresh = handle.getMapState("fresh", "block long", "buckets binary, sums binary")
+
+    # -- blocks of the map states -------------------------------------------------------------------
+    def _none(self) -> tuple[np.ndarray, np.ndarray]:
+        return np.zeros(0, np.int64), np.zeros((0, len(self.sums)), np.int64)
+
+    def _read(self, state, block: int) -> tuple[np.ndarray, np.ndarray]:
+        buckets, sums = state.getValue((block,))
+        return np.frombuffer(buckets, np.int64), np.frombuffer(sums, np.int64).reshape(-1, len(self.sums))
+
+    def _write(self, state, block: int, bucket: np.ndarray, value: np.ndarray) -> None:
+        state.updateValue((block,), (bucket.tobytes(), np.ascontiguousarray(value).tobytes()))
 
-    def _held(self) -> tuple[int | None, np.ndarray, np.ndarray]:
-        if not self.queue.exists():
-            return None, np.zeros(0, np.int64), np.zeros((0, len(self.sums)), np.int64)
-        now, buckets, sums = self.queue.get()
-        return now, np.array(buckets, np.int64), np.array(sums, np.int64).reshape(-1, len(self.sums))
+    def _held(self) -> tuple[int | None, set[int]]:
+        if not self.at.exists():
+            return None, set()
+        now, blocks = self.at.get()
+        return now, set(blocks)
+
+    def _by_block(self, bucket: np.ndarray, value: np.ndarray) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+        """Buckets in order, cut into their blocks."""
+        block = bucket // self.block
+        cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), bucket.size]
+        return {int(block[a]): (bucket[a:b], value[a:b]) for a, b in zip(cuts, cuts[1:]) if b > a}
+
+    def _joined(self, *parts: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        return tuple(np.concatenate(p) for p in zip(*parts))
 
     def _merged(self, bucket: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         one, at = np.unique(bucket, return_inverse=True)
@@ -78,6 +132,31 @@ class WindowTotals(StatefulProcessor):
         np.add.at(out, at, value)
         return one, out
 
+    def _gathered(self, rows) -> tuple[dict[int, tuple[np.ndarray, np.ndarray]], set[int]]:
+        """The buckets of a trigger by block. If they are more than a call
+        may hold, they are set aside in ``fresh``, in the blocks given second."""
+        held, size, aside = [self._none()], 0, set()
+
+        def set_aside(bucket: np.ndarray, value: np.ndarray) -> None:
+            for b, own in self._by_block(bucket, value).items():
+                self._write(self.fresh, b, *(self._merged(*self._joined(self._read(self.fresh, b), own)) if b in aside else own))
+                aside.add(b)
+        for part in rows:
+            held.append((part["bucket_us"].to_numpy(np.int64), part[self.sums].to_numpy(np.int64)))
+            size += len(part)
+            if size >= self.most:
+                held = [self._merged(*self._joined(*held))]
+                size = held[0][0].size
+                if size >= self.most // 2:
+                    set_aside(*held[0])
+                    held, size = [self._none()], 0
+        bucket, value = self._merged(*self._joined(*held))
+        if not aside:
+            return self._by_block(bucket, value), aside
+        set_aside(bucket, value)
+        return {}, aside
+
+    # -- what changes -------------------------------------------------------------------------------
     def _changes(self, key, bucket, value, times) -> pd.DataFrame:
         """Totals of the windows that end at ``times``."""
         upto = np.concatenate((np.zeros((1, len(self.sums)), np.int64), np.cumsum(value, axis=0)))
@@ -90,42 +169,79 @@ class WindowTotals(StatefulProcessor):
         """Times at which a window changes by the buckets."""
         return np.union1d(bucket + self.slide, bucket + self.slide + self.length)
 
-    def _kept(self, now: int, bucket: np.ndarray, value: np.ndarray, watermark_us: int) -> None:
+    def _staying(self, now: int, blocks: set[int]) -> list[int]:
+        """The blocks with buckets that are still to leave the newest window."""
+        return sorted(b for b in blocks if b >= (now - self.slide - self.length) // self.block)
+
+    def _kept(self, now: int, blocks: set[int], watermark_us: int) -> None:
         """The queue without the buckets that no window of a later row holds
         and that have left the newest window."""
         reach = min(watermark_us, now - self.slide) - self.length
-        live = bucket > reach - self.slide
-        self.queue.update((now, bucket[live].tolist(), value[live].ravel().tolist()))
-        leaving = bucket[bucket + self.slide + self.length > now]
-        if leaving.size:
-            self.handle.registerTimer(int(-(-(leaving[0] + self.slide + self.length) // 1000)))
+        for b in [b for b in blocks if b * self.block <= reach - self.slide]:
+            bucket, value = self._read(self.queue, b)
+            live = bucket > reach - self.slide
+            if not live.any():
+                self.queue.removeKey((b,))
+                blocks.discard(b)
+            elif not live.all():
+                self._write(self.queue, b, bucket[live], value[live])
+        self.at.update((now, sorted(blocks)))
+        for b in self._staying(now, blocks):
+            bucket, _ = self._read(self.queue, b)
+            leaving = bucket[bucket + self.slide + self.length > now]
+            if leaving.size:
+                self.handle.registerTimer(int(-(-(leaving[0] + self.slide + self.length) // 1000)))
+                return
 
     def handleInputRows(self, key, rows, timerValues):
-        now, bucket, value = self._held()
-        new, added = np.zeros(0, np.int64), np.zeros((0, len(self.sums)), np.int64)
-        for part in rows:  # a chunk at a time: what is held grows with the buckets, not with the rows
-            new, added = self._merged(np.concatenate((new, part["bucket_us"].to_numpy(np.int64))),
-                                      np.concatenate((added, part[self.sums].to_numpy(np.int64))))
-        if not new.size:
+        now, blocks = self._held()
+        new, aside = self._gathered(rows)
+        arrived = aside or set(new)
+        if not arrived:
             return
-        bucket, value = self._merged(np.concatenate((bucket, new)), np.concatenate((value, added)))
-        latest = int(bucket[-1] + self.slide)
+
+        def added(b: int) -> tuple[np.ndarray, np.ndarray]:
+            return self._none() if b not in arrived else self._read(self.fresh, b) if aside else new[b]
+
+        def entered(b: int) -> tuple[tuple[np.ndarray, np.ndarray], np.ndarray]:
+            """A block with the trigger's buckets put in, and those buckets."""
+            own = added(b)
+            all_of = self._read(self.queue, b) if b in blocks else self._none()
+            if b in arrived:
+                all_of = self._merged(*self._joined(all_of, own)) if b in blocks else own
+                self._write(self.queue, b, *all_of)
+            return all_of, own[0]
+        latest = int(added(max(arrived))[0][-1] + self.slide)
         latest = latest if now is None else max(latest, now)
-        times = self._ends(bucket)
-        times = times[times <= latest]
+        todo = {t for b in arrived for t in (b, b + 1)}
         if now is not None:
-            # of the times given out before, those inside a window that a new bucket entered
-            after = np.searchsorted(new, times - self.slide - self.length, side="left")
-            touched = (after < new.size) & (new[np.minimum(after, new.size - 1)] <= times - self.slide)
-            times = times[(times > now) | touched]
-        yield self._changes(key, bucket, value, times)
-        self._kept(latest, bucket, value, timerValues.getCurrentWatermarkInMs() * 1000)
+            todo |= {t for b in blocks for t in (b, b + 1) if t >= (now - self.slide) // self.block}
+        last = None
+        for t in sorted(todo):
+            before = last[1] if last is not None and last[0] == t - 1 else entered(t - 1)
+            last = t, entered(t)
+            bucket, value = self._joined(before[0], last[1][0])
+            times = self._ends(bucket)
+            times = times[((times - self.slide) // self.block == t) & (times <= latest)]
+            if now is not None:
+                # of the times given out before, those inside a window that a new bucket entered
+                fresh = np.concatenate((before[1], last[1][1]))
+                after = np.searchsorted(fresh, times - self.slide - self.length, side="left")
+                touched = np.append(fresh, np.iinfo(np.int64).max)[after] <= times - self.slide
+                times = times[(times > now) | touched]
+            if times.size:
+                yield self._changes(key, bucket, value, times)
+        if aside:
+            self.fresh.clear()
+        self._kept(latest, blocks | arrived, timerValues.getCurrentWatermarkInMs() * 1000)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        now, bucket, value = self._held()
+        now, blocks = self._held()
         watermark = timerValues.getCurrentWatermarkInMs() * 1000
         if now is None:
             return
+        near = self._staying(now, blocks) or sorted(blocks)[-1:]
+        bucket, value = self._joined(self._none(), *[self._read(self.queue, b) for b in near])
         times = self._ends(bucket)
         times = times[(times > now) & (times <= watermark)]
         if times.size:
@@ -133,8 +249,9 @@ class WindowTotals(StatefulProcessor):
         now = max(now, int(watermark))
         if bucket.size and bucket[-1] + self.slide + self.length <= now and bucket[-1] + self.length < watermark:
             self.queue.clear()
+            self.at.clear()
         else:
-            self._kept(now, bucket, value, watermark)
+            self._kept(now, blocks, watermark)
 
     def close(self) -> None:
         pass
