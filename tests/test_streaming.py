@@ -107,6 +107,34 @@ def test_file_stream_parts_arrive_in_order(spark, rows_per_file):
     assert got == [(0, 0, 24), (1, 25, 49), (2, 50, 74), (3, 75, 99)]
 
 
+def test_long_rows_are_staged_in_files_of_bounded_bytes(spark):
+    """A file a task, however long its rows are; ids of one residue leave no
+    file out, as a part would else be admitted with the next one's."""
+    df = spark.range(80).select((F.col("id") * 4).alias("event_id"), F.repeat(F.lit("x"), F.lit(1000)).alias("text"))
+    path = stage_parts(spark, df, "event_id", 4, "t/long", bytes_per_file=5_000)
+    assert path.files == 4
+    held = spark.read.parquet(path.path).groupBy("_part", "_file").count().collect()
+    assert {(r["_part"], r["count"]) for r in held} == {(p, 20) for p in range(4)}   # all ids are 0 modulo 4
+    odd = df.withColumn("event_id", (F.col("event_id") / 4).cast("long"))
+    path = stage_parts(spark, odd, "event_id", 4, "t/long_odd", bytes_per_file=5_000)
+    held = spark.read.parquet(path.path).groupBy(F.input_file_name().alias("f")).count().collect()
+    assert len(held) == 16 and all(r["count"] == 5 for r in held)
+    s = file_stream(spark, stage_parts(spark, df, "event_id", 4, "t/long", bytes_per_file=5_000).path, df.schema, files_per_trigger=4)
+    out = fresh_dir(spark, "t/long_out")
+    body = per_batch(out, lambda d, bid: d.agg(F.min("event_id").alias("lo"), F.max("event_id").alias("hi"))
+                     .withColumn("batch_id", F.lit(bid).cast("bigint")))
+    run_available(s.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint_for(spark, "t_long")))
+    got = [(r.batch_id, r.lo, r.hi) for r in spark.read.parquet(out).orderBy("batch_id").collect()]
+    assert got == [(0, 0, 76), (1, 80, 156), (2, 160, 236), (3, 240, 316)]
+
+
+def test_each_staged_file_is_written_by_a_task_of_its_own(spark):
+    df = spark.range(800).withColumnRenamed("id", "event_id")
+    path = stage_parts(spark, df, "event_id", 8, "t/own_task")
+    files = [r.f for r in spark.read.parquet(path.path).select(F.input_file_name().alias("f")).distinct().collect()]
+    assert len({f.rsplit("/part-", 1)[1][:5] for f in files}) == len(files) == 8
+
+
 def test_rows_without_an_order_are_an_error(spark, sf):
     df = spark.createDataFrame([(1,), (None,)], "event_id long")
     with pytest.raises(ValueError):

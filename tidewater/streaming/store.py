@@ -39,15 +39,23 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
-def set_times(spark: SparkSession, path: str, order) -> None:
-    """Give every data file below ``path`` the modification time
-    ``order(path)`` (ms): the order in which a file stream admits them."""
+def data_files(spark: SparkSession, path: str) -> list[str]:
+    """Paths of the data files below ``path``."""
     fs, p = _fs(spark, path)
-    files = fs.listFiles(p, True)
+    found, files = [], fs.listFiles(p, True)
     while files.hasNext():
         f = files.next().getPath()
         if not f.getName().startswith(("_", ".")):
-            fs.setTimes(f, order(f.toString()), -1)
+            found.append(f.toString())
+    return found
+
+
+def set_times(spark: SparkSession, path: str, order) -> None:
+    """Give every data file below ``path`` the modification time
+    ``order(path)`` (ms): the order in which a file stream admits them."""
+    fs, _ = _fs(spark, path)
+    for f in data_files(spark, path):
+        fs.setTimes(spark._jvm.org.apache.hadoop.fs.Path(f), order(f), -1)
 
 
 class VersionedTable:
