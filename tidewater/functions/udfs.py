@@ -13,6 +13,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
@@ -50,14 +51,32 @@ def partial_sums(df: DataFrame, key: str, value: str) -> DataFrame:
     return parts.groupBy(key).agg(F.sum("part").alias("total"))
 
 
+#: Bytes of the texts that are split at once: their words take many times as much in Python.
+SPLIT_BYTES = 1 << 20
+
+
+def pieces(rows: pa.RecordBatch, text: int, most: int = SPLIT_BYTES) -> Iterator[pa.RecordBatch]:
+    """``rows`` cut where the texts of a piece would pass ``most`` bytes (a longer text is a piece of its own)."""
+    upto = np.cumsum(pc.fill_null(pc.binary_length(rows.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    a, done = 0, 0
+    while a < rows.num_rows:
+        b = max(a + 1, int(np.searchsorted(upto, done + most, side="right")))
+        yield rows.slice(a, b - a)
+        a, done = b, int(upto[b - 1])
+
+
 def make_word_udtf():
     """Arrow table function over a table of (id, text): one row per
-    space-separated word (JVM split rule), a batch at a time."""
+    space-separated word (JVM split rule), a piece of a batch at a time."""
     from pyspark.sql.functions import arrow_udtf
 
     @arrow_udtf(returnType="id long, pos int, word string")
     class SplitWords:
         def eval(self, rows: pa.RecordBatch) -> Iterator[pa.Table]:
+            for piece in pieces(rows, 1):
+                yield self.split(piece)
+
+        def split(self, rows: pa.RecordBatch) -> pa.Table:
             ids, words, pos = [], [], []
             for i, text in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist()):
                 if text is None:
@@ -66,6 +85,6 @@ def make_word_udtf():
                 ids += [i] * len(own)
                 words += own
                 pos += range(len(own))
-            yield pa.table({"id": pa.array(ids, pa.int64()), "pos": pa.array(pos, pa.int32()), "word": pa.array(words, pa.string())})
+            return pa.table({"id": pa.array(ids, pa.int64()), "pos": pa.array(pos, pa.int32()), "word": pa.array(words, pa.string())})
 
     return SplitWords
