@@ -10,6 +10,18 @@ from tidewater.operators.windows import US, keyed_running, to_micros
 from tidewater.streaming.batches import batch_start
 
 
+#: Bytes of the texts whose words one task gathers again: a word's row takes many times its text.
+KEYED_BYTES = 8 << 20
+
+
+def texts_by_key(df: DataFrame, key: str, text: str = "text", most: int = KEYED_BYTES) -> DataFrame:
+    """``df`` dealt out by ``key``, as many tasks as keep a task of middle size
+    below ``most`` bytes of text. What is exploded from it and grouped by the
+    key then needs no shuffle of its own. Takes a pass for the length of the texts."""
+    size = df.agg(F.sum(F.octet_length(text).cast("long"))).first()[0] or 0
+    return df.repartition(size // most + 1, key)
+
+
 def words(df: DataFrame, text: str = "text", keep=("post_id",)) -> DataFrame:
     """One row per space-separated word (JVM split rule), with its position."""
     keep = [c for c in keep if c in df.columns]

@@ -57,7 +57,7 @@ from (select post_id, unnest({D.tok('text')}) as word,
              unnest(range(0, len({D.tok('text')}))) as pos from posts)
 group by post_id""")
 def q_words(spark, sf):
-    w = T.words(posts(spark, sf))
+    w = T.words(T.texts_by_key(posts(spark, sf), "post_id"))
     return w.groupBy("post_id").agg(F.count(F.lit(1)).alias("n_words"),
                                     F.sum(F.length("word")).cast("bigint").alias("total_word_len"),
                                     F.max("pos").alias("last_pos"),
