@@ -89,6 +89,28 @@ def test_a_call_holds_a_block_of_a_hot_key():
     assert p.open.held[0] == n
 
 
+def test_a_key_in_a_few_chunks_is_not_set_aside_row_by_row():
+    """Chunks that each span a long time: state calls follow the pieces, not the blocks."""
+    rng = np.random.default_rng(4)
+    n = 12_000
+    us = np.sort(rng.integers(0, 30 * 86_400, n)) * 1_000_000
+    us[100:140] = us[100]                                                # equal times, over runs
+    at = rng.permutation(n)
+    rows = pd.DataFrame({"ts": pd.Series(us[at].astype("datetime64[us]")), "event_id": at, "url": [f"/{i % 7}" for i in at]})
+    out = {}
+    for held in (2_000, 5_000, 200_000, 0):
+        p = SessionProcessor("ip", held_rows=held) if held else SessionProcessor("ip")
+        p.init(_Handle())
+        calls = []
+        put = p.aside.updateValue
+        p.aside.updateValue = lambda k, v: (calls.append(len(v[0])), put(k, v))
+        chunk = 1000 if held else n
+        got = pd.concat(p.handleInputRows(("hot",), (rows[a:a + chunk] for a in range(0, n, chunk)), None))
+        assert not p.aside.held and sum(calls) == (n if held and held < n else 0) and len(calls) <= 2 * n // 1000
+        out[held] = got.astype(str).values.tolist()
+    assert out[2_000] == out[5_000] == out[200_000] == out[0] and len(out[0]) == n
+
+
 def _requests(rng, n, start, span, keys):
     return [(rng.choice(keys), start * 1000 + i, T0 + dt.timedelta(seconds=start + rng.randrange(span)), f"/{rng.randrange(9)}") for i in range(n)]
 

@@ -3,10 +3,12 @@
 A ``StatefulProcessor`` holds, per key, the open session (a value state) and,
 while a batch is at work, the rows of a busy key (a map state). A key's rows
 come in chunks of an Arrow batch. If there is one chunk, it is put in order
-and run through; a key with more has them set aside by blocks of time in the
-map state, which the state store keeps on disk, and the blocks are run through
-one by one. So a call holds a chunk, or a block of ``block_s`` of one key, however
-many rows the key has.
+and run through; of more, up to ``held_rows`` rows are held and put in order.
+A key with more rows has each such run set aside in order, ``PIECE_ROWS`` rows a
+piece, in the map state, which the state store keeps on disk; the runs are then
+merged, a piece of each at a time, and run through by blocks of ``block_s``
+(short ones together). So a call holds a run, or a piece of every run and a block,
+and the state store is called once a piece, not once a block and chunk.
 
 ``emit="requests"`` gives out the running session at every request;
 ``emit="ended"`` a row per session, when it is over: a request comes more than
@@ -38,18 +40,21 @@ from tidewater.operators.windows import US
 from tidewater.streaming.live_windows import with_keyed_state
 
 BLOCK_S = 300
+HELD_ROWS = 200_000  # of a key, held in a call
+PIECE_ROWS = 1000    # of a run set aside; also of blocks run through together
 REQUEST = "{key}, event_id long, ts timestamp, session_start timestamp, session_length long, clickstream array<string>"
 ENDED = "{key}, session_start timestamp, session_end timestamp, session_length long, clickstream array<string>"
 
 
 class SessionProcessor(StatefulProcessor):
     def __init__(self, key: str = "ip", timeout_s: int = SESSION_TIMEOUT_S, keep_max: int = CLICKSTREAM_MAX,
-                 emit: str = "requests", time_mode: str = "None", block_s: int = BLOCK_S, ttl_s: int | None = None):
+                 emit: str = "requests", time_mode: str = "None", block_s: int = BLOCK_S, ttl_s: int | None = None,
+                 held_rows: int = HELD_ROWS):
         if ttl_s is not None and time_mode != "ProcessingTime":
             raise ValueError("state has a time to live only by the clock")
         self.ttl_ms = None if ttl_s is None else ttl_s * 1000
         self.key, self.timeout, self.keep_max = key, timeout_s * US, keep_max
-        self.emit, self.time_mode, self.block = emit, time_mode, block_s * US
+        self.emit, self.time_mode, self.block, self.held_rows = emit, time_mode, block_s * US, held_rows
 
     def init(self, handle) -> None:
         self.handle = handle
@@ -105,35 +110,66 @@ class SessionProcessor(StatefulProcessor):
         if second is None:
             yield self._advance(key, *first, seen)
         else:
-            for n, chunk in enumerate([first, second]):
-                self._set_aside(chunk, n)
+            held, size, pieces = [first, second], len(first[0]) + len(second[0]), []
             del first, second
-            for n, chunk in enumerate(chunks, 2):
-                self._set_aside(chunk, n)
-            yield from self._run_through(key, seen)
+            for chunk in chunks:
+                if size >= self.held_rows:
+                    self._set_aside(self._ordered(held), pieces)
+                    held, size = [], 0
+                held.append(chunk)
+                size += len(chunk[0])
+            run = self._ordered(held)
+            del held
+            if pieces:
+                self._set_aside(run, pieces)
+                del run
+                yield from self._run_through(key, self._merged(pieces), seen)
+            else:
+                yield from self._run_through(key, [(run, None)], seen)
         self._watch(timerValues)
 
     def _columns(self, part: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         return (part["ts"].to_numpy().astype("datetime64[us]").astype(np.int64), part["event_id"].to_numpy(np.int64),
                 part["url"].to_numpy(object))
 
-    def _set_aside(self, chunk, n: int) -> None:
-        us, ids, urls = chunk
-        block = us // self.block
-        for b in np.unique(block):
-            own = block == b
-            self.aside.updateValue((int(b), n), (us[own].tolist(), ids[own].tolist(), urls[own].tolist()))
-
-    def _run_through(self, key, seen: int) -> Iterator[pd.DataFrame]:
-        parts: dict[int, list[int]] = {}
-        for block, n in sorted((k[0], k[1]) for k in self.aside.keys()):
-            parts.setdefault(block, []).append(n)
-        for block, own in parts.items():
-            held = [self.aside.getValue((block, n)) for n in own]
-            us, ids, urls = (np.concatenate([np.array(h[i], kind) for h in held]) for i, kind in enumerate((np.int64, np.int64, object)))
-            yield self._advance(key, us, ids, urls, seen)
-            for n in own:
-                self.aside.removeKey((block, n))
+    def _ordered(self, parts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        us, ids, urls = (np.concatenate(p) for p in zip(*parts))
+        order = np.lexsort((ids, us))
+        return us[order], ids[order], urls[order]
+
+    def _set_aside(self, run, pieces: list[tuple[int, int]]) -> None:
+        """Put an ordered run into the map state; ``pieces`` gets the first time and the number of each piece."""
+        us, ids, urls = run
+        for a in range(0, us.size, PIECE_ROWS):
+            own = slice(a, a + PIECE_ROWS)
+            pieces.append((int(us[a]), len(pieces)))
+            self.aside.updateValue((int(us[a]) // self.block, pieces[-1][1]), (us[own].tolist(), ids[own].tolist(), urls[own].tolist()))
+
+    def _merged(self, pieces: list[tuple[int, int]]):
+        """The rows set aside, in order, as the pieces are taken by their first times: what
+        is held after each, and the time from which more may come (None: no more)."""
+        pieces = sorted(pieces)
+        held = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, object))
+        for i, (start, n) in enumerate(pieces):
+            us, ids, urls = self.aside.getValue((start // self.block, n))
+            self.aside.removeKey((start // self.block, n))
+            held = self._ordered([held, (np.array(us, np.int64), np.array(ids, np.int64), np.array(urls, object))])
+            until = pieces[i + 1][0] if i + 1 < len(pieces) else None
+            yield held, until
+            if until is not None:  # what is past was run through: whole blocks
+                a = int(np.searchsorted(held[0], until // self.block * self.block))
+                held = tuple(c[a:] for c in held)
+
+    def _run_through(self, key, runs, seen: int) -> Iterator[pd.DataFrame]:
+        """Advance by the whole blocks that are held, short ones together."""
+        for (us, ids, urls), until in runs:
+            stop = us.size if until is None else int(np.searchsorted(us, until // self.block * self.block))
+            cuts = [*(np.flatnonzero(np.diff(us[:stop] // self.block)) + 1).tolist(), stop]
+            a = 0
+            for b, after in zip(cuts, [*cuts[1:], None]):
+                if b > a and (after is None or after - a > PIECE_ROWS):
+                    yield self._advance(key, us[a:b], ids[a:b], urls[a:b], seen)
+                    a = b
 
     def _watch(self, timerValues) -> None:
         """A timer for the time at which the open session will be over."""
