@@ -6,9 +6,11 @@ import collections
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -210,6 +212,60 @@ def test_substring_dedup(docs, rows, none):
     assert substring_dedup.remove_repeats(none).count() == 0
 
 
+def _text_batch(texts):
+    size = [len(t.encode()) for t in texts]
+    fp = [int.from_bytes(hashlib.blake2b(t.encode(), digest_size=8).digest(), "little", signed=True) for t in texts]
+    return pa.RecordBatch.from_arrays([pa.array(fp, pa.int64()), pa.array(size, pa.int64()), pa.array(texts, pa.string())], ["fp", "size", "text"])
+
+
+@pytest.mark.parametrize("block", [1, 400, 1 << 21])
+def test_substring_dedup_spans_do_not_depend_on_blocks(monkeypatch, block):
+    monkeypatch.setattr(substring_dedup, "BLOCK_WINDOWS", block)
+    rng = np.random.default_rng(4)
+    texts = [" ".join(rng.choice(["a", "b", "c", "d", "é"], rng.integers(0, 40))) for _ in range(300)]
+    texts += texts[::7] + [""]
+    batches = [_text_batch(texts[i:i + 20]) for i in range(0, len(texts), 20)]
+    entries = pa.Table.from_batches([*substring_dedup._entries(5, 8)(iter(batches))])
+    of = lambda t, column, x: t.filter(pa.array([y == x for y in t.column(column).to_pylist()]))
+    back = pa.concat_tables([substring_dedup._count(of(entries, "range", r)) for r in set(entries.column("range").to_pylist())])
+    got = {}
+    for b in set(back.column(0).to_pylist()):
+        for row in substring_dedup._intervals(5)(of(back, back.column_names[0], b)).to_pylist():
+            assert got.setdefault(row["fp"], row["spans"]) == row["spans"]  # whole from every block that holds the text
+    starts = collections.Counter(tuple(w[i:i + 5]) for t in texts for w in [t.split()] for i in range(len(w) - 4))
+    for t, fp in zip(texts, (f for b in batches for f in b.column("fp").to_pylist())):
+        w, stay = t.split(), [True] * len(t.split())
+        for i in range(len(w) - 4):
+            if starts[tuple(w[i:i + 5])] > 1:
+                stay[i:i + 5] = [False] * 5
+        spans = got.get(fp, [])
+        assert [any(a <= i < b for a, b in zip(spans[::2], spans[1::2])) for i in range(len(w))] == [not x for x in stay]
+
+
+def test_substring_dedup_rows_do_not_grow_with_pieces():
+    batches = [_text_batch([" ".join(f"w{i}x{j}" for j in range(600))]) for i in range(60)]
+    rows = pa.Table.from_batches([*substring_dedup._entries(35, 8)(iter(batches))])
+    assert rows.num_rows <= 257  # a row for each range and one of the texts, not for each of 60 pieces
+
+
+def test_substring_dedup_counts_a_range_in_one_sort():
+    names, each = 20_000, 50  # 1,000,000 entries; every hash is in two rows, one of which may know of more
+    rng = np.random.default_rng(5)
+    h = np.tile(rng.integers(0, 2**55, names * each // 2, dtype=np.uint64), 2).reshape(names, each)
+    known = rng.random((names, each)) < 0.25
+    places = np.sort(rng.integers(0, 1 << 21, (names, each)), axis=1)
+    packed = [substring_dedup.pack_places(p) for p in places]
+    none = [None] * names
+    rows = [[0] * names, range(names), none, none, none, map(substring_dedup.pack_hashes, h), [p for p, _ in packed], [w for _, w in packed],
+            [np.packbits(k).tobytes() for k in known]]
+    table = pa.Table.from_arrays([pa.array(list(c), t) for c, t in zip(rows, substring_dedup._ENTRY_SCHEMA.types)], schema=substring_dedup._ENTRY_SCHEMA)
+    began = time.process_time()
+    got = substring_dedup._count(table)
+    assert time.process_time() - began < 4  # a pass over all entries for each row takes longer
+    back = {name: np.frombuffer(p, "<u4").tolist() for name, p in zip(got.column(0).to_pylist(), got.column("places").to_pylist())}
+    assert back == {i: places[i][~known[i]].tolist() for i in range(names) if not known[i].all()}
+
+
 def test_quality(spark, docs, none, sf):
     labels = spark.read.parquet(f"{sf}/labels.parquet")
     known = spark.read.parquet(f"{sf}/documents.parquet")

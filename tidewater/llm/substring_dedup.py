@@ -1,14 +1,17 @@
 """Removal of repeated passages: every window of ``width`` words whose word
 sequence starts anywhere else, in the same text or another, is removed.
 
-1. Map: each piece of a batch computes the Rabin-Karp hash of every window of
-   its texts. Windows that repeat inside the piece are settled there; of each
-   distinct hash one entry (hash, place) goes on, packed per hash range into
-   a few binary rows. So a passage that a third of all texts share reaches a
-   reducer once per piece, not once per text, and equal texts count once.
-2. Reduce, per hash range: entries are counted; the places of those that
-   occur in more than one piece return to their piece.
-3. Per piece: repeated windows merge into maximal intervals of words, stored
+1. Map: the Rabin-Karp hash of every window is computed, a piece of a batch
+   at a time, and the pieces of a task are put together to blocks of about two
+   million windows, as each block makes a row for every hash range. Windows
+   that repeat inside the block are settled there; of each distinct hash one
+   entry (hash, place) goes on, packed per hash range into a few binary rows.
+   So a passage that a third of all texts share reaches a reducer once per
+   block, not once per text, and equal texts count once.
+2. Reduce, per hash range: entries are counted in one sort, whatever the
+   number of blocks; the places of those that occur in more than one block
+   return to their block.
+3. Per block: repeated windows merge into maximal intervals of words, stored
    per distinct text (its hash and length) that loses anything.
 4. The texts meet their intervals by that key and are cut.
 
@@ -36,9 +39,10 @@ from tidewater.llm.words import mix, pieces, releasing, windows
 WIDTH = 35
 RANGE_WINDOWS = 1 << 20   # windows per hash range, about
 LEAST_RANGES = 256
+BLOCK_WINDOWS = 1 << 21   # windows per block, about: a block makes a row for each range
 
-_ENTRY = "range int, piece long, keys binary, counts binary, settled binary, hashes binary, places binary, wide boolean, known binary"
-_ENTRY_SCHEMA = pa.schema([("range", pa.int32()), ("piece", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary()),
+_ENTRY = "range int, block long, keys binary, counts binary, settled binary, hashes binary, places binary, wide boolean, known binary"
+_ENTRY_SCHEMA = pa.schema([("range", pa.int32()), ("block", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary()),
                            ("settled", pa.binary()), ("hashes", pa.binary()), ("places", pa.binary()), ("wide", pa.bool_()),
                            ("known", pa.binary())])
 
@@ -66,78 +70,93 @@ def unpack_places(b: bytes, wide: bool) -> np.ndarray:
     return np.frombuffer(b, "<u4").astype(np.int64) if wide else np.cumsum(np.frombuffer(b, "<u2"), dtype=np.int64)
 
 
+def _block(held: list[tuple[np.ndarray, ...]], bits: int) -> pa.RecordBatch:
+    """Packed entries of the texts held, which have windows, and one row that
+    says which texts the places belong to."""
+    fp, size, h, n = (np.concatenate(x) for x in zip(*held))
+    held.clear()
+    key = np.rec.fromarrays((fp, size))
+    _, one, back, copies = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
+    first = np.zeros(n.size, dtype=bool)
+    first[one] = True
+    h = h[np.repeat(first, n)]
+    mine, twin = n[first], copies[back][first] > 1
+    order = np.argsort(h)
+    begin = np.flatnonzero(np.concatenate(([True], np.diff(h[order]) != 0)))
+    times = np.diff(begin, append=h.size)
+    settled = np.repeat(twin, mine)
+    settled[order[np.repeat(times > 1, times)]] = True
+    places = np.sort(np.minimum.reduceat(order, begin))
+    told = settled[places]
+    ours, lens = key.f0[first], key.f1[first]
+    name = int((mix(ours.view(np.uint64)) * np.uint64(3) + lens.astype(np.uint64)).sum(dtype=np.uint64).astype(np.int64))
+    h = h[places]
+    to = (h >> np.uint64(64 - bits)).astype(np.uint16 if bits <= 16 else np.uint32)
+    by = np.argsort(to, kind="stable")
+    cut = np.searchsorted(to[by], np.arange((1 << bits) + 1))
+    rows = [(name % (1 << bits), name, np.stack((ours, lens)).astype("<i8").tobytes(),
+             mine.astype("<i4").tobytes(), np.packbits(settled).tobytes(), None, None, None, None)]
+    for r in np.flatnonzero(np.diff(cut)).tolist():
+        part = by[cut[r]:cut[r + 1]]
+        packed, wide = pack_places(places[part])
+        rows.append((r, name, None, None, None, pack_hashes(h[part]), packed, wide, np.packbits(told[part]).tobytes()))
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _ENTRY_SCHEMA.types)], schema=_ENTRY_SCHEMA)
+
+
 def _entries(width: int, bits: int):
-    """Map side: packed entries of each piece, and one row that says which
-    texts its places belong to."""
+    """Map side: the entries of each block of ``BLOCK_WINDOWS`` windows, or of
+    what a task has."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, count = [], 0
         for batch in batches:
             fp, size = batch.column("fp").to_numpy(), batch.column("size").to_numpy()
             for piece in pieces(batch.column("text")):
                 h, n = windows(piece, width)
                 if h.size == 0:
                     continue
-                key = np.rec.fromarrays((fp[piece.rows], size[piece.rows]))
-                _, one, back, copies = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
-                first = np.zeros(n.size, dtype=bool)
-                first[one] = True
-                h = h[np.repeat(first, n)]
-                mine, twin = n[first], copies[back][first] > 1
-                _, at, back, times = np.unique(h, return_index=True, return_inverse=True, return_counts=True)
-                settled = (times[back] > 1) | np.repeat(twin, mine)
-                known = np.zeros(times.size, dtype=bool)
-                np.logical_or.at(known, back[settled], True)
-                order = np.sort(at)
-                told = known[back[order]]
-                ours, lens = key.f0[first], key.f1[first]
-                name = int((mix(ours.view(np.uint64)) * np.uint64(3) + lens.astype(np.uint64)).sum(dtype=np.uint64)
-                           .astype(np.int64))
-                held = h[order]
-                to = (held >> np.uint64(64 - bits)).astype(np.uint32)
-                by = np.argsort(to, kind="stable")
-                cut = np.searchsorted(to[by], np.arange((1 << bits) + 1))
-                rows = [(name % (1 << bits), name, np.stack((ours, lens)).astype("<i8").tobytes(),
-                         mine.astype("<i4").tobytes(), np.packbits(settled).tobytes(), None, None, None, None)]
-                for r in np.flatnonzero(np.diff(cut)).tolist():
-                    part = by[cut[r]:cut[r + 1]]
-                    places, wide = pack_places(order[part])
-                    rows.append((r, name, None, None, None, pack_hashes(held[part]), places, wide,
-                                 np.packbits(told[part]).tobytes()))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _ENTRY_SCHEMA.types)],
-                                                 schema=_ENTRY_SCHEMA)
+                some = n > 0
+                held.append((fp[piece.rows][some], size[piece.rows][some], h, n[some]))
+                count += h.size
+                if count >= BLOCK_WINDOWS:
+                    yield _block(held, bits)
+                    count = 0
+        if held:
+            yield _block(held, bits)
     return run
 
 
-_BACK = "piece long, keys binary, counts binary, settled binary, places binary"
-_BACK_SCHEMA = pa.schema([("piece", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary()), ("settled", pa.binary()),
+_BACK = "block long, keys binary, counts binary, settled binary, places binary"
+_BACK_SCHEMA = pa.schema([("block", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary()), ("settled", pa.binary()),
                           ("places", pa.binary())])
 
 
 def _count(rows: pa.Table) -> pa.Table:
-    """One hash range: places whose hash occurs in several entries, or once in
-    an entry that knows of more, return to their pieces."""
-    out = []
-    hashes, owner, places, known = [], [], [], []
-    pieces_ = rows.column("piece").to_pylist()
-    for i, row in enumerate(rows.select(["keys", "counts", "settled", "hashes", "places", "wide", "known"]).to_pylist()):
+    """One hash range: places whose hash occurs in several entries, and in an
+    entry that does not know of more, return to their blocks."""
+    out, names, hashes, places, known = [], [], [], [], []
+    for row in rows.to_pylist():
         if row["keys"] is not None:
-            out.append((pieces_[i], row["keys"], row["counts"], row["settled"], None))
+            out.append((row["block"], row["keys"], row["counts"], row["settled"], None))
             continue
         h = unpack_hashes(row["hashes"])
+        names.append(row["block"])
         hashes.append(h)
-        owner.append(np.full(h.size, i, dtype=np.int32))
-        places.append(unpack_places(row["places"], row["wide"]))
+        places.append(unpack_places(row["places"], row["wide"]).astype(np.uint32))
         known.append(np.unpackbits(np.frombuffer(row["known"], np.uint8), count=h.size).astype(bool))
     if hashes:
-        h, owner, places, known = (np.concatenate(x) for x in (hashes, owner, places, known))
+        ends = np.cumsum([h.size for h in hashes])
+        h, places, known = (np.concatenate(x) for x in (hashes, places, known))
         order = np.argsort(h)
-        new = np.concatenate(([True], np.diff(h[order]) != 0))
-        run = np.cumsum(new) - 1
-        again = np.bincount(run) > 1
-        back = np.zeros(h.size, dtype=bool)
-        back[order] = again[run]
-        back &= ~known
-        for i in np.unique(owner[back]).tolist():
-            out.append((pieces_[i], None, None, None, places[back & (owner == i)].astype("<u4").tobytes()))
+        same = np.diff(h[order]) == 0
+        again = np.zeros(h.size, dtype=bool)
+        again[order[1:][same]] = True
+        again[order[:-1][same]] = True
+        # entries lie row by row, so those of a row are one run of the places to return
+        at = np.flatnonzero(again & ~known)
+        cut = np.searchsorted(at, np.concatenate(([0], ends)))
+        back = places[at].astype("<u4")
+        for i in np.flatnonzero(np.diff(cut)).tolist():
+            out.append((names[i], None, None, None, back[cut[i]:cut[i + 1]].tobytes()))
     return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 5, _BACK_SCHEMA.types)],
                                 schema=_BACK_SCHEMA)
 
@@ -208,8 +227,8 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     bits = ranges.bit_length() - 1
     return (docs.select("fp", "size", "text").mapInArrow(releasing(_entries(width, bits)), _ENTRY)
             .groupBy("range").applyInArrow(_count, _BACK)
-            .groupBy("piece").applyInArrow(_intervals(width), "fp long, size long, spans array<int>")
-            # a text that several pieces hold comes back from each, always whole
+            .groupBy("block").applyInArrow(_intervals(width), "fp long, size long, spans array<int>")
+            # a text that several blocks hold comes back from each, always whole
             .groupBy("fp", "size").agg(F.max("spans").alias("spans")))
 
 
