@@ -86,7 +86,9 @@ def _block(held: list[tuple[np.ndarray, ...]], bits: int) -> pa.RecordBatch:
     times = np.diff(begin, append=h.size)
     settled = np.repeat(twin, mine)
     settled[order[np.repeat(times > 1, times)]] = True
-    places = np.sort(np.minimum.reduceat(order, begin))
+    places = np.minimum.reduceat(order, begin)
+    del order, begin, times
+    places.sort()
     told = settled[places]
     ours, lens = key.f0[first], key.f1[first]
     name = int((mix(ours.view(np.uint64)) * np.uint64(3) + lens.astype(np.uint64)).sum(dtype=np.uint64).astype(np.int64))
